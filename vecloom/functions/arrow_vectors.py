@@ -9,6 +9,15 @@ import pyarrow.compute as pc
 from vecloom.errors import VectorError
 
 
+def texts_of(column: pa.Array, function: str) -> pa.Array:
+    """The argument of a text function: a string column, or the untyped NULL literal."""
+    if pa.types.is_null(column.type):
+        return column.cast(pa.string())
+    if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
+        raise TypeError(f"{function} expects STRING, got {column.type}")
+    return column
+
+
 def matrix_of(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(rows x width float64 matrix of the non-NULL vectors, their row positions)."""
     rows = np.flatnonzero(np.asarray(pc.is_valid(column)))
@@ -23,7 +32,7 @@ def matrix_of(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, n
     flat = present.flatten()
     if flat.null_count:
         raise VectorError("a vector has a NULL element")
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, expected), rows
+    return flat.cast(pa.float64()).to_numpy().reshape(-1, expected), rows
 
 
 def lists_of(matrix: np.ndarray, rows: np.ndarray, n_rows: int) -> pa.Array:

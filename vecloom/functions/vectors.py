@@ -1,8 +1,4 @@
-"""Vector and text column functions, built from Spark's own expressions.
-
-The `*_SQL` constants are the bodies registered as SQL functions by
-`vecloom.functions.registry`; the Python functions build the same expressions.
-"""
+"""Vector and text column functions, built from Spark's own expressions."""
 
 from __future__ import annotations
 
@@ -97,36 +93,3 @@ def valid_text(text) -> Column:
 def rank_distance(distance) -> Column:
     """The rounded distance that every ranking here orders by."""
     return F.round(_col(distance), DISTANCE_DIGITS)
-
-
-ARRAY_DISTANCE_SQL = """
-CREATE OR REPLACE TEMPORARY FUNCTION array_distance(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>)
-RETURNS DOUBLE
-RETURN CASE
-  WHEN a IS NULL OR b IS NULL THEN NULL
-  WHEN array_size(a) <> array_size(b) THEN CAST(raise_error(concat(
-    'array_distance: widths differ, ', array_size(a), ' and ', array_size(b))) AS DOUBLE)
-  ELSE coalesce(
-    sqrt(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0D, (s, v) -> s + v)),
-    CAST(raise_error('array_distance: a vector has a NULL element') AS DOUBLE))
-END
-"""
-
-TO_VECTOR_SQL = """
-CREATE OR REPLACE TEMPORARY FUNCTION to_vector(v ARRAY<FLOAT>, width INT)
-RETURNS ARRAY<FLOAT>
-RETURN CASE
-  WHEN array_size(v) <> width THEN CAST(raise_error(concat(
-    'to_vector: cannot cast a list with length ', array_size(v),
-    ' to a vector with width ', width)) AS ARRAY<FLOAT>)
-  ELSE v
-END
-"""
-
-L2_NORMALIZE_SQL = """
-CREATE OR REPLACE TEMPORARY FUNCTION l2_normalize(v ARRAY<DOUBLE>)
-RETURNS ARRAY<FLOAT>
-RETURN CAST(get(transform(
-  array(sqrt(aggregate(v, 0D, (s, x) -> s + x * x))),
-  n -> transform(v, x -> CASE WHEN n = 0 THEN double('NaN') ELSE x / n END)), 0) AS ARRAY<FLOAT>)
-"""

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.functions.arrow_vectors import lists_of
+from vecloom.functions.arrow_vectors import lists_of, texts_of
 from vecloom.functions.vectors import _col, valid_text
 from vecloom.session import ship_package
 
@@ -52,8 +52,7 @@ def _hash_texts(texts: pa.Array, dim: int) -> np.ndarray:
 
 
 def _hash_column(texts: pa.Array, dim: int) -> pa.Array:
-    if not (pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type)):
-        raise TypeError(f"embed_hash expects STRING, got {texts.type}")
+    texts = texts_of(texts, "embed_hash")
     rows = np.flatnonzero(np.asarray(pc.is_valid(texts)))
     present = texts.drop_null()
     step = max(1, _CELLS // dim)
