@@ -54,11 +54,13 @@ def _hash_texts(texts: pa.Array, dim: int) -> np.ndarray:
 def _hash_column(texts: pa.Array, dim: int) -> pa.Array:
     texts = texts_of(texts, "embed_hash")
     rows = np.flatnonzero(np.asarray(pc.is_valid(texts)))
-    present = texts.drop_null()
+    # Equal texts of a batch, such as a literal argument repeated for every row, count once.
+    distinct = texts.drop_null().dictionary_encode()
+    different = distinct.dictionary
     step = max(1, _CELLS // dim)
-    parts = [_hash_texts(present.slice(at, step), dim) for at in range(0, len(present), step)]
+    parts = [_hash_texts(different.slice(at, step), dim) for at in range(0, len(different), step)]
     matrix = np.concatenate(parts) if parts else np.empty((0, dim), dtype=np.float32)
-    return lists_of(matrix, rows, len(texts))
+    return lists_of(matrix[np.asarray(distinct.indices)], rows, len(texts))
 
 
 def hash_udf(dim: int = 384):
