@@ -245,7 +245,7 @@ def e8_masked_mean_pool(spark, sf_dir):
 
 
 def e9_l2_normalize(spark, sf_dir):
-    doubled = F.transform("embedding", lambda x: x * 2 + 1)
+    doubled = F.transform("embedding", lambda x: x.cast("double") * 2 + 1)
     unit = _read(spark, sf_dir, "embeddings").select("vec_id", l2_normalize(doubled).alias("unit"))
     return _elements(unit, ["vec_id"], "unit", "pos", "value")
 
@@ -485,7 +485,7 @@ FROM documents LEFT JOIN rows_of USING (doc_id)""",
         "e8_masked_mean_pool": pooled("(vec_id % 3 <> 0)::INTEGER::DOUBLE"),
         "e9_l2_normalize": """SELECT vec_id, generate_subscripts(v, 1)::INTEGER - 1 AS pos,
   round((unnest(v) / sqrt(list_sum(list_transform(v, lambda x: x * x))))::FLOAT::DOUBLE, 6) + 0.0 AS value
-FROM (SELECT vec_id, list_transform(embedding, lambda x: (x * 2::FLOAT + 1::FLOAT)::DOUBLE) AS v FROM embeddings)""",
+FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2 + 1) AS v FROM embeddings)""",
         "e11_valid_text": "SELECT doc_id, '<' || chr(65533) || text || chr(65533) AS text FROM documents",
         "e13_hash_vectors": f"""WITH {_hash_sql('d', 'documents', 'doc_id')}
 SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value FROM d WHERE round(x, 6) <> 0""",

@@ -1,0 +1,196 @@
+"""Top-k, cells and LSH against brute force, with copies, NULL, NaN and zero vectors."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from vecloom.operators.cells import build_cells, cell_candidate_ratio, fit_centroids, recall, topk_cells
+from vecloom.operators.lsh import copy_groups, lsh_join
+from vecloom.operators.topk import topk, topk_batch
+from vecloom.session import scratch_path
+
+DIM = 6
+
+
+def make(n, seed, odd=True, copies=True):
+    rng = np.random.default_rng(seed)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((n, DIM)))]
+    if copies:  # a third of all rows are copies of one vector
+        rows = [(i, [0.5] * DIM) if i % 3 == 0 else (i, v) for i, v in rows]
+    if odd:
+        rows[1], rows[4], rows[5] = (1, None), (4, [math.nan] * DIM), (5, [0.0] * DIM)
+    return rows
+
+
+def order(distance):
+    if distance is None:
+        return (2, 0.0)
+    return (1, 0.0) if math.isnan(distance) else (0, round(distance, 6))
+
+
+def brute(corpus, questions, k):
+    out = []
+    for q, qv in questions:
+        pairs = []
+        for i, v in corpus:
+            d = None if v is None or qv is None else float(np.linalg.norm(np.array(v) - np.array(qv)))
+            pairs.append((*order(d), i))
+        out += [(q, rank, p[2], p[0], p[1]) for rank, p in enumerate(sorted(pairs)[:k], 1)]
+    return out
+
+
+def plain(rows, qid="qid", key="id"):
+    return sorted((r[qid], r["rank"], r[key], *order(r["distance"])) for r in rows)
+
+
+def frame(spark, rows, key="id"):
+    return spark.createDataFrame(rows, f"{key} bigint, embedding array<double>")
+
+
+@pytest.mark.parametrize("k", [1, 5, 400])
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_topk_batch_equals_brute_force(spark, k, partitions):
+    corpus, questions = make(300, 1), make(20, 2)
+    found = topk_batch(frame(spark, corpus).repartition(partitions), frame(spark, questions, "qid"), k)
+    assert plain(found.collect()) == sorted(brute(corpus, questions, k))
+
+
+def test_topk_batch_in_question_blocks(spark):
+    corpus, questions = make(200, 3), make(150, 4)
+    found = topk_batch(frame(spark, corpus), frame(spark, questions, "qid"), 5, max_question_bytes=4000)
+    assert plain(found.collect()) == sorted(brute(corpus, questions, 5))
+
+
+def test_topk_batch_small_arrow_batches(spark):
+    corpus, questions = make(200, 5), make(10, 6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = topk_batch(frame(spark, corpus), frame(spark, questions, "qid"), 5).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert plain(found) == sorted(brute(corpus, questions, 5))
+
+
+def test_topk_batch_with_string_keys(spark):
+    corpus, questions = make(100, 7), make(6, 8)
+    named = frame(spark, corpus).withColumn("id", F.format_string("k%03d", "id"))
+    asked = frame(spark, questions, "qid").withColumn("qid", F.format_string("q%03d", "qid"))
+    expected = [(f"q{q:03d}", rank, f"k{i:03d}", kind, d) for q, rank, i, kind, d in brute(corpus, questions, 5)]
+    assert plain(topk_batch(named, asked, 5).collect()) == sorted(expected)
+
+
+def test_topk_batch_of_far_vectors_keeps_small_differences(spark):
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal(DIM) * 1e5
+    corpus = [(i, [float(x) for x in base + rng.standard_normal(DIM) * 1e-3]) for i in range(200)]
+    questions = corpus[:5]
+    found = topk_batch(frame(spark, corpus), frame(spark, questions, "qid"), 5)
+    assert plain(found.collect()) == sorted(brute(corpus, questions, 5))
+
+
+def test_topk_batch_of_empty_tables(spark):
+    some, none = frame(spark, make(10, 1)), frame(spark, [])
+    asked, nobody = frame(spark, make(10, 1), "qid"), frame(spark, [], "qid")
+    assert topk_batch(none, asked, 3).collect() == []
+    assert topk_batch(some, nobody, 3).collect() == []
+
+
+def test_topk_batch_shuffles_only_partial_results(spark):
+    plan = topk_batch(frame(spark, make(30, 1)), frame(spark, make(6, 2), "qid"), 5)._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_wrong_width_is_an_error(spark):
+    asked = spark.createDataFrame([(0, [1.0, 2.0])], "qid bigint, embedding array<double>")
+    with pytest.raises(Exception, match="width"):
+        topk_batch(frame(spark, make(10, 1)), asked, 3).collect()
+
+
+def test_topk_keeps_columns_and_order(spark):
+    corpus = make(300, 10)
+    table = frame(spark, corpus).withColumn("text", F.concat(F.lit("t"), "id"))
+    question = [0.5] * DIM
+    found = topk(table, question, 7).collect()
+    assert [(1, rank, r["id"], *order(r["distance"])) for rank, r in enumerate(found, 1)] == brute(
+        corpus, [(1, question)], 7
+    )
+    assert all(r["text"] == f"t{r['id']}" for r in found)
+    plan = topk(table, question, 7)._jdf.queryExecution().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_fewer_results_are_a_prefix_of_more(spark):
+    corpus, question = frame(spark, make(100, 11)), [0.1] * DIM
+    many = [r["id"] for r in topk(corpus, question, 20).collect()]
+    assert [r["id"] for r in topk(corpus, question, 6).collect()] == many[:6]
+
+
+def cell_index(spark, corpus, cells):
+    rows = frame(spark, corpus)
+    return build_cells(rows, "id", "embedding", scratch_path(spark, "cells"), fit_centroids(rows, "embedding", cells))
+
+
+def test_all_cells_equal_exact_search(spark):
+    corpus, questions = make(300, 12, odd=False), make(20, 13, odd=False)
+    index, asked = cell_index(spark, corpus, 6), frame(spark, questions, "qid")
+    assert index.rows(spark).count() == 300
+    found = topk_cells(spark, index, asked, nprobe=6, k=5)
+    assert plain(found.collect()) == sorted(brute(corpus, questions, 5))
+
+
+def test_more_probes_find_more(spark):
+    corpus, questions = make(400, 14, odd=False, copies=False), make(30, 15, odd=False, copies=False)
+    index, asked = cell_index(spark, corpus, 8), frame(spark, questions, "qid")
+    exact = topk_batch(frame(spark, corpus), asked, 5)
+    rates, ratios = [], []
+    for nprobe in (1, 3, 8):
+        rates.append(recall(topk_cells(spark, index, asked, nprobe, 5), exact, "qid", "id").first()["recall"])
+        ratios.append(cell_candidate_ratio(spark, index, asked, nprobe).first()["candidate_ratio"])
+    assert rates == sorted(rates) and rates[0] > 0.3 and rates[1] > 0.6 and rates[2] == 1.0
+    assert ratios == sorted(ratios) and ratios[0] < 0.3 and ratios[2] == 1.0
+
+
+def test_cells_keep_rows_without_vectors_and_read_only_probed_ones(spark):
+    corpus, questions = make(300, 16), make(3, 17, odd=False)
+    index = cell_index(spark, corpus, 6)
+    assert index.rows(spark).where("cell = -1").count() == 2
+    plan = topk_cells(spark, index, frame(spark, questions, "qid"), 1)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("blocks", [{}, {"block_rows": 16, "task_rows": 64}])
+def test_lsh_join_finds_only_true_pairs_and_most_of_them(spark, blocks):
+    a, b = make(250, 18), make(200, 19)
+    found = lsh_join(
+        frame(spark, a, "x"), frame(spark, b, "y"), 1.2, "x", "y", bucket_length=3.0, tables=6, width=1, **blocks
+    ).collect()
+    exact = {
+        (i, j): float(np.linalg.norm(np.array(v) - np.array(w)))
+        for i, v in a
+        for j, w in b
+        if v and w and np.linalg.norm(np.array(v) - np.array(w)) <= 1.2
+    }
+    pairs = {(r["x"], r["y"]): r["distance"] for r in found}
+    assert len(pairs) == len(found)
+    assert all(exact[p] == pytest.approx(d) for p, d in pairs.items())
+    assert len(pairs) >= 0.95 * len(exact)
+
+
+def test_lsh_join_of_one_hot_vector_in_compact_form(spark):
+    rows = frame(spark, [(i, [1.0] * DIM if i % 3 == 0 else [float(i)] * DIM) for i in range(300)], "x")
+    others = rows.withColumnRenamed("x", "y")
+    compact = lsh_join(rows, others, 0.1, "x", "y", expand_copies=False).collect()
+    assert sorted((r["x"], r["y"]) for r in compact) == sorted((i, i) for i in [0, *range(2, 300)] if i == 0 or i % 3)
+    groups = copy_groups(rows, "x")
+    assert groups.count() == 300 and groups.where("rep = 0").count() == 101
+
+
+def test_lsh_join_reports_comparisons(spark):
+    rows = frame(spark, make(200, 20, odd=False, copies=False), "x")
+    wide, narrow = {}, {}
+    lsh_join(rows, rows.withColumnRenamed("x", "y"), 0.5, "x", "y", bucket_length=100.0, tables=1, stats=wide)
+    lsh_join(rows, rows.withColumnRenamed("x", "y"), 0.5, "x", "y", bucket_length=0.5, tables=1, stats=narrow)
+    assert wide["pairs"] == 200 * 200 and narrow["candidates"] < wide["candidates"] <= 200 * 200

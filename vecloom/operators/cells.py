@@ -93,7 +93,7 @@ def nearest_cells(spark: SparkSession, centroids: DataFrame, n: int = 1):
         step = max(1, (1 << 22) // len(cells))
         good = matrix[finite]
         for at in range(0, len(good), step):
-            squares, _ = squared_products(good[at : at + step], centers)
+            squares, _ = squared_products(good[at : at + step], centers, fast=False)
             distance = np.round(np.sqrt(np.maximum(squares, 0.0)), DISTANCE_DIGITS)
             found[at : at + step] = cells[np.argsort(distance, axis=1, kind="stable")[:, :take]]
         counts = np.zeros(len(vectors), dtype=np.int32)

@@ -26,6 +26,7 @@ from vecloom.functions.arrow_vectors import matrix_of
 from vecloom.operators.scoring import pair_distances, squared_products
 from vecloom.session import materialize, ship_package
 
+BROADCAST_BUCKETS = 200_000  # large buckets, by (table, code, two counts), sent to every executor
 _PRODUCTS = 1 << 22  # distance-matrix cells held at once
 
 
@@ -61,8 +62,7 @@ def signature_udf(directions: np.ndarray, offsets: np.ndarray, tables: int, buck
 
 def _distinct_vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
     """(rep, v): each different vector with its first key. Copies collapse before the shuffle."""
-    vector = F.col(vec).cast("array<double>")
-    return df.select(F.col(key).alias("key"), vector.alias("v")).groupBy("v").agg(F.min("key").alias("rep"))
+    return df.select(F.col(key).alias("key"), F.col(vec).alias("v")).groupBy("v").agg(F.min("key").alias("rep"))
 
 
 def _bucket_rows(signed: DataFrame) -> DataFrame:
@@ -70,15 +70,18 @@ def _bucket_rows(signed: DataFrame) -> DataFrame:
     return signed.select("rep", "v", "codes", F.posexplode("codes").alias("table", "code"))
 
 
-def _blocks(rows: DataFrame, sizes: DataFrame, own: str, other: str, block_rows: int) -> DataFrame:
-    """Give each row its block on its own side, and one copy per block of the other side."""
+def _blocks(rows: DataFrame, hot: DataFrame, own: str, other: str, block_rows: int) -> DataFrame:
+    """Give each row its block on its own side, and one copy per block of the other side.
+
+    Only rows of large buckets are in more than one piece: all others are block 0 of 1.
+    """
 
     def count(side: str):
-        return F.ceil(F.col(f"n_{side}") / F.lit(block_rows)).cast("int")
+        return F.coalesce(F.ceil(F.col(f"n_{side}") / F.lit(block_rows)).cast("int"), F.lit(1))
 
     own_block = F.pmod(F.xxhash64("rep"), count(own)).cast("int")
     other_block = F.explode(F.sequence(F.lit(0), count(other) - 1))
-    placed = rows.join(sizes, ["table", "code"])
+    placed = rows.join(hot, ["table", "code"], "left")
     return placed.withColumn(f"block_{own}", own_block).withColumn(f"block_{other}", other_block)
 
 
@@ -152,17 +155,27 @@ def lsh_join(
         rows = _distinct_vectors(df, key, vec).withColumn("codes", sign("v"))
         return materialize(rows, label).where("codes IS NOT NULL")
 
-    rows_a, rows_b = _bucket_rows(signed(a, key_a, "lsh-a")), _bucket_rows(signed(b, key_b, "lsh-b"))
+    signed_a, signed_b = signed(a, key_a, "lsh-a"), signed(b, key_b, "lsh-b")
+    rows_a, rows_b = _bucket_rows(signed_a), _bucket_rows(signed_b)
     sizes = materialize(candidate_pairs(rows_a, rows_b), "lsh-sizes")
-    placed_rows = F.col("n_a") * F.ceil(F.col("n_b") / block_rows) + F.col("n_b") * F.ceil(F.col("n_a") / block_rows)
-    totals = sizes.agg(F.sum(placed_rows).alias("rows"), F.sum(F.col("n_a") * F.col("n_b")).alias("candidates")).first()
+    large = (F.col("n_a") > block_rows) | (F.col("n_b") > block_rows)
+    copies = F.col("n_a") * (F.ceil(F.col("n_b") / block_rows) - 1) + F.col("n_b") * (F.ceil(F.col("n_a") / block_rows) - 1)
+    totals = sizes.agg(
+        F.sum(copies).alias("copies"),
+        F.sum(F.col("n_a") * F.col("n_b")).alias("candidates"),
+        F.count_if(large).alias("hot"),
+    ).first()
     if stats is not None:
         stats["candidates"], stats["pairs"] = totals["candidates"] or 0, a.count() * b.count()
-    tasks = max(1, -(-(totals["rows"] or 0) // task_rows))
+    hot = sizes.where(large)
+    if totals["hot"] <= BROADCAST_BUCKETS:
+        hot = F.broadcast(hot)
+    placed = (signed_a.count() + signed_b.count()) * tables + (totals["copies"] or 0)
+    tasks = max(1, -(-placed // task_rows))
     piece = ["table", "code", "block_a", "block_b"]
     task_of = F.pmod(F.xxhash64(*piece), F.lit(tasks)).alias("task")
-    side_a = _blocks(rows_a, sizes, "a", "b", block_rows).select(task_of, *piece, "rep", "v", "codes")
-    side_b = _blocks(rows_b, sizes, "b", "a", block_rows).select(task_of, *piece, "rep", "v", "codes")
+    side_a = _blocks(rows_a, hot, "a", "b", block_rows).select(task_of, *piece, "rep", "v", "codes")
+    side_b = _blocks(rows_b, hot, "b", "a", block_rows).select(task_of, *piece, "rep", "v", "codes")
 
     types = (rows_a.schema["rep"].dataType, rows_b.schema["rep"].dataType)
     arrow_schema = pa.schema(
@@ -205,6 +218,5 @@ def lsh_join(
 
 def copy_groups(df: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
     """(rep, key): every row with the first key among the rows that have the same vector."""
-    vector = F.col(vec).cast("array<double>")
     firsts = _distinct_vectors(df, key, vec)
-    return df.select(F.col(key), vector.alias("v")).join(firsts, "v").select("rep", key)
+    return df.select(F.col(key), F.col(vec).alias("v")).join(firsts, "v").select("rep", key)

@@ -19,7 +19,7 @@ from vecloom.functions.arrow_vectors import matrix_of
 from vecloom.functions.vectors import DISTANCE_DIGITS
 
 _TILE = 1 << 22  # score-matrix cells held at once
-_SLACK = 1e-6  # the product form may be off by less than this, relative to the squared norms
+_SINGLE_LIMIT = 1e30  # squared norms beyond this do not fit single precision
 
 
 @dataclass
@@ -55,11 +55,24 @@ def pair_distances(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray)
     return out
 
 
-def squared_products(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances by |a|^2 + |b|^2 - 2ab, and how far each row of `a` may be off."""
+def squared_products(a: np.ndarray, b: np.ndarray, fast: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by |a|^2 + |b|^2 - 2ab, and a bound on the error for each row of `a`.
+
+    `fast` multiplies in single precision where the norms allow; callers compute the few
+    distances that matter again by differences.
+    """
     a2, b2 = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    squares = a2[:, None] + b2[None, :] - 2.0 * (a @ b.T)
-    return squares, _SLACK * (a2 + (b2.max() if len(b2) else 0.0))
+    largest = b2.max() if len(b2) else 0.0
+    if fast and largest + (a2.max() if len(a2) else 0.0) < _SINGLE_LIMIT:
+        unit, kind = 2.0**-23, np.float32
+    else:
+        unit, kind = 2.0**-52, np.float64
+    squares = a.astype(kind, copy=False) @ b.astype(kind, copy=False).T
+    squares *= -2
+    squares += a2.astype(kind)[:, None]
+    squares += b2.astype(kind)[None, :]
+    # A product of n terms is off by at most n roundings; twice that covers the sums too.
+    return squares, (a.shape[1] + 8) * unit * (a2 + largest)
 
 
 def _first_per_group(groups: np.ndarray, k: int) -> np.ndarray:
@@ -103,12 +116,13 @@ def _scan(block: QuestionBlock, chosen: np.ndarray, matrix: np.ndarray, keys: pa
         part = chosen[at : at + step]
         questions = block.matrix[part]
         squares, slack = squared_products(questions, matrix)
-        bound = (best.limit[part] + 10.0**-DISTANCE_DIGITS) ** 2
-        if n > k:
+        limit = best.limit[part]
+        if n > k and not np.isfinite(limit).all():
             kth = np.partition(squares, k - 1, axis=1)[:, k - 1]
-            # Everything that rounds to the k-th distance is a tie for the last place.
-            bound = np.minimum(bound, (np.sqrt(np.maximum(kth + slack, 0.0)) + 10.0**-DISTANCE_DIGITS) ** 2)
-        q, r = np.nonzero(squares <= (bound + slack)[:, None])
+            limit = np.minimum(limit, np.sqrt(np.maximum(kth + slack, 0.0)))
+        # What rounds to the distance of the k-th row is a tie for the last place.
+        bound = (limit + 10.0**-DISTANCE_DIGITS) ** 2 + slack
+        q, r = np.nonzero(squares <= bound.astype(squares.dtype)[:, None])
         distance = pair_distances(questions, matrix, q, r)
         # Rows are in key order, so a stable sort breaks ties by key.
         order = np.lexsort((r, np.round(distance, DISTANCE_DIGITS), q))

@@ -14,6 +14,11 @@ from vecloom.operators.scoring import QuestionBlock, best_rows
 from vecloom.session import scratch_path, ship_package
 
 QUESTION_BYTES = 64 << 20  # bound of one broadcast block of questions
+_WIDEST = 4096  # width assumed where it is not known yet
+
+
+def _row_bytes(width: int) -> int:
+    return 8 * width + 64
 
 
 def _result_fields(corpus: DataFrame, key: str, questions: DataFrame, qid: str):
@@ -82,23 +87,26 @@ def search(
     def named(df: DataFrame) -> DataFrame:
         return df.select(F.col("qid").alias(qid), "rank", F.col("key").alias(key), "distance")
 
-    size = questions.agg(F.count("*").alias("n"), F.max(F.array_size(qvec)).alias("width")).first()
-    need = size["n"] * ((size["width"] or 1) * 8 + 64)
-    if need <= max_question_bytes:
-        return named(partials(_collect_block(questions, qid, qvec, question_cells, max_question_bytes)))
+    kept = questions.select(*[qid, qvec] + ([question_cells] if question_cells else []))
+    count = kept.count()  # column pruning leaves out an encoder that makes the vectors
+    if count * _row_bytes(_WIDEST) <= max_question_bytes:
+        return named(partials(_collect_block(kept, qid, qvec, question_cells, max_question_bytes)))
 
-    # More questions than one broadcast may hold: write them once in blocks of bounded size
-    # and scan the corpus once per block. Each block's result is written before the next.
+    # Too many to be sure they fit one broadcast: write them once, cut into blocks by their
+    # true width. With several blocks the corpus is scanned once for each, and each result
+    # is written before the next block is fetched.
     spark = corpus.sparkSession
-    n_blocks = 2 * -(-need // max_question_bytes)
     split_path, out = scratch_path(spark, "questions"), scratch_path(spark, "topk")
-    kept = [qid, qvec] + ([question_cells] if question_cells else [])
-    block_of = F.floor(F.rand(seed=7) * n_blocks).cast("int")
-    questions.select(*kept).withColumn("_block", block_of).write.partitionBy("_block").parquet(split_path)
+    kept.withColumn("_part", F.rand(seed=7)).write.parquet(split_path)
     split = spark.read.parquet(split_path)
+    width = split.agg(F.max(F.array_size(qvec))).first()[0] or 0
+    need = count * _row_bytes(width)
+    n_blocks = 1 if need <= max_question_bytes else 2 * -(-need // max_question_bytes)
     for number in range(n_blocks):
-        own = split.where(F.col("_block") == number)
+        own = split.where((F.col("_part") >= number / n_blocks) & (F.col("_part") < (number + 1) / n_blocks))
         block = _collect_block(own, qid, qvec, question_cells, max_question_bytes)
+        if n_blocks == 1:
+            return named(partials(block))
         if len(block.keys):
             partials(block).write.mode("append").parquet(out)
     schema = f"qid {qid_type.simpleString()}, key {key_type.simpleString()}, distance double, rank int"

@@ -12,6 +12,8 @@ from vecloom.session import materialize, scratch_path
 from vecloom.sources.chunks import read_chunks
 from vecloom.sources.tables import build_vector_table, with_row_key
 
+BROADCAST_ROWS = 200_000  # results of (question, rank, key, distance) sent to every executor
+
 
 def retrieve_from(
     vectors: DataFrame,
@@ -24,10 +26,13 @@ def retrieve_from(
 ) -> DataFrame:
     """The k nearest passages per question, (qid, rank, key, text, distance), from stored vectors.
 
-    The search reads keys and vectors only. Texts are joined to the k rows per question at
-    the end; adaptive execution broadcasts those when they are few.
+    The search reads keys and vectors only; texts are joined to its results. Those have at
+    most k rows per question, so up to `BROADCAST_ROWS` they are broadcast and the texts are
+    not shuffled. Beyond that it is a shuffled join.
     """
     hits = topk_batch(vectors, questions.select(qid, F.col(vec).alias("_qvec")), k, key, vec, qid, "_qvec")
+    if questions.count() * k <= BROADCAST_ROWS:
+        hits = F.broadcast(hits)
     return vectors.select(key, text_col).join(hits, key).select(qid, "rank", key, text_col, "distance")
 
 
