@@ -43,17 +43,19 @@ class CellIndex:
 
 
 def fit_centroids(
-    df: DataFrame, vec: str, n_cells: int, seed: int = 42, train_fraction: float = 1.0, iterations: int = 10
+    df: DataFrame, vec: str, n_cells: int, seed: int = 42, rows_per_cell: int | None = 1000, iterations: int = 10
 ) -> DataFrame:
     """K-means centroids as (cell, centroid).
 
-    Training on a fraction of a large table is enough: centroids only decide where rows are
-    stored, and every row is assigned a cell afterwards.
+    Trains on about `rows_per_cell` rows for each cell, or on all rows with None. Centroids
+    only decide where rows are stored: `build_cells` places every row whatever they are, so
+    a sample changes how even the cells are and nothing else.
     """
+    if rows_per_cell is not None:
+        share = n_cells * rows_per_cell / max(df.count(), 1)
+        df = df.sample(fraction=share, seed=seed) if share < 1 else df
     rows = df.select(F.col(vec).cast("array<double>").alias("v")).where("v IS NOT NULL")
     rows = rows.where(~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
-    if train_fraction < 1.0:
-        rows = rows.sample(fraction=train_fraction, seed=seed)
     model = KMeans(k=n_cells, seed=seed, maxIter=iterations, featuresCol="f").fit(
         rows.select(array_to_vector("v").alias("f"))
     )

@@ -82,6 +82,28 @@ def _first_per_group(groups: np.ndarray, k: int) -> np.ndarray:
     return position < k
 
 
+def _without_spare_copies(matrix: np.ndarray, k: int) -> np.ndarray:
+    """Rows to keep of `matrix`, which is in key order: of equal rows only the first k.
+
+    No further copy can be among the best k of any question, so a vector that fills a third
+    of a table costs no more than k rows of a batch.
+    """
+    keep = np.ones(len(matrix), dtype=bool)
+    if len(matrix) <= k:
+        return keep
+    bits = np.ascontiguousarray(matrix[:, :16]).view(np.uint64)
+    with np.errstate(over="ignore"):
+        mixed = (bits * (2 * np.arange(1, bits.shape[1] + 1, dtype=np.uint64) ** 5 + 1)).sum(axis=1)
+    order = np.argsort(mixed, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(mixed[order]) != 0])
+    sizes = np.diff(np.r_[starts, len(order)])
+    for start, size in zip(starts[sizes > k], sizes[sizes > k], strict=True):
+        group = order[start : start + size]
+        if (matrix[group] == matrix[group[0]]).all():
+            keep[group[k:]] = False
+    return keep
+
+
 class _Best:
     """The best k (row key, distance) of each question so far, as three parallel arrays."""
 
@@ -194,6 +216,8 @@ def best_rows(
         matrix, rows = matrix[finite], rows[finite]
         if not len(matrix) or not len(block.matrix):
             continue
+        kept = _without_spare_copies(matrix, k)
+        matrix, rows = matrix[kept], rows[kept]
         if block.cells is None:
             _scan(block, everyone, matrix, keys.take(pa.array(rows)), best)
             continue
