@@ -34,7 +34,7 @@ from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
 from vecloom.operators.pooling import mean_pool_groups  # noqa: E402
 from vecloom.operators.topk import topk, topk_batch  # noqa: E402
-from vecloom.plans.retrieval import retrieve, retrieve_from  # noqa: E402
+from vecloom.plans.retrieval import ask, retrieve, retrieve_from  # noqa: E402
 from vecloom.session import materialize, scratch_path, spread  # noqa: E402
 from vecloom.sources.chunks import read_chunks, write_chunks  # noqa: E402
 from vecloom.sources.requests import parse_requests, respond  # noqa: E402
@@ -171,8 +171,7 @@ def p3_to_vector(spark, sf_dir):
 
 
 def p4_text_only(spark, sf_dir):
-    question = _hash(inline_texts(spark, "one_question", "q", [QUOTED_QUESTION]), "q").first()["embedding"]
-    return topk(_hashed(spark, sf_dir, "documents"), question, 5, "doc_id").select("text")
+    return ask(_hashed(spark, sf_dir, "documents"), QUOTED_QUESTION, _hash, 5, "doc_id").select("text")
 
 
 def p5_question_parameter(spark, sf_dir):

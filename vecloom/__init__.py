@@ -6,13 +6,14 @@ from vecloom.operators.embed import embed_column, tokenize_column
 from vecloom.operators.hashing import embed_hash
 from vecloom.operators.lsh import lsh_join
 from vecloom.operators.topk import topk, topk_batch
-from vecloom.plans.retrieval import retrieve
+from vecloom.plans.retrieval import ask, retrieve
 from vecloom.session import get_session
 from vecloom.sources.chunks import read_chunks
 from vecloom.sources.tables import build_vector_table
 from vecloom.streaming.embed_stream import embed_stream
 
 __all__ = [
+    "ask",
     "build_cells",
     "build_vector_table",
     "embed_column",

@@ -19,7 +19,10 @@ def texts_of(column: pa.Array, function: str) -> pa.Array:
 
 
 def matrix_of(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(rows x width float64 matrix of the non-NULL vectors, their row positions)."""
+    """(rows x width matrix of the non-NULL vectors, their row positions).
+
+    Single-precision columns stay so, as a view where Arrow's memory allows; others become float64.
+    """
     rows = np.flatnonzero(np.asarray(pc.is_valid(column)))
     present = column.drop_null()
     if len(present) == 0:
@@ -32,7 +35,9 @@ def matrix_of(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, n
     flat = present.flatten()
     if flat.null_count:
         raise VectorError("a vector has a NULL element")
-    return flat.cast(pa.float64()).to_numpy().reshape(-1, expected), rows
+    if not pa.types.is_float32(flat.type):
+        flat = flat.cast(pa.float64())
+    return flat.to_numpy().reshape(-1, expected), rows
 
 
 def lists_of(matrix: np.ndarray, rows: np.ndarray, n_rows: int) -> pa.Array:

@@ -31,7 +31,7 @@ def _vector_udfs() -> dict:
         if left.shape != right.shape:
             raise VectorError(f"array_distance: widths differ, {left.shape[1]} and {right.shape[1]}")
         out = np.zeros(len(a))
-        out[np.asarray(both)] = np.sqrt(((left - right) ** 2).sum(axis=1))
+        out[np.asarray(both)] = np.sqrt(((left.astype(np.float64) - right) ** 2).sum(axis=1))
         return pa.array(out, mask=~np.asarray(both))
 
     @F.arrow_udf("array<float>")
@@ -44,6 +44,7 @@ def _vector_udfs() -> dict:
     @F.arrow_udf("array<float>")
     def l2_normalize(v: pa.Array) -> pa.Array:
         matrix, rows = matrix_of(v)
+        matrix = matrix.astype(np.float64)
         with np.errstate(invalid="ignore"):
             unit = matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
         return lists_of(unit.astype(np.float32), rows, len(v))

@@ -46,7 +46,7 @@ def signature_udf(directions: np.ndarray, offsets: np.ndarray, tables: int, buck
     def signature(vectors: pa.Array) -> pa.Array:
         matrix, rows = matrix_of(vectors, directions.shape[1])
         finite = np.isfinite(matrix).all(axis=1)
-        intervals = np.floor((matrix[finite] @ directions.T + offsets) / bucket_length).astype(np.int64)
+        intervals = np.floor((matrix[finite].astype(np.float64) @ directions.T + offsets) / bucket_length).astype(np.int64)
         parts = intervals.reshape(-1, directions.shape[0] // tables).T
         codes = pc.binary_join_element_wise(*[pa.array(part).cast(pa.string()) for part in parts], ",")
         counts = np.zeros(len(vectors), dtype=np.int32)

@@ -65,7 +65,7 @@ def mean_pool_groups(
         for batch in batches:
             matrix, _ = matrix_of(batch.column(1))
             m = np.asarray(pc.fill_null(batch.column(2), 0.0))
-            sums.add(batch.column(0).cast(schema.field(0).type), matrix * m[:, None], m)
+            sums.add(batch.column(0).cast(schema.field(0).type), matrix * m[:, None], m)  # m makes it double
             if len(sums.keys) > _GROUPS:
                 yield sums.drain(schema)
         if sums.vectors is not None and len(sums.keys):

@@ -35,6 +35,7 @@ class QuestionBlock:
     @classmethod
     def of(cls, keys: pa.Array, vectors: pa.Array, cells: list | None = None) -> QuestionBlock:
         matrix, rows = matrix_of(vectors)
+        matrix = matrix.astype(np.float64)
         finite = np.isfinite(matrix).all(axis=1)
         kinds = np.full(len(keys), 2, dtype=np.int8)
         kinds[rows] = np.where(finite, 0, 1)
@@ -46,33 +47,63 @@ class QuestionBlock:
 
 
 def pair_distances(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray) -> np.ndarray:
-    """Distances of the pairs (a[ia], b[ib]) by differences, a bounded slice at a time."""
+    """Distances of the pairs (a[ia], b[ib]) by differences in double precision, in bounded slices."""
     out = np.empty(len(ia))
     step = max(1, _TILE // max(1, a.shape[1]))
     for at in range(0, len(ia), step):
-        delta = a[ia[at : at + step]] - b[ib[at : at + step]]
+        delta = a[ia[at : at + step]].astype(np.float64) - b[ib[at : at + step]]
         out[at : at + step] = np.sqrt(np.einsum("ij,ij->i", delta, delta))
     return out
 
 
+def squared_norms(matrix: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", matrix, matrix).astype(np.float64)
+
+
+class Side:
+    """One side of a block of distances, laid out so that one product gives them all.
+
+    With a row (x, |x|^2) on the right and (-2y, 1) on the left, the product is |x-y|^2 - |y|^2.
+    """
+
+    def __init__(self, matrix: np.ndarray, norms: np.ndarray, left: bool, single: bool):
+        self.matrix, self.norms = matrix, norms
+        self.terms = np.empty((len(matrix), matrix.shape[1] + 1), dtype=np.float32 if single else np.float64)
+        if left:
+            np.multiply(matrix, -2, out=self.terms[:, :-1], casting="same_kind")
+            self.terms[:, -1] = 1
+        else:
+            self.terms[:, :-1] = matrix
+            self.terms[:, -1] = norms
+
+    def error(self, other: Side) -> np.ndarray:
+        """Bound, for each row here, on the error of its squared distances to rows of `other`.
+
+        A product of n terms is off by at most n roundings; twice that covers the norms too.
+        """
+        unit = 2.0**-23 if self.terms.dtype == np.float32 else 2.0**-52
+        largest = other.norms.max() if len(other.norms) else 0.0
+        return (self.terms.shape[1] + 8) * unit * (self.norms + largest)
+
+
+def fits_single(norms: np.ndarray) -> bool:
+    return not len(norms) or norms.max() < _SINGLE_LIMIT
+
+
 def squared_products(a: np.ndarray, b: np.ndarray, fast: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Squared distances by |a|^2 + |b|^2 - 2ab, and a bound on the error for each row of `a`.
+    """Squared distances of all rows of `a` and `b`, and a bound on the error for each row of `a`.
 
-    `fast` multiplies in single precision where the norms allow; callers compute the few
+    `fast` works in single precision where the norms allow; callers compute the few
     distances that matter again by differences.
     """
-    a2, b2 = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
-    largest = b2.max() if len(b2) else 0.0
-    if fast and largest + (a2.max() if len(a2) else 0.0) < _SINGLE_LIMIT:
-        unit, kind = 2.0**-23, np.float32
-    else:
-        unit, kind = 2.0**-52, np.float64
-    squares = a.astype(kind, copy=False) @ b.astype(kind, copy=False).T
-    squares *= -2
-    squares += a2.astype(kind)[:, None]
-    squares += b2.astype(kind)[None, :]
-    # A product of n terms is off by at most n roundings; twice that covers the sums too.
-    return squares, (a.shape[1] + 8) * unit * (a2 + largest)
+    if not fast:
+        a, b = a.astype(np.float64), b.astype(np.float64)
+    a2, b2 = squared_norms(a), squared_norms(b)
+    single = fast and fits_single(a2) and fits_single(b2)
+    left, right = Side(a, a2, True, single), Side(b, b2, False, single)
+    squares = left.terms @ right.terms.T
+    squares += left.norms.astype(squares.dtype)[:, None]
+    return squares, left.error(right)
 
 
 def _first_per_group(groups: np.ndarray, k: int) -> np.ndarray:
@@ -91,7 +122,8 @@ def _without_spare_copies(matrix: np.ndarray, k: int) -> np.ndarray:
     keep = np.ones(len(matrix), dtype=bool)
     if len(matrix) <= k:
         return keep
-    bits = np.ascontiguousarray(matrix[:, :16]).view(np.uint64)
+    kind = np.uint32 if matrix.dtype == np.float32 else np.uint64
+    bits = np.ascontiguousarray(matrix[:, :16]).view(kind).astype(np.uint64)
     with np.errstate(over="ignore"):
         mixed = (bits * (2 * np.arange(1, bits.shape[1] + 1, dtype=np.uint64) ** 5 + 1)).sum(axis=1)
     order = np.argsort(mixed, kind="stable")
@@ -130,26 +162,27 @@ class _Best:
         self.limit[full] = self.distance[last]
 
 
-def _scan(block: QuestionBlock, chosen: np.ndarray, matrix: np.ndarray, keys: pa.Array, best: _Best) -> None:
-    """Offer the rows of `matrix` (in key order) to the finite questions `chosen`."""
-    k, n = best.k, len(matrix)
+def _scan(questions: Side, chosen: np.ndarray, rows: Side, keys: pa.Array, best: _Best) -> None:
+    """Offer `rows`, which are in key order, to the finite questions `chosen`."""
+    k, n = best.k, len(rows.matrix)
     step = max(1, _TILE // max(1, n))
+    slack = questions.error(rows)
+    everyone = len(chosen) == len(questions.matrix)
     for at in range(0, len(chosen), step):
-        part = chosen[at : at + step]
-        questions = block.matrix[part]
-        squares, slack = squared_products(questions, matrix)
-        limit = best.limit[part]
+        part = slice(at, at + step) if everyone else chosen[at : at + step]
+        norms, error, limit = questions.norms[part], slack[part], best.limit[part]
+        products = questions.terms[part] @ rows.terms.T
         if n > k and not np.isfinite(limit).all():
-            kth = np.partition(squares, k - 1, axis=1)[:, k - 1]
-            limit = np.minimum(limit, np.sqrt(np.maximum(kth + slack, 0.0)))
+            kth = np.partition(products, k - 1, axis=1)[:, k - 1] + norms
+            limit = np.minimum(limit, np.sqrt(np.maximum(kth + error, 0.0)))
         # What rounds to the distance of the k-th row is a tie for the last place.
-        bound = (limit + 10.0**-DISTANCE_DIGITS) ** 2 + slack
-        q, r = np.nonzero(squares <= bound.astype(squares.dtype)[:, None])
-        distance = pair_distances(questions, matrix, q, r)
-        # Rows are in key order, so a stable sort breaks ties by key.
+        bound = (limit + 10.0**-DISTANCE_DIGITS) ** 2 + error - norms
+        q, r = np.nonzero(products <= bound.astype(products.dtype)[:, None])
+        distance = pair_distances(questions.matrix[part], rows.matrix, q, r)
+        # Rows are in key order, so their position breaks ties by key.
         order = np.lexsort((r, np.round(distance, DISTANCE_DIGITS), q))
         order = order[_first_per_group(q[order], k)]
-        best.merge(part[q[order]], distance[order], keys.take(pa.array(r[order])))
+        best.merge(chosen[at + q[order]], distance[order], keys.take(pa.array(r[order])))
 
 
 class _Tail:
@@ -159,7 +192,8 @@ class _Tail:
         self.k, self.keys = k, pa.array([], type=key_type)
 
     def offer(self, keys: pa.Array) -> None:
-        both = pa.concat_arrays([self.keys, keys])
+        """Keys come in order, so the first k are enough."""
+        both = pa.concat_arrays([self.keys, keys[: self.k]])
         self.keys = both.take(pc.sort_indices(both)[: self.k])
 
 
@@ -198,32 +232,52 @@ def best_rows(
     best = _Best(len(block.matrix), k, key_type)
     tails = {kind: _Tail(k, key_type) for kind in ("any", "present", "nan", "null")}
     everyone = np.arange(len(block.matrix))
+    question_norms = squared_norms(block.matrix)
+    sides: dict[bool, Side] = {}
     probing: dict = {}
     if block.cells is not None:
         for position, row in enumerate(block.rows):
             for cell in block.cells[row] or ():
                 probing.setdefault(cell, []).append(position)
     for batch in batches:
-        batch = batch.take(pc.sort_indices(batch.column(0)))
+        if not _in_order(batch.column(0)):
+            batch = batch.take(pc.sort_indices(batch.column(0)))
         keys, vectors = batch.column(0).cast(key_type), batch.column(1)
         matrix, rows = matrix_of(vectors, block.width)
-        finite = np.isfinite(matrix).all(axis=1)
+        norms = squared_norms(matrix)
+        finite = np.isfinite(norms)
+        if not finite.all() and matrix.dtype == np.float32:  # the norm may be too large for single precision
+            matrix = matrix.astype(np.float64)
+            norms = squared_norms(matrix)
+            finite = np.isfinite(norms)
         if block.cells is None:
             tails["any"].offer(keys)
-            tails["present"].offer(keys.take(pa.array(rows)))
-            tails["nan"].offer(keys.take(pa.array(rows[~finite])))
-            tails["null"].offer(keys.filter(pc.is_null(vectors)))
-        matrix, rows = matrix[finite], rows[finite]
+            if len(rows) < len(keys) or not finite.all() or len(block.rows) < len(block.keys):
+                tails["present"].offer(keys.take(pa.array(rows)))
+                tails["nan"].offer(keys.take(pa.array(rows[~finite])))
+                tails["null"].offer(keys.filter(pc.is_null(vectors)))
+        if not finite.all():
+            matrix, norms, rows = matrix[finite], norms[finite], rows[finite]
         if not len(matrix) or not len(block.matrix):
             continue
         kept = _without_spare_copies(matrix, k)
-        matrix, rows = matrix[kept], rows[kept]
+        if not kept.all():
+            matrix, norms, rows = matrix[kept], norms[kept], rows[kept]
+        single = fits_single(question_norms) and fits_single(norms)
+        if single not in sides:
+            sides[single] = Side(block.matrix, question_norms, True, single)
+        keys = keys.take(pa.array(rows))
         if block.cells is None:
-            _scan(block, everyone, matrix, keys.take(pa.array(rows)), best)
+            _scan(sides[single], everyone, Side(matrix, norms, False, single), keys, best)
             continue
         cells = np.asarray(batch.column(2))[rows]
         for cell in np.unique(cells):
             if cell in probing:
                 own = np.flatnonzero(cells == cell)
-                _scan(block, np.array(probing[cell]), matrix[own], keys.take(pa.array(rows[own])), best)
+                part = Side(matrix[own], norms[own], False, single)
+                _scan(sides[single], np.array(probing[cell]), part, keys.take(pa.array(own)), best)
     yield _emit(block, best, tails, k, schema)
+
+
+def _in_order(keys: pa.Array) -> bool:
+    return len(keys) < 2 or bool(pc.all(pc.less_equal(keys[:-1], keys[1:]), skip_nulls=False).as_py())

@@ -47,11 +47,13 @@ def _rank(partials: DataFrame, k: int) -> DataFrame:
     return partials.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _collect_block(questions: DataFrame, qid: str, vec: str, cells: str | None, max_bytes: int) -> QuestionBlock:
-    """Bring one block of questions, whose size the caller has bounded, to the driver."""
+def _collect_block(
+    questions: DataFrame, qid: str, vec: str, cells: str | None, max_bytes: int | None = None
+) -> QuestionBlock:
+    """Bring one block of questions, whose row count the caller has bounded, to the driver."""
     columns = [qid, vec] + ([cells] if cells else [])
     table = questions.select(*columns).toArrow().combine_chunks()
-    if table.nbytes > 2 * max_bytes:
+    if max_bytes is not None and table.nbytes > 2 * max_bytes:
         raise ValueError(f"a question block has {table.nbytes} bytes, more than twice its bound {max_bytes}")
     arrays = [column.combine_chunks() if table.num_rows else column.type for column in table.columns]
     arrays = [pa.array([], type=a) if isinstance(a, pa.DataType) else a for a in arrays]
@@ -90,7 +92,7 @@ def search(
     kept = questions.select(*[qid, qvec] + ([question_cells] if question_cells else []))
     count = kept.count()  # column pruning leaves out an encoder that makes the vectors
     if count * _row_bytes(_WIDEST) <= max_question_bytes:
-        return named(partials(_collect_block(kept, qid, qvec, question_cells, max_question_bytes)))
+        return named(partials(_collect_block(kept, qid, qvec, question_cells)))
 
     # Too many to be sure they fit one broadcast: write them once, cut into blocks by their
     # true width. With several blocks the corpus is scanned once for each, and each result

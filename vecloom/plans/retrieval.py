@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.operators.topk import topk_batch
+from vecloom.operators.topk import topk, topk_batch
 from vecloom.session import materialize, scratch_path
 from vecloom.sources.chunks import read_chunks
 from vecloom.sources.tables import build_vector_table, with_row_key
@@ -36,6 +36,23 @@ def retrieve_from(
     return vectors.select(key, text_col).join(hits, key).select(qid, "rank", key, text_col, "distance")
 
 
+def ask(
+    vectors: DataFrame,
+    question: str,
+    encode: Callable[[DataFrame, str, str], DataFrame],
+    k: int = 5,
+    key: str = "id",
+    vec: str = "embedding",
+) -> DataFrame:
+    """The k rows of a stored vector table nearest to one question, with `distance`.
+
+    The question is embedded once, on its own, before the table is scanned.
+    """
+    asked = vectors.sparkSession.createDataFrame([(question,)], "question string")
+    vector = encode(asked, "question", "vector").first()["vector"]
+    return topk(vectors, vector, k, key, vec)
+
+
 def retrieve(
     spark: SparkSession,
     chunks_path: str | list[str],
