@@ -21,6 +21,7 @@ from vecloom.functions.registry import register, register_vector_functions  # no
 from vecloom.functions.vectors import (  # noqa: E402
     array_distance,
     l2_normalize,
+    mean_pool,
     rank_distance,
     to_vector,
     valid_text,
@@ -28,7 +29,7 @@ from vecloom.functions.vectors import (  # noqa: E402
 )
 from vecloom.models.artifacts import distribute, resolve  # noqa: E402
 from vecloom.models.spec import spec_of  # noqa: E402
-from vecloom.operators.cells import build_cells, topk_cells  # noqa: E402
+from vecloom.operators.cells import build_cells, fit_centroids, topk_cells  # noqa: E402
 from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
@@ -243,6 +244,14 @@ def e8_masked_mean_pool(spark, sf_dir):
     return _elements(pooled, ["label"], "embedding", "pos", "value")
 
 
+def e8_mean_pool_rows(spark, sf_dir):
+    """Eight token vectors of width 8 from each vector; a mask that changes from row to row."""
+    parts = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.slice("embedding", i * 8 + 1, F.lit(8)))
+    mask = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: ((i + F.col("vec_id")) % 3 != 0).cast("int"))
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", mean_pool(parts, mask).alias("pooled"))
+    return _elements(rows, ["vec_id"], "pooled", "pos", "value")
+
+
 def e9_l2_normalize(spark, sf_dir):
     doubled = F.transform("embedding", lambda x: x.cast("double") * 2 + 1)
     unit = _read(spark, sf_dir, "embeddings").select("vec_id", l2_normalize(doubled).alias("unit"))
@@ -289,6 +298,14 @@ def k2_topk_vectors(spark, sf_dir):
     return topk_batch(rows, asked, 5, "vec_id").withColumn("distance", rank_distance("distance"))
 
 
+def k2_topk_in_blocks(spark, sf_dir):
+    """The way of a question table too large for one broadcast: block by block."""
+    rows = _read(spark, sf_dir, "embeddings")
+    asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
+    found = topk_batch(rows, asked, 5, "vec_id", max_question_bytes=rows.count() * 300)
+    return found.withColumn("distance", rank_distance("distance"))
+
+
 def k2_topk_documents(spark, sf_dir):
     documents, asked = _hashed(spark, sf_dir, "documents"), _hashed(spark, sf_dir, "benchmark")
     hits = retrieve_from(documents, asked, 5, "doc_id", "text", "item_id")
@@ -304,6 +321,15 @@ def k3_cells(spark, sf_dir):
     return topk_cells(spark, index, asked, nprobe=3, k=5).withColumn("distance", rank_distance("distance"))
 
 
+def k3_cells_all_probes(spark, sf_dir):
+    """K-means cells, all of them searched: the exact result."""
+    rows = _read(spark, sf_dir, "embeddings")
+    centroids = fit_centroids(rows, "embedding", 8)
+    index = build_cells(rows, "vec_id", "embedding", scratch_path(spark, "cells"), centroids)
+    asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
+    return topk_cells(spark, index, asked, nprobe=8, k=5).withColumn("distance", rank_distance("distance"))
+
+
 def k4_lsh_join(spark, sf_dir):
     rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     others = rows.withColumnRenamed("vec_id", "other_id")
@@ -360,9 +386,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         s1_inline_questions, s2_csv_chunks, s3_vector_scan, s4_vector_table, s5_json_requests,
         p1_select_star_plus, p3_to_vector, p4_text_only, p5_question_parameter,
         e1_embed, e2_embed_jina, e3_batch_invariance, e4_tokenize, e5_length_groups,
-        e8_mean_pool, e8_masked_mean_pool, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
+        e8_mean_pool, e8_masked_mean_pool, e8_mean_pool_rows, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
         v1_array_distance, v2_vector_width,
-        k1_topk, k2_topk_vectors, k2_topk_documents, k3_cells, k4_lsh_join, k5_retrieve,
+        k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
+        k3_cells, k3_cells_all_probes, k4_lsh_join, k5_retrieve,
         t1_embed_stream, t2_route_requests, u1_registered_functions,
     ]
     return {query.__name__: query for query in listed}
@@ -435,6 +462,11 @@ def oracle_sql() -> dict[str, str]:
     )
     distance = "round(list_distance({a}, {b}), 6)"
 
+    nearest = f"""WITH {vectors}
+SELECT a.vec_id AS qid, b.vec_id, {distance.format(a='a.v', b='b.v')} AS distance,
+  row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id)::INTEGER AS rank
+FROM vectors a CROSS JOIN vectors b QUALIFY rank <= 5"""
+
     def pooled(mask: str) -> str:
         return f"""SELECT label, pos,
   round((sum(x * m) / greatest(sum(m), 1e-8))::FLOAT::DOUBLE, 6) + 0.0 AS value
@@ -482,6 +514,11 @@ FROM documents LEFT JOIN rows_of USING (doc_id)""",
         "e5_length_groups": f"SELECT ({length})::INTEGER AS n_tokens, count(*) AS texts FROM documents GROUP BY 1",
         "e8_mean_pool": pooled("1.0::DOUBLE"),
         "e8_masked_mean_pool": pooled("(vec_id % 3 <> 0)::INTEGER::DOUBLE"),
+        "e8_mean_pool_rows": """SELECT vec_id, pos,
+  round((sum(x * m) / greatest(sum(m), 1e-8))::FLOAT::DOUBLE, 6) + 0.0 AS value
+FROM (SELECT vec_id, (i - 1)::INTEGER % 8 AS pos, x, (((i - 1) // 8 + vec_id) % 3 <> 0)::INTEGER::DOUBLE AS m
+      FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings))
+GROUP BY vec_id, pos""",
         "e9_l2_normalize": """SELECT vec_id, generate_subscripts(v, 1)::INTEGER - 1 AS pos,
   round((unnest(v) / sqrt(list_sum(list_transform(v, lambda x: x * x))))::FLOAT::DOUBLE, 6) + 0.0 AS value
 FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2 + 1) AS v FROM embeddings)""",
@@ -499,10 +536,9 @@ center AS MATERIALIZED (
     FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM vectors) GROUP BY pos))
 SELECT vec_id, label, {distance.format(a='v', b='c')} AS distance
 FROM vectors CROSS JOIN center ORDER BY distance, vec_id LIMIT 10""",
-        "k2_topk_vectors": f"""WITH {vectors}
-SELECT a.vec_id AS qid, b.vec_id, {distance.format(a='a.v', b='b.v')} AS distance,
-  row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id)::INTEGER AS rank
-FROM vectors a CROSS JOIN vectors b QUALIFY rank <= 5""",
+        "k2_topk_vectors": nearest,
+        "k2_topk_in_blocks": nearest,
+        "k3_cells_all_probes": nearest,
         "k2_topk_documents": f"""WITH {asked}
 SELECT qid AS item_id, rank, did AS doc_id, length(text)::INTEGER AS text_length, distance
 FROM ranked JOIN documents ON doc_id = did""",
