@@ -188,6 +188,13 @@ def test_lsh_join_of_one_hot_vector_in_compact_form(spark):
     assert groups.count() == 300 and groups.where("rep = 0").count() == 101
 
 
+def test_lsh_join_without_copies_adds_no_join(spark):
+    rows = frame(spark, make(100, 21, odd=False, copies=False), "x")
+    found = lsh_join(rows, rows.withColumnRenamed("x", "y"), 1.0, "x", "y")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
 def test_lsh_join_reports_comparisons(spark):
     rows = frame(spark, make(200, 20, odd=False, copies=False), "x")
     wide, narrow = {}, {}

@@ -61,8 +61,12 @@ def signature_udf(directions: np.ndarray, offsets: np.ndarray, tables: int, buck
 
 
 def _distinct_vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """(rep, v): each different vector with its first key. Copies collapse before the shuffle."""
-    return df.select(F.col(key).alias("key"), F.col(vec).alias("v")).groupBy("v").agg(F.min("key").alias("rep"))
+    """(rep, v, n): each different vector, its first key and its number of rows.
+
+    Copies collapse before the shuffle.
+    """
+    rows = df.select(F.col(key).alias("key"), F.col(vec).alias("v"))
+    return rows.groupBy("v").agg(F.min("key").alias("rep"), F.count("*").alias("n"))
 
 
 def _bucket_rows(signed: DataFrame) -> DataFrame:
@@ -171,7 +175,7 @@ def lsh_join(
     if totals["hot"] <= BROADCAST_BUCKETS:
         hot = F.broadcast(hot)
     placed = (signed_a.count() + signed_b.count()) * tables + (totals["copies"] or 0)
-    tasks = max(1, -(-placed // task_rows))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-placed // task_rows))
     piece = ["table", "code", "block_a", "block_b"]
     task_of = F.pmod(F.xxhash64(*piece), F.lit(tasks)).alias("task")
     side_a = _blocks(rows_a, hot, "a", "b", block_rows).select(task_of, *piece, "rep", "v", "codes")
@@ -208,15 +212,22 @@ def lsh_join(
     )
     if not expand_copies:
         return found.select(F.col("rep_a").alias(key_a), F.col("rep_b").alias(key_b), "distance")
-    members_a, members_b = copy_groups(a, key_a, vec), copy_groups(b, key_b, vec)
-    return (
-        found.join(members_a.withColumnRenamed("rep", "rep_a"), "rep_a")
-        .join(members_b.withColumnRenamed("rep", "rep_b"), "rep_b")
-        .select(key_a, key_b, "distance")
-    )
+    for df, signed_rows, key, rep in ((a, signed_a, key_a, "rep_a"), (b, signed_b, key_b, "rep_b")):
+        if signed_rows.where("n > 1").isEmpty():
+            found = found.withColumnRenamed(rep, key)
+        else:
+            found = found.join(_members(df, key, vec, signed_rows).withColumnRenamed("rep", rep), rep)
+    return found.select(key_a, key_b, "distance")
+
+
+def _members(df: DataFrame, key: str, vec: str, distinct: DataFrame) -> DataFrame:
+    """(rep, key) of every row, given the distinct vectors. Only vectors with copies are looked up again."""
+    alone = distinct.where("n = 1").select("rep", F.col("rep").alias(key))
+    repeated = distinct.where("n > 1").select("v", "rep")
+    copies = df.select(F.col(key), F.col(vec).alias("v")).join(repeated, "v")
+    return alone.unionByName(copies.select("rep", key))
 
 
 def copy_groups(df: DataFrame, key: str, vec: str = "embedding") -> DataFrame:
     """(rep, key): every row with the first key among the rows that have the same vector."""
-    firsts = _distinct_vectors(df, key, vec)
-    return df.select(F.col(key), F.col(vec).alias("v")).join(firsts, "v").select("rep", key)
+    return _members(df, key, vec, materialize(_distinct_vectors(df, key, vec), "distinct"))
