@@ -42,7 +42,6 @@ from vecloom.sources.requests import parse_requests, respond  # noqa: E402
 from vecloom.sources.tables import build_vector_table, inline_texts  # noqa: E402
 from vecloom.streaming.embed_stream import (  # noqa: E402
     embed_stream,
-    encoder_for,
     request_stream,
     route_requests,
     write_stream,
@@ -368,8 +367,8 @@ def t2_route_requests(spark, sf_dir):
     lines = talk.select(F.to_json(F.struct("text", model)).alias("value"))
     path = scratch_path(spark, "requests")
     spread(lines).write.text(path)
-    encoders = {name: encoder_for(_model(spark, sf_dir, name)) for name in ("embed", "embed_jina")}
-    stored = _stream_result(spark, route_requests(request_stream(spark, path), encoders))
+    models = {name: _model(spark, sf_dir, name) for name in ("embed", "embed_jina")}
+    stored = _stream_result(spark, route_requests(request_stream(spark, path), models))
     return stored.select("text", "model", vector_width("embedding").alias("width"))
 
 

@@ -203,6 +203,12 @@ def test_invalid_bytes_embed_as_the_replacement_character(spark, minilm):
     assert found == pytest.approx(list(encode(minilm, ["the �"], 32)[0]), abs=1e-6)
 
 
+def test_invalid_bytes_in_sql(spark, minilm):
+    register(spark, (minilm,))
+    row = spark.sql("SELECT embed(CAST(X'74686520FF' AS STRING)) a, embed('the \ufffd') b").first()
+    assert row["a"] == row["b"]
+
+
 def test_non_string_argument_is_an_error(spark, minilm):
     register(spark, (minilm,))
     with pytest.raises(Exception, match="expects STRING"):

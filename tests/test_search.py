@@ -161,6 +161,18 @@ def test_cells_keep_rows_without_vectors_and_read_only_probed_ones(spark):
     assert "PartitionFilters: [" in plan and "cell" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_a_hot_cell_is_written_by_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    try:
+        rows = frame(spark, make(6000, 22, odd=False)).repartition(8)
+        index = build_cells(rows, "id", "embedding", scratch_path(spark, "hot"), fit_centroids(rows, "embedding", 4))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = index.rows(spark).select("cell", F.input_file_name().alias("file")).groupBy("cell", "file").count()
+    hot = files.groupBy("cell").agg(F.sum("count").alias("n"), F.count("*").alias("files")).orderBy(F.desc("n")).first()
+    assert hot["n"] >= 2000 and hot["files"] > 1 and index.rows(spark).count() == 6000
+
+
 @pytest.mark.parametrize("blocks", [{}, {"block_rows": 16, "task_rows": 64}])
 def test_lsh_join_finds_only_true_pairs_and_most_of_them(spark, blocks):
     a, b = make(250, 18), make(200, 19)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vecloom import build_vector_table, embed_column, embed_hash, read_chunks, register, retrieve
+from vecloom.operators.embed import embed_routed
 from vecloom.session import materialize, scratch_path, shared_root
 from vecloom.sources.chunks import write_chunks
 from vecloom.sources.requests import accepted, parse_requests, rejected, respond
@@ -200,10 +201,22 @@ def test_routing_runs_each_model_on_its_rows_only(spark, minilm, jina):
     lines += ["{bad", '{"text": "no model"}']
     path = scratch_path(spark, "requests")
     spark.createDataFrame([(line,) for line in lines], "value string").coalesce(2).write.text(path)
-    encoders = {"embed": encoder_for(minilm), "embed_jina": encoder_for(jina)}
+    models = {"embed": minilm, "embed_jina": jina}
     sink = scratch_path(spark, "sink")
-    write_stream(route_requests(request_stream(spark, path), encoders), sink).awaitTermination()
+    write_stream(route_requests(request_stream(spark, path), models), sink).awaitTermination()
     found = [(r["model"], len(r["embedding"])) for r in spark.read.parquet(sink).collect()]
     assert sorted(found) == [("embed", 384)] * 4 + [("embed_jina", 768)] * 4
     batch = accepted(parse_requests(spark.read.text(path), "value"))
-    assert unrouted_requests(batch, encoders).count() == 5
+    assert unrouted_requests(batch, models).count() == 5
+
+
+def test_routing_equals_each_model_alone(spark, minilm, jina):
+    names = ["embed", "embed_jina", "other", None]
+    rows = spark.createDataFrame(
+        [(i, None if i == 3 else f"the {i} light", names[i % 4]) for i in range(20)], "id int, text string, model string"
+    )
+    routed = {r["id"]: r["embedding"] for r in embed_routed(rows, "text", "model", {"embed": minilm, "embed_jina": jina}).collect()}
+    for name, ref in (("embed", minilm), ("embed_jina", jina)):
+        for r in embed_column(rows.where(F.col("model") == name), "text", ref).collect():
+            assert np.abs(np.array(routed[r["id"]]) - np.array(r["embedding"])).max() < 1e-5
+    assert all(routed[i] is None for i in range(20) if i % 4 > 1) and sum(v is not None for v in routed.values()) == 10

@@ -10,11 +10,19 @@ from vecloom.errors import VectorError
 
 
 def texts_of(column: pa.Array, function: str) -> pa.Array:
-    """The argument of a text function: a string column, or the untyped NULL literal."""
+    """The argument of a text function: a string column, or the untyped NULL literal.
+
+    Spark strings may hold invalid UTF-8; such bytes become U+FFFD.
+    """
     if pa.types.is_null(column.type):
         return column.cast(pa.string())
     if not (pa.types.is_string(column.type) or pa.types.is_large_string(column.type)):
         raise TypeError(f"{function} expects STRING, got {column.type}")
+    try:
+        column.validate(full=True)
+    except pa.ArrowInvalid:
+        raw = column.cast(pa.binary()).to_pylist()
+        column = pa.array([None if b is None else b.decode("utf-8", "replace") for b in raw], type=pa.string())
     return column
 
 

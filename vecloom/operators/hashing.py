@@ -14,8 +14,8 @@ is tokenized, hashed (distinct tokens only) and summed by array operations in it
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +31,19 @@ SEPARATORS = r"[^\p{L}\p{N}]+"
 _CELLS = 1 << 22  # dense cells per step: bounds memory for any batch size and width
 
 
-def _token_number(token: str) -> int:
-    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16)
+def _token_numbers(tokens: pa.Array) -> np.ndarray:
+    """The first four bytes of each token's md5 as a big-endian number."""
+    heads = b"".join([md5(token).digest()[:4] for token in tokens.cast(pa.binary()).to_pylist()])
+    return np.frombuffer(heads, dtype=">u4").astype(np.int64)
 
 
 def _hash_texts(texts: pa.Array, dim: int) -> np.ndarray:
     tokens = pc.split_pattern_regex(pc.utf8_lower(texts), SEPARATORS)
     row_of = np.asarray(pc.list_parent_indices(tokens))
     words = pc.dictionary_encode(pc.list_flatten(tokens))
-    numbers = np.array([_token_number(w) for w in words.dictionary.to_pylist()], dtype=np.int64)
+    numbers = _token_numbers(words.dictionary)
     signs = np.where((numbers // dim) % 2 == 0, 1.0, -1.0)
-    signs[np.asarray(words.dictionary.to_numpy(zero_copy_only=False) == "", dtype=bool)] = 0.0
+    signs[np.asarray(pc.equal(words.dictionary, ""))] = 0.0  # what is before or after the outer separators
     word_of = np.asarray(words.indices)
     cells = row_of.astype(np.int64) * dim + (numbers % dim)[word_of]
     counts = np.bincount(cells, weights=signs[word_of], minlength=len(texts) * dim)

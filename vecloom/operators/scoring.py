@@ -203,7 +203,10 @@ def _emit(block: QuestionBlock, best: _Best, tails: dict, k: int, schema: pa.Sch
     keys, distances = [best.key], [pa.array(best.distance)]
     counts = np.zeros(len(block.keys), dtype=np.int64)
     np.add.at(counts, question[0], 1)
-    for index in np.flatnonzero(counts < k):
+    # Which kinds of question have anything to be filled up with: finite, holding NaN, NULL.
+    stock = {kind: len(tail.keys) > 0 for kind, tail in tails.items()}
+    fillable = np.array([stock["nan"] or stock["null"], stock["present"] or stock["null"], stock["any"]])
+    for index in np.flatnonzero((counts < k) & fillable[block.kinds]):
         kind, room = block.kinds[index], k - counts[index]
         if kind == 2:
             fills = [(tails["any"].keys, None)]
