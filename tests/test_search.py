@@ -173,7 +173,10 @@ def test_a_hot_cell_is_written_by_several_tasks(spark):
     assert hot["n"] >= 2000 and hot["files"] > 1 and index.rows(spark).count() == 6000
 
 
-@pytest.mark.parametrize("blocks", [{}, {"block_rows": 16, "task_rows": 64}])
+SHUFFLED = {"broadcast_bytes": 0}
+
+
+@pytest.mark.parametrize("blocks", [{}, SHUFFLED, {**SHUFFLED, "block_rows": 16, "task_rows": 64}])
 def test_lsh_join_finds_only_true_pairs_and_most_of_them(spark, blocks):
     a, b = make(250, 18), make(200, 19)
     found = lsh_join(
@@ -202,14 +205,28 @@ def test_lsh_join_of_one_hot_vector_in_compact_form(spark):
 
 def test_lsh_join_without_copies_adds_no_join(spark):
     rows = frame(spark, make(100, 21, odd=False, copies=False), "x")
-    found = lsh_join(rows, rows.withColumnRenamed("x", "y"), 1.0, "x", "y")
+    scanned = lsh_join(rows, rows.withColumnRenamed("x", "y"), 1.0, "x", "y")
+    assert "Exchange" not in scanned._jdf.queryExecution().executedPlan().toString()
+    found = lsh_join(rows, rows.withColumnRenamed("x", "y"), 1.0, "x", "y", **SHUFFLED)
+    assert sorted(map(tuple, found.select("x", "y").collect())) == sorted(map(tuple, scanned.select("x", "y").collect()))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("way", [{}, SHUFFLED])
+def test_lsh_join_of_empty_tables(spark, way):
+    some, none = frame(spark, make(10, 1), "x"), frame(spark, [], "y")
+    assert lsh_join(some, none, 1.0, "x", "y", **way).collect() == []
+    assert lsh_join(none, some, 1.0, "y", "x", **way).collect() == []
+    assert lsh_join(none, none.withColumnRenamed("y", "x"), 1.0, "y", "x", **way).collect() == []
+
+
 def test_lsh_join_reports_comparisons(spark):
     rows = frame(spark, make(200, 20, odd=False, copies=False), "x")
     wide, narrow = {}, {}
     lsh_join(rows, rows.withColumnRenamed("x", "y"), 0.5, "x", "y", bucket_length=100.0, tables=1, stats=wide)
     lsh_join(rows, rows.withColumnRenamed("x", "y"), 0.5, "x", "y", bucket_length=0.5, tables=1, stats=narrow)
+    again: dict = {}
+    lsh_join(rows, rows.withColumnRenamed("x", "y"), 0.5, "x", "y", bucket_length=0.5, tables=1, stats=again, **SHUFFLED)
+    assert again == narrow
     assert wide["pairs"] == 200 * 200 and narrow["candidates"] < wide["candidates"] <= 200 * 200

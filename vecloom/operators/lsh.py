@@ -4,7 +4,9 @@ A vector's signature has one code per table. A code combines `width` random proj
 each cut into intervals of `bucket_length` (p-stable hashing of Datar et al., 2004). Rows
 are compared where they share a code in some table.
 
-Work is cut into pieces of bounded size, whatever the data looks like:
+Where one side fits a broadcast, the other is scanned in place and nothing is shuffled: each
+task looks its rows' codes up in the small side. Otherwise both sides are shuffled by code,
+in pieces of bounded size whatever the data looks like:
 
 - Equal vectors are joined once, through their first key, and expanded afterwards.
 - A bucket with more than `block_rows` rows on a side is split into blocks, and every block
@@ -15,6 +17,9 @@ Work is cut into pieces of bounded size, whatever the data looks like:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -27,6 +32,7 @@ from vecloom.operators.scoring import pair_distances, squared_products
 from vecloom.session import materialize, ship_package
 
 BROADCAST_BUCKETS = 200_000  # large buckets, by (table, code, two counts), sent to every executor
+SMALL_SIDE_BYTES = 64 << 20  # a side up to this size is broadcast
 _PRODUCTS = 1 << 22  # distance-matrix cells held at once
 
 
@@ -36,26 +42,42 @@ def random_projections(dim: int, tables: int, width: int, bucket_length: float,
     return rng.standard_normal((tables * width, dim)), rng.uniform(0, bucket_length, tables * width)
 
 
-def signature_udf(directions: np.ndarray, offsets: np.ndarray, tables: int, bucket_length: float):
-    """Arrow UDF `vector -> array<string>`: the code of each table; NULL for unusable vectors.
+@dataclass(frozen=True)
+class Hashing:
+    """Projections and interval length of one join."""
 
-    A code is the list of its interval numbers, so different buckets never share a code.
-    """
+    directions: np.ndarray
+    offsets: np.ndarray
+    tables: int
+    bucket_length: float
+
+    def codes(self, matrix: np.ndarray) -> pa.Array:
+        """Codes of finite vectors, table by table within each row.
+
+        A code is the list of its interval numbers, so different buckets never share a code.
+        """
+        shifted = matrix.astype(np.float64) @ self.directions.T + self.offsets
+        intervals = np.floor(shifted / self.bucket_length).astype(np.int64)
+        parts = intervals.reshape(-1, len(self.directions) // self.tables).T
+        return pc.binary_join_element_wise(*[pa.array(part).cast(pa.string()) for part in parts], ",")
+
+    def usable(self, vectors: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The finite vectors and their row positions."""
+        matrix, rows = matrix_of(vectors, self.directions.shape[1])
+        finite = np.isfinite(matrix).all(axis=1)
+        return matrix[finite], rows[finite]
+
+
+def signature_udf(hashing: Hashing):
+    """Arrow UDF `vector -> array<string>`: the code of each table; NULL for unusable vectors."""
 
     @F.arrow_udf("array<string>")
     def signature(vectors: pa.Array) -> pa.Array:
-        matrix, rows = matrix_of(vectors, directions.shape[1])
-        finite = np.isfinite(matrix).all(axis=1)
-        intervals = np.floor((matrix[finite].astype(np.float64) @ directions.T + offsets) / bucket_length).astype(np.int64)
-        parts = intervals.reshape(-1, directions.shape[0] // tables).T
-        codes = pc.binary_join_element_wise(*[pa.array(part).cast(pa.string()) for part in parts], ",")
-        counts = np.zeros(len(vectors), dtype=np.int32)
-        counts[rows[finite]] = tables
-        usable = np.zeros(len(vectors), dtype=bool)
-        usable[rows[finite]] = True
-        return pa.ListArray.from_arrays(
-            pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), codes, mask=pa.array(~usable)
-        )
+        matrix, rows = hashing.usable(vectors)
+        present = np.zeros(len(vectors), dtype=bool)
+        present[rows] = True
+        offsets = np.r_[0, np.cumsum(present * hashing.tables)].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), hashing.codes(matrix), mask=pa.array(~present))
 
     return signature
 
@@ -89,17 +111,17 @@ def _blocks(rows: DataFrame, hot: DataFrame, own: str, other: str, block_rows: i
     return placed.withColumn(f"block_{own}", own_block).withColumn(f"block_{other}", other_block)
 
 
-def _near_pairs(left: np.ndarray, right: np.ndarray, max_dist: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions and distances of the pairs within `max_dist`."""
-    out = []
+def _near_pairs(
+    left: np.ndarray, right: np.ndarray, max_dist: float
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions and distances of the pairs within `max_dist`, a bounded part at a time."""
     step = max(1, _PRODUCTS // max(1, len(right)))
     for at in range(0, len(left), step):
         squares, slack = squared_products(left[at : at + step], right)
         i, j = np.nonzero(squares <= (max_dist * max_dist + slack)[:, None])
         distance = pair_distances(left[at : at + step], right, i, j)
         near = distance <= max_dist
-        out.append((i[near] + at, j[near], distance[near]))
-    return tuple(np.concatenate(parts) for parts in zip(*out, strict=True))
+        yield i[near] + at, j[near], distance[near]
 
 
 def _runs(table: pa.Table, columns: list[str]) -> dict[tuple, np.ndarray]:
@@ -124,6 +146,68 @@ def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
     return n_a.join(n_b, ["table", "code"])
 
 
+def _comparisons(a: DataFrame, b: DataFrame, vec: str, hashing: Hashing) -> int:
+    sign = signature_udf(hashing)
+    sides = [df.select(F.posexplode(sign(vec)).alias("table", "code")) for df in (a, b)]
+    return candidate_pairs(*sides).agg(F.sum(F.col("n_a") * F.col("n_b"))).first()[0] or 0
+
+
+class _CodeBook:
+    """The small side of a scan: its vectors, and for each table its codes and their rows."""
+
+    def __init__(self, rows: pa.Table, hashing: Hashing):
+        self.matrix, own = hashing.usable(rows.column(1).combine_chunks() if rows.num_rows else pa.array([], rows[1].type))
+        self.keys = rows.column(0).take(pa.array(own)).combine_chunks()
+        codes = hashing.codes(self.matrix)
+        self.values, self.members, ids = [], [], []
+        for table in range(hashing.tables):
+            coded = codes.take(pa.array(np.arange(table, len(codes), hashing.tables))).dictionary_encode()
+            number = np.asarray(coded.indices)
+            order = np.argsort(number, kind="stable")
+            self.values.append(coded.dictionary)
+            self.members.append(np.split(order, np.flatnonzero(np.diff(number[order])) + 1))
+            ids.append(number)
+        self.ids = np.stack(ids, axis=1)
+
+
+def _scan_join(
+    large: DataFrame, small: DataFrame, key_large: str, key_small: str, vec: str, max_dist: float, hashing: Hashing
+) -> DataFrame:
+    """Pairs (key_large, key_small, distance) without a shuffle; `small` has a checked size."""
+    spark = large.sparkSession
+    types = large.schema[key_large].dataType, small.schema[key_small].dataType
+    schema = pa.schema(
+        [(key_large, to_arrow_type(types[0])), (key_small, to_arrow_type(types[1])), ("distance", pa.float64())]
+    )
+    shared = spark.sparkContext.broadcast(_CodeBook(small.select(key_small, vec).toArrow(), hashing))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        book = shared.value
+        for batch in batches:
+            matrix, rows = hashing.usable(batch.column(1))
+            keys, codes = batch.column(0).take(pa.array(rows)), hashing.codes(matrix)
+            ids = np.full((len(matrix), hashing.tables), -1, dtype=np.int64)
+            for table, values in enumerate(book.values):
+                own = codes.take(pa.array(np.arange(table, len(codes), hashing.tables)))
+                ids[:, table] = np.asarray(pc.fill_null(pc.index_in(own, value_set=values), -1))
+            for table, members in enumerate(book.members):
+                found = np.flatnonzero(ids[:, table] >= 0)
+                found = found[np.argsort(ids[found, table], kind="stable")]
+                for at_large in np.split(found, np.flatnonzero(np.diff(ids[found, table])) + 1):
+                    if not len(at_large):
+                        continue
+                    at_small = members[ids[at_large[0], table]]
+                    for i, j, distance in _near_pairs(matrix[at_large], book.matrix[at_small], max_dist):
+                        i, j = at_large[i], at_small[j]
+                        first = ~(ids[i, :table] == book.ids[j, :table]).any(axis=1)
+                        if first.any():
+                            columns = [keys.take(pa.array(i[first])), book.keys.take(pa.array(j[first]))]
+                            yield pa.RecordBatch.from_arrays([*columns, pa.array(distance[first])], schema=schema)
+
+    ddl = f"`{key_large}` {types[0].simpleString()}, `{key_small}` {types[1].simpleString()}, distance double"
+    return large.select(key_large, vec).mapInArrow(scan, ddl)
+
+
 def lsh_join(
     a: DataFrame,
     b: DataFrame,
@@ -140,6 +224,7 @@ def lsh_join(
     expand_copies: bool = True,
     projections: tuple[np.ndarray, np.ndarray] | None = None,
     stats: dict | None = None,
+    broadcast_bytes: int = SMALL_SIDE_BYTES,
 ) -> DataFrame:
     """Pairs (key_a, key_b, distance) within `max_dist` that share a code in some table.
 
@@ -150,10 +235,19 @@ def lsh_join(
     """
     spark = a.sparkSession
     ship_package(spark)
+    firsts = [df.where(F.col(vec).isNotNull()).select(F.array_size(vec)).first() for df in (a, b)]
+    dim = next((first[0] for first in firsts if first), 1)
     if projections is None:
-        first = a.where(F.col(vec).isNotNull()).select(F.array_size(vec).alias("n")).first()
-        projections = random_projections(first["n"] if first else 1, tables, width, bucket_length, seed)
-    sign = signature_udf(*projections, tables, bucket_length)
+        projections = random_projections(dim, tables, width, bucket_length, seed)
+    hashing = Hashing(*projections, tables, bucket_length)
+    if expand_copies:
+        rows_a, rows_b = a.count(), b.count()
+        if min(rows_a, rows_b) * (8 * dim + 64 + 32 * tables) <= broadcast_bytes:
+            if stats is not None:
+                stats.update(candidates=_comparisons(a, b, vec, hashing), pairs=rows_a * rows_b)
+            large, small, names = (a, b, (key_a, key_b)) if rows_b <= rows_a else (b, a, (key_b, key_a))
+            return _scan_join(large, small, *names, vec, max_dist, hashing).select(key_a, key_b, "distance")
+    sign = signature_udf(hashing)
 
     def signed(df: DataFrame, key: str, label: str) -> DataFrame:
         rows = _distinct_vectors(df, key, vec).withColumn("codes", sign("v"))
@@ -195,14 +289,12 @@ def lsh_join(
         out = []
         for name in runs_a.keys() & runs_b.keys():
             at_a, at_b = runs_a[name], runs_b[name]
-            i, j, distance = _near_pairs(va[at_a], vb[at_b], max_dist)
-            i, j = at_a[i], at_b[j]
             earlier = name[0]
-            if earlier:
+            for i, j, distance in _near_pairs(va[at_a], vb[at_b], max_dist):
+                i, j = at_a[i], at_b[j]
                 first = ~(ca[i][:, :earlier] == cb[j][:, :earlier]).any(axis=1)
-                i, j, distance = i[first], j[first], distance[first]
-            columns = [ka.take(pa.array(i)), kb.take(pa.array(j)), pa.array(distance)]
-            out.append(pa.Table.from_arrays(columns, schema=arrow_schema))
+                columns = [ka.take(pa.array(i[first])), kb.take(pa.array(j[first])), pa.array(distance[first])]
+                out.append(pa.Table.from_arrays(columns, schema=arrow_schema))
         return pa.concat_tables(out) if out else arrow_schema.empty_table()
 
     found = (
