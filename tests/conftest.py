@@ -12,10 +12,8 @@ WORDS = "a the of what is how does engine car work light speed capital france bo
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     conf = {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"}
-    if not os.environ.get("SPARK_CONF_DIR"):
-        conf["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("shared"))
     session = get_session("tests", "local[4]", conf)
     session.sparkContext.setLogLevel("OFF")
     yield session

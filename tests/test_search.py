@@ -122,6 +122,11 @@ def test_topk_keeps_columns_and_order(spark):
     assert "TakeOrderedAndProject" in plan
 
 
+def test_topk_of_no_question_ranks_by_key(spark):
+    found = topk(frame(spark, make(30, 23)).repartition(3), None, 4).collect()
+    assert [(r["id"], r["distance"]) for r in found] == [(0, None), (1, None), (2, None), (3, None)]
+
+
 def test_fewer_results_are_a_prefix_of_more(spark):
     corpus, question = frame(spark, make(100, 11)), [0.1] * DIM
     many = [r["id"] for r in topk(corpus, question, 20).collect()]

@@ -131,6 +131,7 @@ def topk_cells(
 ) -> DataFrame:
     """Approximate top-k per question: (qid, rank, key, distance).
 
+    A question without a finite vector probes no cell and has no results.
     Only the partitions of probed cells are read. As in `topk_batch`, the table is not
     shuffled, a task emits at most k rows per question, and questions are broadcast in
     blocks of bounded size.

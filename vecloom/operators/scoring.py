@@ -57,6 +57,7 @@ def pair_distances(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray)
 
 
 def squared_norms(matrix: np.ndarray) -> np.ndarray:
+    """As precise as the matrix, which is why a double-precision `Side` needs a double one."""
     return np.einsum("ij,ij->i", matrix, matrix).astype(np.float64)
 
 
@@ -96,10 +97,11 @@ def squared_products(a: np.ndarray, b: np.ndarray, fast: bool = True) -> tuple[n
     `fast` works in single precision where the norms allow; callers compute the few
     distances that matter again by differences.
     """
-    if not fast:
-        a, b = a.astype(np.float64), b.astype(np.float64)
     a2, b2 = squared_norms(a), squared_norms(b)
     single = fast and fits_single(a2) and fits_single(b2)
+    if not single:
+        a, b = a.astype(np.float64), b.astype(np.float64)
+        a2, b2 = squared_norms(a), squared_norms(b)
     left, right = Side(a, a2, True, single), Side(b, b2, False, single)
     squares = left.terms @ right.terms.T
     squares += left.norms.astype(squares.dtype)[:, None]
@@ -248,11 +250,15 @@ def best_rows(
         keys, vectors = batch.column(0).cast(key_type), batch.column(1)
         matrix, rows = matrix_of(vectors, block.width)
         norms = squared_norms(matrix)
+        if matrix.dtype == np.float32 and not (np.isfinite(norms).all() and fits_single(norms)):
+            # NaN, or norms too large for single precision: tell them apart in double precision.
+            matrix = matrix.astype(np.float64)
+            norms = squared_norms(matrix)
         finite = np.isfinite(norms)
-        if not finite.all() and matrix.dtype == np.float32:  # the norm may be too large for single precision
+        single = fits_single(question_norms) and fits_single(norms[finite])
+        if not single and matrix.dtype == np.float32:
             matrix = matrix.astype(np.float64)
             norms = squared_norms(matrix)
-            finite = np.isfinite(norms)
         if block.cells is None:
             tails["any"].offer(keys)
             if len(rows) < len(keys) or not finite.all() or len(block.rows) < len(block.keys):
@@ -266,7 +272,6 @@ def best_rows(
         kept = _without_spare_copies(matrix, k)
         if not kept.all():
             matrix, norms, rows = matrix[kept], norms[kept], rows[kept]
-        single = fits_single(question_norms) and fits_single(norms)
         if single not in sides:
             sides[single] = Side(block.matrix, question_norms, True, single)
         keys = keys.take(pa.array(rows))
