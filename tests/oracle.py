@@ -36,9 +36,8 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
     return sorted(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, sf_dir: str, name: str, query, sql: str) -> str:
-    """Empty if equal, else the difference."""
-    result = query(spark, sf_dir)
+def compare(result, sf_dir: str, sql: str) -> str:
+    """Empty if the DataFrame equals the SQL, else the difference."""
     found = rows_of(result.columns, result.collect())
     relation = connect(sf_dir).execute(sql)
     columns = [c[0] for c in relation.description]
@@ -64,7 +63,7 @@ if __name__ == "__main__":
             continue
         start = time.time()
         try:
-            outcome = compare(spark, sys.argv[1], name, query, sql[name])
+            outcome = compare(query(spark, sys.argv[1]), sys.argv[1], sql[name])
         except Exception as error:
             outcome = f"ERROR {str(error)[:800]}"
         print(f"{name:28s} {time.time() - start:6.1f}s {outcome or 'equal'}", flush=True)

@@ -166,6 +166,14 @@ def test_too_long_text_is_an_error_and_truncation_is_honored(tmp_path, minilm):
     assert encode(cut, [long], 32).shape == (1, 384)
 
 
+def test_long_texts_of_the_second_model(jina):
+    with pytest.raises(TokenizerError, match="9002 tokens"):
+        encode(jina, ["hello " * 9000], 32)
+    long, short = encode(jina, ["hello world " * 1000, "hello world"], 32)
+    assert np.linalg.norm(long) == pytest.approx(1, abs=1e-4)
+    assert np.abs(short - encode(jina, ["hello world"], 32)[0]).max() < 1e-6
+
+
 def test_functions_are_unknown_before_registration(spark):
     fresh = spark.newSession()
     with pytest.raises(Exception, match="UNRESOLVED_ROUTINE"):

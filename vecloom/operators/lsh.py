@@ -228,7 +228,8 @@ def lsh_join(
 ) -> DataFrame:
     """Pairs (key_a, key_b, distance) within `max_dist` that share a code in some table.
 
-    The two key columns need different names. `expand_copies=False` returns each pair of
+    Both sides should be stored tables: they are read more than once, and their copies are
+    found by equal vectors. The two key columns need different names. `expand_copies=False` returns each pair of
     different vectors once, under the first key of each, for tables where equal vectors are
     so many that their pairs are not wanted one by one. `stats`, if given, receives
     `candidates`, the number of comparisons, and `pairs`, the size of the full cross product.
