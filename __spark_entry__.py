@@ -342,7 +342,7 @@ def k4_lsh_join_shuffled(spark, sf_dir):
     others = rows.withColumnRenamed("vec_id", "other_id")
     pairs = lsh_join(
         rows, others, LSH_MAX_DIST, "vec_id", "other_id",
-        projections=LSH_PROJECTIONS, block_rows=64, task_rows=512, broadcast_bytes=0, **LSH,
+        projections=LSH_PROJECTIONS, block_rows=64, broadcast_bytes=0, **LSH,
     )
     return pairs.where("vec_id < other_id").withColumn("distance", rank_distance("distance"))
 

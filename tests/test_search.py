@@ -181,7 +181,7 @@ def test_a_hot_cell_is_written_by_several_tasks(spark):
 SHUFFLED = {"broadcast_bytes": 0}
 
 
-@pytest.mark.parametrize("blocks", [{}, SHUFFLED, {**SHUFFLED, "block_rows": 16, "task_rows": 64}])
+@pytest.mark.parametrize("blocks", [{}, SHUFFLED, {**SHUFFLED, "block_rows": 16}])
 def test_lsh_join_finds_only_true_pairs_and_most_of_them(spark, blocks):
     a, b = make(250, 18), make(200, 19)
     found = lsh_join(
@@ -199,6 +199,18 @@ def test_lsh_join_finds_only_true_pairs_and_most_of_them(spark, blocks):
     assert len(pairs) >= 0.95 * len(exact)
 
 
+def test_lsh_pieces_go_on_over_small_batches(spark):
+    a, b = frame(spark, make(120, 24), "x"), frame(spark, make(120, 25), "y")
+    expected = sorted(map(tuple, lsh_join(a, b, 2.0, "x", "y", bucket_length=3.0).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        found = sorted(map(tuple, lsh_join(a, b, 2.0, "x", "y", bucket_length=3.0, **SHUFFLED).collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r[:2] for r in found] == [r[:2] for r in expected] and len(found) > 100
+    assert [r[2] for r in found] == pytest.approx([r[2] for r in expected])
+
+
 def test_lsh_join_of_one_hot_vector_in_compact_form(spark):
     rows = frame(spark, [(i, [1.0] * DIM if i % 3 == 0 else [float(i)] * DIM) for i in range(300)], "x")
     others = rows.withColumnRenamed("x", "y")

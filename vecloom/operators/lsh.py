@@ -11,8 +11,9 @@ in pieces of bounded size whatever the data looks like:
 - Equal vectors are joined once, through their first key, and expanded afterwards.
 - A bucket with more than `block_rows` rows on a side is split into blocks, and every block
   of one side meets every block of the other, each pair of blocks on its own.
-- Many small pieces share a task; distances come from one matrix product per piece, and only
-  pairs within `max_dist` leave it. A pair that shares several codes is reported by the first.
+- A task reads its pieces in order, one at a time; distances come from one matrix product per
+  piece, and only pairs within `max_dist` leave it. A pair that shares several codes is
+  reported by the first.
 """
 
 from __future__ import annotations
@@ -124,19 +125,23 @@ def _near_pairs(
         yield i[near] + at, j[near], distance[near]
 
 
-def _runs(table: pa.Table, columns: list[str]) -> dict[tuple, np.ndarray]:
-    """Row positions of each piece."""
-    pieces = table.select(columns).append_column("at", pa.array(np.arange(table.num_rows)))
-    grouped = pieces.group_by(columns, use_threads=False).aggregate([("at", "list")])
-    names = zip(*(grouped.column(c).to_pylist() for c in columns), strict=True)
-    return dict(zip(names, (np.array(at) for at in grouped.column("at_list").to_pylist()), strict=True))
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Rows sorted by `piece`, cut so that no piece is split: a table and its pieces' bounds."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]).combine_chunks() if rest is not None else rows
+        bounds = _bounds(rows)
+        rest = rows.slice(bounds[-1][0])  # the last piece may go on in the next batch
+        yield rows, bounds[:-1]
+    if rest is not None:
+        yield rest.combine_chunks(), [(0, rest.num_rows)]
 
 
-def _columns_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    matrix, _ = matrix_of(rows.column("v").combine_chunks())
-    codes = rows.column("codes").combine_chunks()
-    flat = codes.flatten().to_numpy(zero_copy_only=False)
-    return matrix, flat.reshape(len(codes), -1), rows.column("rep").combine_chunks()
+def _bounds(rows: pa.Table) -> list[tuple[int, int]]:
+    piece = rows.column("piece").combine_chunks()
+    cuts = np.flatnonzero(np.asarray(pc.not_equal(piece[1:], piece[:-1]))) + 1
+    return list(zip(np.r_[0, cuts].tolist(), np.r_[cuts, rows.num_rows].tolist(), strict=True))
 
 
 def candidate_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -219,8 +224,7 @@ def lsh_join(
     tables: int = 4,
     width: int = 1,
     seed: int = 42,
-    block_rows: int = 4096,
-    task_rows: int = 32768,
+    block_rows: int = 2048,
     expand_copies: bool = True,
     projections: tuple[np.ndarray, np.ndarray] | None = None,
     stats: dict | None = None,
@@ -258,51 +262,49 @@ def lsh_join(
     rows_a, rows_b = _bucket_rows(signed_a), _bucket_rows(signed_b)
     sizes = materialize(candidate_pairs(rows_a, rows_b), "lsh-sizes")
     large = (F.col("n_a") > block_rows) | (F.col("n_b") > block_rows)
-    copies = F.col("n_a") * (F.ceil(F.col("n_b") / block_rows) - 1) + F.col("n_b") * (F.ceil(F.col("n_a") / block_rows) - 1)
     totals = sizes.agg(
-        F.sum(copies).alias("copies"),
-        F.sum(F.col("n_a") * F.col("n_b")).alias("candidates"),
-        F.count_if(large).alias("hot"),
+        F.sum(F.col("n_a") * F.col("n_b")).alias("candidates"), F.count_if(large).alias("hot")
     ).first()
     if stats is not None:
         stats["candidates"], stats["pairs"] = totals["candidates"] or 0, a.count() * b.count()
     hot = sizes.where(large)
     if totals["hot"] <= BROADCAST_BUCKETS:
         hot = F.broadcast(hot)
-    placed = (signed_a.count() + signed_b.count()) * tables + (totals["copies"] or 0)
-    tasks = max(spark.sparkContext.defaultParallelism, -(-placed // task_rows))
-    piece = ["table", "code", "block_a", "block_b"]
-    task_of = F.pmod(F.xxhash64(*piece), F.lit(tasks)).alias("task")
-    side_a = _blocks(rows_a, hot, "a", "b", block_rows).select(task_of, *piece, "rep", "v", "codes")
-    side_b = _blocks(rows_b, hot, "b", "a", block_rows).select(task_of, *piece, "rep", "v", "codes")
-
     types = (rows_a.schema["rep"].dataType, rows_b.schema["rep"].dataType)
+    piece = F.concat_ws("/", "table", "block_a", "block_b", "code").alias("piece")
+    vector = F.col("v").cast("array<double>") if signed_a.schema["v"] != signed_b.schema["v"] else F.col("v")
+    shared = [piece, "table", vector.alias("v"), "codes"]
+    none_a, none_b = F.lit(None).cast(types[0]).alias("rep_a"), F.lit(None).cast(types[1]).alias("rep_b")
+    side_a = _blocks(rows_a, hot, "a", "b", block_rows).select(*shared, F.col("rep").alias("rep_a"), none_b)
+    side_b = _blocks(rows_b, hot, "b", "a", block_rows).select(*shared, none_a, F.col("rep").alias("rep_b"))
     arrow_schema = pa.schema(
         [("rep_a", to_arrow_type(types[0])), ("rep_b", to_arrow_type(types[1])), ("distance", pa.float64())]
     )
 
-    def join_task(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.combine_chunks(), right.combine_chunks()
-        if not left.num_rows or not right.num_rows:
-            return arrow_schema.empty_table()
-        (va, ca, ka), (vb, cb, kb) = _columns_of(left), _columns_of(right)
-        runs_a, runs_b = _runs(left, piece), _runs(right, piece)
-        out = []
-        for name in runs_a.keys() & runs_b.keys():
-            at_a, at_b = runs_a[name], runs_b[name]
-            earlier = name[0]
-            for i, j, distance in _near_pairs(va[at_a], vb[at_b], max_dist):
-                i, j = at_a[i], at_b[j]
-                first = ~(ca[i][:, :earlier] == cb[j][:, :earlier]).any(axis=1)
-                columns = [ka.take(pa.array(i[first])), kb.take(pa.array(j[first])), pa.array(distance[first])]
-                out.append(pa.Table.from_arrays(columns, schema=arrow_schema))
-        return pa.concat_tables(out) if out else arrow_schema.empty_table()
-
-    found = (
-        side_a.groupBy("task")
-        .cogroup(side_b.groupBy("task"))
-        .applyInArrow(join_task, f"rep_a {types[0].simpleString()}, rep_b {types[1].simpleString()}, distance double")
-    )
+    def join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in _pieces(batches):
+            if not bounds:
+                continue
+            matrix, _ = matrix_of(rows.column("v").combine_chunks())
+            codes = rows.column("codes").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            codes = codes.reshape(rows.num_rows, -1)
+            keys_a, keys_b = rows.column("rep_a").combine_chunks(), rows.column("rep_b").combine_chunks()
+            table, in_a = np.asarray(rows.column("table")), np.asarray(pc.is_valid(keys_a))
+            for start, end in bounds:
+                at_a, at_b = start + np.flatnonzero(in_a[start:end]), start + np.flatnonzero(~in_a[start:end])
+                if not len(at_a) or not len(at_b):
+                    continue
+                earlier = table[start]
+                for i, j, distance in _near_pairs(matrix[at_a], matrix[at_b], max_dist):
+                    i, j = at_a[i], at_b[j]
+                    first = ~(codes[i, :earlier] == codes[j, :earlier]).any(axis=1)
+                    if first.any():
+                        columns = [keys_a.take(pa.array(i[first])), keys_b.take(pa.array(j[first]))]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array(distance[first])], schema=arrow_schema)
+
+    ddl = f"rep_a {types[0].simpleString()}, rep_b {types[1].simpleString()}, distance double"
+    sorted_pieces = side_a.unionByName(side_b).repartition("piece").sortWithinPartitions("piece")
+    found = sorted_pieces.mapInArrow(join_pieces, ddl)
     if not expand_copies:
         return found.select(F.col("rep_a").alias(key_a), F.col("rep_b").alias(key_b), "distance")
     for df, signed_rows, key, rep in ((a, signed_a, key_a, "rep_a"), (b, signed_b, key_b, "rep_b")):
