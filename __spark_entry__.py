@@ -391,6 +391,31 @@ def u1_registered_functions(spark, sf_dir):
     )
 
 
+def _training_data_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the training-data operators and their pipeline, where those are installed."""
+    found: dict = {}
+    try:
+        from vecloom.llm.queries import QUERIES
+
+        found |= QUERIES
+        import corpus_pipeline
+    except ModuleNotFoundError as error:
+        if error.name not in ("vecloom.llm", "vecloom.llm.queries", "corpus_pipeline"):
+            raise
+        return found
+    return found | {"pipeline": corpus_pipeline.run}
+
+
+def _training_data_sql() -> dict[str, str]:
+    try:
+        from vecloom.llm.queries import ORACLE_SQL
+    except ModuleNotFoundError as error:
+        if error.name not in ("vecloom.llm", "vecloom.llm.queries"):
+            raise
+        return {}
+    return dict(ORACLE_SQL)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         s1_inline_questions, s2_csv_chunks, s3_vector_scan, s4_vector_table, s5_json_requests,
@@ -402,7 +427,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         k3_cells, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled, k5_retrieve,
         t1_embed_stream, t2_route_requests, u1_registered_functions,
     ]
-    return {query.__name__: query for query in listed}
+    return {query.__name__: query for query in listed} | _training_data_queries()
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -588,4 +613,4 @@ FROM conversations LEFT JOIN d ON d.id = conv_id || '/' || turn GROUP BY conv_id
         "t2_route_requests": """SELECT text, CASE WHEN role = 'assistant' THEN 'embed' ELSE 'embed_jina' END AS model,
   CASE WHEN role = 'assistant' THEN 384 ELSE 768 END AS width FROM conversations""",
         "u1_registered_functions": "SELECT item_id, 384 AS width, 768 AS width_jina FROM benchmark",
-    }
+    } | _training_data_sql()
