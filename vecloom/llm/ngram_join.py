@@ -14,7 +14,7 @@ How it scales:
 - Equal sets are one node. Near copies are first joined to a leader: nodes that agree in a
   min-hash or in their group meet in chunks of at most `CHUNK` and are verified against the
   chunk's leaders. Only candidates whose ends are not yet in one component are verified after
-  that, first one pair for each two components, then all. So a group of n copies costs about
+  that, first a few pairs for each two components, in TURNS turns, then all. So a group of n copies costs about
   n comparisons, and no link between components is lost.
 - Sets, links and components stay in Spark tables in the shared folder.
 
@@ -37,6 +37,8 @@ from vecloom.session import materialize, ship_package
 CHUNK = 1000
 SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 WIDTH = 32
+PAIRS = 8
+TURNS = 3
 
 
 def _shingles(words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,11 +190,11 @@ def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
     return narrow.join(known, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
 
 
-def _crossing(labelled: DataFrame, percent: int, pick=None) -> DataFrame:
+def _crossing(labelled: DataFrame, percent: int, turn: int | None = None) -> DataFrame:
     """Candidate node pairs between components: prefix shingle shared, sizes near enough.
 
-    With `pick`, one node for each component and shingle stands for the others, and one pair is
-    left for each two components.
+    With a `turn`, one node for each component and shingle stands for the others, another one
+    at each turn, and up to PAIRS pairs are left for each two components.
     """
     groups = labelled.groupBy("grp", "part").agg(
         F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.min("node").alias("node")
@@ -200,18 +202,19 @@ def _crossing(labelled: DataFrame, percent: int, pick=None) -> DataFrame:
     posts = groups.select(F.explode("prefix").alias("token"), "grp", "part", "n", "node")
     mixed = posts.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
     posts = posts.join(mixed.select("token"), "token")
-    if pick is not None:
-        best = pick(F.struct(F.xxhash64("grp", "token").alias("h"), "grp", "n", "node"))
+    if turn is not None:
+        best = F.min(F.struct(F.xxhash64("grp", "token", F.lit(turn)).alias("h"), "grp", "n", "node"))
         posts = posts.groupBy("token", "part").agg(best.alias("s")).select("token", "part", "s.*")
     left = posts.select("token", *(F.col(c).alias(f"{c}1") for c in ("grp", "part", "n", "node")))
     right = posts.select("token", *(F.col(c).alias(f"{c}2") for c in ("grp", "part", "n", "node")))
     near = (F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent)
     pairs = left.join(right, "token").where((F.col("part1") < F.col("part2")) & near)
-    if pick is not None:
+    if turn is not None:
         return (
-            pairs.groupBy("part1", "part2")
+            pairs.groupBy("part1", "part2", F.pmod(F.xxhash64("token"), F.lit(PAIRS)).alias("bin"))
             .agg(F.min(F.struct("node1", "node2")).alias("s"))
             .select(F.col("s.node1").alias("a"), F.col("s.node2").alias("b"))
+            .distinct()
         )
     pairs = pairs.select("grp1", "part1", "grp2", "part2").distinct()
     members = labelled.select("grp", "part", "node")
@@ -254,10 +257,13 @@ def similar_documents(
     nodes = sets.where("node is not null").drop("doc_id", "text_hash").dropDuplicates(["node"])
     nodes = materialize(nodes, "nodes")
     found = materialize(_near_leaders(nodes, percent), "leader-links")
-    for pick in (F.min, None):
-        labelled = materialize(_labelled(nodes, found), "labelled")
-        more = materialize(_verified(_crossing(labelled, percent, pick), nodes, percent), "cross-links")
-        found = found.unionByName(more)
+    labelled = materialize(_labelled(nodes, found), "labelled")
+    for turn in [*range(TURNS), None]:
+        more = materialize(_verified(_crossing(labelled, percent, turn), nodes, percent), "cross-links")
+        if not more.isEmpty():
+            found = found.unionByName(more)
+            if turn is not None:
+                labelled = materialize(_labelled(nodes, found), "labelled")
     known = components(found)
     linked = firsts.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
