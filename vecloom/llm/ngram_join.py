@@ -11,11 +11,10 @@ How it scales:
 - Shingle counts are dealt out as packed hashes by block and bucket (`blocks`), so a frequent
   shingle costs one number for each block. A document whose prefix holds only shingles that occur
   once links with nothing and leaves there; its set is not moved.
-- Equal sets are one node. Near copies are first joined to a leader: nodes that agree in a
-  min-hash or in their group meet in chunks of at most `CHUNK` and are verified against the
-  chunk's leaders. Only candidates whose ends are not yet in one component are verified after
-  that, first a few pairs for each two components, in TURNS turns, then all. So a group of n copies costs about
-  n comparisons, and no link between components is lost.
+- Equal sets are one node. Nodes are first compared with one hub each, the likely original of
+  what they are copies of, twice; components are found, and only candidates whose ends are not
+  yet in one component are verified after that. So a group of n copies costs about n
+  comparisons, and no link between components is lost.
 - Sets, links and components stay in Spark tables in the shared folder.
 
 Sets hold 64-bit hashes of shingles; equal hashes count as equal shingles.
@@ -34,11 +33,7 @@ from vecloom.llm.components import components
 from vecloom.llm.wordhash import U64, mix, ngrams, slices, whole
 from vecloom.session import materialize, ship_package
 
-CHUNK = 1000
-SEEDS = (0x243F6A8885A308D3, 0x13198A2E03707344)
 WIDTH = 32
-PAIRS = 8
-TURNS = 3
 
 
 def _shingles(words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,13 +74,13 @@ def _emit(n: int, bits: int):
     return run
 
 
-SETS_SCHEMA = "doc_id {}, text_hash long, n_shingles long, node long, grp long, prefix array<long>, minima array<long>, tokens binary"
+SETS_SCHEMA = "doc_id {}, text_hash long, n_shingles long, node long, grp long, prefix array<long>, skip int, common double, tokens binary"
 
 
 def _sets(n: int, percent: int, bits: int, id_type: pa.DataType):
     def run(_, table, known):
         recurring = blocks.Recurring(known, bits, WIDTH)
-        out = {k: [] for k in ("n_shingles", "node", "grp", "prefix", "minima", "tokens")}
+        out = {k: [] for k in ("n_shingles", "node", "grp", "prefix", "skip", "common", "tokens")}
         for chunk in table["text"].chunks:
             for low, high, words in slices(chunk, True):
                 rows, grams = _shingles(words, words.hashes(), n)
@@ -101,7 +96,8 @@ def _sets(n: int, percent: int, bits: int, id_type: pa.DataType):
             "node": pa.array(out["node"], pa.int64()),
             "grp": pa.array(out["grp"], pa.int64()),
             "prefix": pa.array(out["prefix"], pa.list_(pa.int64())),
-            "minima": pa.array(out["minima"], pa.list_(pa.int64())),
+            "skip": pa.array(out["skip"], pa.int32()),
+            "common": pa.array(out["common"], pa.float64()),
             "tokens": pa.array(out["tokens"], pa.binary()),
         }
         return pa.table(columns)
@@ -117,7 +113,7 @@ def _one(out: dict, grams: np.ndarray, times: np.ndarray, percent: int) -> None:
     prefix = size - int(_at_least(size, percent)) + 1
     times = times[at]
     if not size or np.count_nonzero(times == 0) >= prefix:
-        for k in ("node", "grp", "prefix", "minima", "tokens"):
+        for k in ("node", "grp", "prefix", "skip", "common", "tokens"):
             out[k].append(None)
         return
     first = np.lexsort((tokens, times))[:prefix]
@@ -127,46 +123,11 @@ def _one(out: dict, grams: np.ndarray, times: np.ndarray, percent: int) -> None:
     out["node"].append(int(ngrams(mix(sums), 2).view(np.int64)[0]))
     out["grp"].append(int(mix(ngrams(head, len(head)) ^ fold).view(np.int64)[0]))
     out["prefix"].append(head[several].view(np.int64))
-    minima = np.array([mix(tokens ^ U64(s)).min() ^ U64(i) for i, s in enumerate(SEEDS)])
-    out["minima"].append(minima.view(np.int64))
+    out["skip"].append(int(prefix - np.count_nonzero(several)))
+    out["common"].append(float(np.log2(times.astype(np.float64) + 1).mean()))
     out["tokens"].append(tokens.tobytes())
 
 
-def _leaders(percent: int):
-    """Links of each node of a chunk to the first leader it links with; else it becomes one."""
-
-    def run(table):
-        nodes = table["node"].to_numpy()
-        sets = [np.frombuffer(x, U64) for x in table["tokens"].to_pylist()]
-        leaders, a, b = [], [], []
-        for i in np.lexsort((nodes, [len(s) for s in sets])):
-            for j in reversed(leaders):  # the nearest in size first
-                if 100 * len(sets[j]) < percent * len(sets[i]):
-                    leaders.append(i)
-                    break
-                if links(sets[i], sets[j], percent):
-                    a.append(nodes[i])
-                    b.append(nodes[j])
-                    break
-            else:
-                leaders.append(i)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
-
-
-def _near_leaders(nodes: DataFrame, percent: int) -> DataFrame:
-    keys = nodes.select("node", F.explode(F.concat("minima", F.array("grp"))).alias("key"))
-    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    dealt = (
-        keys.join(counts, "key")
-        .withColumn("part", F.pmod(F.xxhash64("node", "key"), F.ceil(F.col("n") / CHUNK)))
-        .select("node", "key", "part")
-        .join(nodes.select("node", "tokens"), "node")
-    )
-    return dealt.groupBy("key", "part").applyInArrow(_leaders(percent), "a long, b long")
-
-
 def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Those of the node pairs (a, b) that link."""
     sets = nodes.select("node", "tokens")
@@ -183,39 +144,57 @@ def _verified(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _labelled(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """Narrow nodes with the component found so far."""
+def _labelled(narrow: DataFrame, found: DataFrame) -> DataFrame:
+    """Narrow nodes with the component (`part`) found so far."""
     known = components(found)
-    narrow = nodes.select("node", "n_shingles", "grp", "prefix")
     return narrow.join(known, "node", "left").withColumn("part", F.coalesce("root", "node")).drop("root")
 
 
-def _crossing(labelled: DataFrame, percent: int, turn: int | None = None) -> DataFrame:
-    """Candidate node pairs between components: prefix shingle shared, sizes near enough.
+def _mixed_posts(labelled: DataFrame, *columns: str) -> DataFrame:
+    """(token, part, ...) of the prefix shingles that come up in more than one component."""
+    posts = labelled.select(F.posexplode("prefix").alias("at", "token"), "part", *columns)
+    mixed = posts.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
+    return posts.join(mixed.select("token"), "token")
+
 
-    With a `turn`, one node for each component and shingle stands for the others, another one
-    at each turn, and up to PAIRS pairs are left for each two components.
+def _near(a: str, b: str, percent: int):
+    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+
+
+def _to_hubs(labelled: DataFrame, percent: int) -> DataFrame:
+    """One candidate pair for each node: with the hub that it shares most prefix shingles with.
+
+    The hub of a shingle is the node whose shingles are the most frequent ones on the whole:
+    the text that the others are copies of. So a group of copies is compared with its hub,
+    not with itself.
+    """
+    posts = _mixed_posts(labelled, "node", "n_shingles", "common")
+    hubs = posts.groupBy("token").agg(F.max(F.struct("common", "n_shingles", "node", "part")).alias("h"))
+    met = posts.join(hubs, "token").select(
+        F.col("node").alias("a"), "part", "n_shingles", F.col("h.node").alias("b"),
+        F.col("h.part").alias("hub_part"), F.col("h.n_shingles").alias("hub_n"),
+    )
+    met = met.where((F.col("part") != F.col("hub_part")) & _near("n_shingles", "hub_n", percent))
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    return counted.groupBy("a").agg(F.max(F.struct("n", "b")).alias("s")).select("a", F.col("s.b").alias("b"))
+
+
+def _crossing(labelled: DataFrame, percent: int) -> DataFrame:
+    """All candidate node pairs between components: prefix shingle shared, sizes near enough.
+
+    Groups of one prefix and size meet first, and are then expanded to their members.
     """
     groups = labelled.groupBy("grp", "part").agg(
-        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.min("node").alias("node")
+        F.first("n_shingles").alias("n"), F.first("prefix").alias("prefix"), F.first("skip").alias("skip")
     )
-    posts = groups.select(F.explode("prefix").alias("token"), "grp", "part", "n", "node")
-    mixed = posts.groupBy("token").agg(F.min("part").alias("p"), F.max("part").alias("q")).where("p < q")
-    posts = posts.join(mixed.select("token"), "token")
-    if turn is not None:
-        best = F.min(F.struct(F.xxhash64("grp", "token", F.lit(turn)).alias("h"), "grp", "n", "node"))
-        posts = posts.groupBy("token", "part").agg(best.alias("s")).select("token", "part", "s.*")
-    left = posts.select("token", *(F.col(c).alias(f"{c}1") for c in ("grp", "part", "n", "node")))
-    right = posts.select("token", *(F.col(c).alias(f"{c}2") for c in ("grp", "part", "n", "node")))
-    near = (F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent)
-    pairs = left.join(right, "token").where((F.col("part1") < F.col("part2")) & near)
-    if turn is not None:
-        return (
-            pairs.groupBy("part1", "part2", F.pmod(F.xxhash64("token"), F.lit(PAIRS)).alias("bin"))
-            .agg(F.min(F.struct("node1", "node2")).alias("s"))
-            .select(F.col("s.node1").alias("a"), F.col("s.node2").alias("b"))
-            .distinct()
-        )
+    # What a set has from this shingle on, the ones that occur once before it aside.
+    posts = _mixed_posts(groups, "grp", "n", "skip").withColumn("rest", F.col("n") - F.col("skip") - F.col("at"))
+    left = posts.select("token", *(F.col(c).alias(f"{c}1") for c in ("grp", "part", "n", "rest")))
+    right = posts.select("token", *(F.col(c).alias(f"{c}2") for c in ("grp", "part", "n", "rest")))
+    # At the first shingle that two sets share, both must have enough left.
+    least = (F.col("n1") + F.col("n2")) * percent
+    enough = F.least("rest1", "rest2") * (100 + percent) >= least
+    pairs = left.join(right, "token").where((F.col("part1") < F.col("part2")) & _near("n1", "n2", percent) & enough)
     pairs = pairs.select("grp1", "part1", "grp2", "part2").distinct()
     members = labelled.select("grp", "part", "node")
     one = members.withColumnsRenamed({"grp": "grp1", "part": "part1", "node": "a"})
@@ -256,14 +235,13 @@ def similar_documents(
     firsts = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = sets.where("node is not null").drop("doc_id", "text_hash").dropDuplicates(["node"])
     nodes = materialize(nodes, "nodes")
-    found = materialize(_near_leaders(nodes, percent), "leader-links")
-    labelled = materialize(_labelled(nodes, found), "labelled")
-    for turn in [*range(TURNS), None]:
-        more = materialize(_verified(_crossing(labelled, percent, turn), nodes, percent), "cross-links")
-        if not more.isEmpty():
-            found = found.unionByName(more)
-            if turn is not None:
-                labelled = materialize(_labelled(nodes, found), "labelled")
+    narrow = nodes.select("node", "n_shingles", "grp", "prefix", "skip", "common")
+    found, labelled = None, narrow.withColumn("part", F.col("node"))
+    for candidates in (_to_hubs, _to_hubs, _crossing):
+        more = materialize(_verified(candidates(labelled, percent), nodes, percent), "links")
+        found = more if found is None else found.unionByName(more)
+        if candidates is _to_hubs:
+            labelled = materialize(_labelled(narrow, found), "labelled")
     known = components(found)
     linked = firsts.join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component_id"))
