@@ -49,7 +49,6 @@ from vecloom.streaming.embed_stream import (  # noqa: E402
 from vecloom.testing import SPECIAL_TOKENS, seeded_model  # noqa: E402
 
 DIM = 384
-VOCABULARY = 2000
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
 # The example questions of the documented retrieval use.
@@ -85,7 +84,7 @@ _models: dict = {}
 
 
 def _model(spark: SparkSession, sf_dir: str, name: str):
-    """The configured model, or a seeded one whose words are the table's most frequent ones."""
+    """The configured model, or a seeded one with all its layers and all words of the table."""
     spec = spec_of(name)
     if os.environ.get(spec.folder_variable):
         return distribute(spark, resolve(spec))
@@ -94,9 +93,11 @@ def _model(spark: SparkSession, sf_dir: str, name: str):
         words = _read(spark, sf_dir, "conversations").select(
             F.explode(F.split(F.lower("text"), SEPARATORS)).alias("word")
         )
-        frequent = words.where("word <> ''").groupBy("word").count().orderBy(F.desc("count"), "word").limit(VOCABULARY)
+        frequent = words.where("word <> ''").groupBy("word").count().orderBy(F.desc("count"), "word")
         folder = os.path.join(tempfile.mkdtemp(prefix="vecloom-model-"), name)
-        _models[key] = distribute(spark, seeded_model(folder, name, [row["word"] for row in frequent.collect()]))
+        _models[key] = distribute(
+            spark, seeded_model(folder, name, [row["word"] for row in frequent.collect()], layers=spec.layers)
+        )
     return _models[key]
 
 
@@ -177,10 +178,11 @@ def p4_text_only(spark, sf_dir):
 def p5_question_parameter(spark, sf_dir):
     register_vector_functions(spark)
     _hashed(spark, sf_dir, "documents").createOrReplaceTempView("vector_table")
+    question = spark.sql("SELECT to_vector(embed_hash(:question), 384) AS v", args={"question": QUOTED_QUESTION})
     return spark.sql(
-        """SELECT doc_id, round(array_distance(embedding, to_vector(embed_hash(:question), 384)), 6) AS distance
+        """SELECT doc_id, round(array_distance(embedding, CAST(:v AS array<float>)), 6) AS distance
            FROM vector_table ORDER BY distance NULLS LAST, doc_id LIMIT 5""",
-        args={"question": QUOTED_QUESTION},
+        args={"v": F.array(*map(F.lit, question.first()["v"]))},
     )
 
 
@@ -487,7 +489,7 @@ def oracle_sql() -> dict[str, str]:
     vectors = "vectors AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
     vocabulary = f"""words AS MATERIALIZED (
   SELECT t, row_number() OVER (ORDER BY count(*) DESC, t) + {len(SPECIAL_TOKENS) - 1} AS id
-  FROM w GROUP BY t QUALIFY row_number() OVER (ORDER BY count(*) DESC, t) <= {VOCABULARY})"""
+  FROM w GROUP BY t)"""
     split = "regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')"
     length = f"len(list_filter({split}, lambda t: t <> '')) + 2"
     directions, offsets = LSH_PROJECTIONS

@@ -48,6 +48,23 @@ def matrix_of(column: pa.Array, width: int | None = None) -> tuple[np.ndarray, n
     return flat.to_numpy().reshape(-1, expected), rows
 
 
+def numbers_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all elements in a row as float64, width of each vector) of vectors without NULLs, of any widths."""
+    flat = column.flatten()
+    if flat.null_count:
+        raise VectorError("a vector has a NULL element")
+    return np.asarray(flat.cast(pa.float64())), np.asarray(pc.list_value_length(column)).astype(np.int64)
+
+
+def row_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of `sizes` values; an empty run sums to 0."""
+    out = np.zeros(len(sizes))
+    filled = sizes > 0
+    if filled.any():
+        out[filled] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[filled])
+    return out
+
+
 def lists_of(matrix: np.ndarray, rows: np.ndarray, n_rows: int) -> pa.Array:
     """The rows of `matrix` at positions `rows` of a list column of `n_rows`; NULL elsewhere."""
     width = matrix.shape[1] if matrix.ndim == 2 else 0

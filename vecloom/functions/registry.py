@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from vecloom.errors import VectorError
-from vecloom.functions.arrow_vectors import lists_of, matrix_of
+from vecloom.functions.arrow_vectors import lists_of, matrix_of, numbers_of, row_sums
 from vecloom.models.artifacts import ModelRef
 from vecloom.models.spec import JINA, MINILM, ModelSpec
 from vecloom.operators.embed import embed_udf, model_ref
@@ -26,12 +26,13 @@ def _vector_udfs() -> dict:
     @F.arrow_udf("double")
     def array_distance(a: pa.Array, b: pa.Array) -> pa.Array:
         both = pc.and_(pc.is_valid(a), pc.is_valid(b))
-        left, _ = matrix_of(a.filter(both))
-        right, _ = matrix_of(b.filter(both))
-        if left.shape != right.shape:
-            raise VectorError(f"array_distance: widths differ, {left.shape[1]} and {right.shape[1]}")
+        left, sizes = numbers_of(a.filter(both))
+        right, others = numbers_of(b.filter(both))
+        if (sizes != others).any():
+            at = int(np.flatnonzero(sizes != others)[0])
+            raise VectorError(f"array_distance: widths differ, {sizes[at]} and {others[at]}")
         out = np.zeros(len(a))
-        out[np.asarray(both)] = np.sqrt(((left.astype(np.float64) - right) ** 2).sum(axis=1))
+        out[np.asarray(both)] = np.sqrt(row_sums((left - right) ** 2, sizes))
         return pa.array(out, mask=~np.asarray(both))
 
     @F.arrow_udf("array<float>")
@@ -43,11 +44,14 @@ def _vector_udfs() -> dict:
 
     @F.arrow_udf("array<float>")
     def l2_normalize(v: pa.Array) -> pa.Array:
-        matrix, rows = matrix_of(v)
-        matrix = matrix.astype(np.float64)
+        flat, sizes = numbers_of(v.drop_null())
         with np.errstate(invalid="ignore"):
-            unit = matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
-        return lists_of(unit.astype(np.float32), rows, len(v))
+            unit = flat / np.repeat(np.sqrt(row_sums(flat * flat, sizes)), sizes)
+        valid = np.asarray(pc.is_valid(v))
+        lengths = np.zeros(len(v), np.int64)
+        lengths[valid] = sizes
+        offsets = pa.array(np.r_[0, np.cumsum(lengths)], pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(unit.astype(np.float32)), mask=pa.array(~valid))
 
     return {"array_distance": array_distance, "to_vector": to_vector, "l2_normalize": l2_normalize}
 

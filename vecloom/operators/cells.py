@@ -43,11 +43,11 @@ class CellIndex:
 
 
 def fit_centroids(
-    df: DataFrame, vec: str, n_cells: int, seed: int = 42, rows_per_cell: int | None = 1000, iterations: int = 10
+    df: DataFrame, vec: str, n_cells: int, seed: int = 42, rows_per_cell: int | None = None, iterations: int = 10
 ) -> DataFrame:
     """K-means centroids as (cell, centroid).
 
-    Trains on about `rows_per_cell` rows for each cell, or on all rows with None. Centroids
+    Trains on all rows, or on a sample of about `rows_per_cell` rows for each cell if that is given. Centroids
     only decide where rows are stored: `build_cells` places every row whatever they are, so
     a sample changes how even the cells are and nothing else.
     """

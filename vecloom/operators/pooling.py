@@ -51,18 +51,27 @@ def mean_pool_groups(
     """One vector per key: sum(v * m) / max(sum(m), 1e-8), with m = 1 where no mask is given.
 
     Tasks sum their rows before the shuffle, so a key that holds most of the table costs the
-    shuffle one row per task. Element-wise merging then groups by (key, position).
+    shuffle one row per task. The arrays of a key's partial sums are then added. A key whose
+    vectors are all NULL gets a NULL vector.
     """
     spark = df.sparkSession
     ship_package(spark)
     key_type = df.schema[key].dataType
     schema = pa.schema([("k", to_arrow_type(key_type)), ("sums", pa.list_(pa.float64())), ("weight", pa.float64())])
     weight = F.col(mask).cast("double") if mask else F.lit(1.0)
-    rows = df.select(F.col(key).alias("k"), F.col(vec).alias("v"), weight.alias("m")).where("v IS NOT NULL")
+    rows = df.select(F.col(key).alias("k"), F.col(vec).alias("v"), weight.alias("m"))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums(schema.field(0).type)
         for batch in batches:
+            present = pc.is_valid(batch.column(1))
+            bare = pc.unique(batch.column(0).cast(schema.field(0).type).filter(pc.invert(present)))
+            if len(bare):
+                nothing = [pa.nulls(len(bare), schema.field(1).type), pa.array([0.0] * len(bare))]
+                yield pa.RecordBatch.from_arrays([bare, *nothing], schema=schema)
+            batch = batch.filter(present)
+            if not batch.num_rows:
+                continue
             matrix, _ = matrix_of(batch.column(1))
             m = np.asarray(pc.fill_null(batch.column(2), 0.0))
             sums.add(batch.column(0).cast(schema.field(0).type), matrix * m[:, None], m)  # m makes it double
@@ -72,10 +81,12 @@ def mean_pool_groups(
             yield sums.drain(schema)
 
     partials = rows.mapInArrow(partial, f"k {key_type.simpleString()}, sums array<double>, weight double")
-    elements = partials.select("k", "weight", F.posexplode("sums").alias("pos", "value"))
-    means = elements.groupBy("k", "pos").agg(
-        (F.sum("value") / F.greatest(F.sum("weight"), F.lit(1e-8))).alias("value")
+    parts = partials.groupBy("k").agg(
+        F.filter(F.collect_list(F.struct("sums", "weight")), lambda p: p["sums"].isNotNull()).alias("parts")
     )
-    pooled = means.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("elements"))
-    vector = F.transform(F.col("elements"), lambda e: e["value"].cast("float"))
-    return pooled.select(F.col("k").alias(key), vector.alias(out_col))
+    first = F.element_at("parts", 1)["sums"]
+    rest = F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1)))
+    sums = F.aggregate(rest, first, lambda s, p: F.zip_with(s, p["sums"], lambda x, y: x + y))
+    total = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["weight"])
+    vector = F.transform(sums, lambda x: (x / F.greatest(total, F.lit(1e-8))).cast("float"))
+    return parts.select(F.col("k").alias(key), F.when(F.size("parts") > 0, vector).alias(out_col))
