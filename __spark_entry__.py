@@ -29,7 +29,7 @@ from vecloom.functions.vectors import (  # noqa: E402
 )
 from vecloom.models.artifacts import distribute, resolve  # noqa: E402
 from vecloom.models.spec import spec_of  # noqa: E402
-from vecloom.operators.cells import build_cells, fit_centroids, topk_cells  # noqa: E402
+from vecloom.operators.cells import append_cells, build_cells, fit_centroids, topk_cells  # noqa: E402
 from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
@@ -41,7 +41,9 @@ from vecloom.sources.chunks import read_chunks, write_chunks  # noqa: E402
 from vecloom.sources.requests import parse_requests, respond  # noqa: E402
 from vecloom.sources.tables import build_vector_table, inline_texts  # noqa: E402
 from vecloom.streaming.embed_stream import (  # noqa: E402
+    answer_requests,
     embed_stream,
+    parsed_stream,
     request_stream,
     route_requests,
     write_stream,
@@ -313,11 +315,24 @@ def k2_topk_documents(spark, sf_dir):
     return hits.select("item_id", "rank", "doc_id", F.length("text").alias("text_length"), rank_distance("distance").alias("distance"))
 
 
-def k3_cells(spark, sf_dir):
-    rows = _read(spark, sf_dir, "embeddings")
+def _label_means(spark, rows: DataFrame) -> DataFrame:
     means = mean_pool_groups(rows, "label", "embedding", out_col="centroid")
     centroids = means.select(F.col("label").alias("cell"), F.col("centroid").cast("array<double>").alias("centroid"))
-    index = build_cells(rows, "vec_id", "embedding", scratch_path(spark, "cells"), materialize(centroids, "centroids"))
+    return materialize(centroids, "centroids")
+
+
+def k3_cells(spark, sf_dir):
+    rows = _read(spark, sf_dir, "embeddings")
+    index = build_cells(rows, "vec_id", "embedding", scratch_path(spark, "cells"), _label_means(spark, rows))
+    asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
+    return topk_cells(spark, index, asked, nprobe=3, k=5).withColumn("distance", rank_distance("distance"))
+
+
+def k3_cells_appended(spark, sf_dir):
+    """As `k3_cells`, with the rows in two loads: half of them are added to the built index."""
+    rows, even = _read(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 2 == 0, F.lit(True))
+    index = build_cells(rows.where(even), "vec_id", "embedding", scratch_path(spark, "cells"), _label_means(spark, rows))
+    append_cells(rows.where(~even), index)
     asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
     return topk_cells(spark, index, asked, nprobe=3, k=5).withColumn("distance", rank_distance("distance"))
 
@@ -349,14 +364,19 @@ def k4_lsh_join_shuffled(spark, sf_dir):
     return pairs.where("vec_id < other_id").withColumn("distance", rank_distance("distance"))
 
 
-def k5_retrieve(spark, sf_dir):
+def k5_retrieve(spark, sf_dir, **search):
     path = scratch_path(spark, "csv")
     write_chunks(spread(_read(spark, sf_dir, "documents")).select("doc_id", "text"), path)
     questions = _read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("question"))
-    found = retrieve(spark, path, questions, _hash, DIM, 5, "doc_id", schema="doc_id bigint, text string")
+    found = retrieve(spark, path, questions, _hash, DIM, 5, "doc_id", schema="doc_id bigint, text string", **search)
     return found.select("qid", "rank", "doc_id", "text", rank_distance("distance").alias("distance"))
 
 
+def k5_retrieve_cells(spark, sf_dir):
+    """Retrieval by a cell index, all cells searched: the exact result."""
+    return k5_retrieve(spark, sf_dir, cells=8, nprobe=8)
+
+
 # Streaming and SQL names
 
 
@@ -374,6 +394,26 @@ def t1_embed_stream(spark, sf_dir):
     return stored.select("conv_id", "turn", vector_width("embedding").alias("width"), filled.alias("filled"))
 
 
+def t1_stream_requests(spark, sf_dir):
+    """Every streamed request is answered once: with a vector, or with what is wrong with it."""
+    talk = _read(spark, sf_dir, "conversations")
+    key = F.concat_ws("/", "conv_id", "turn")
+    model = F.when(F.length("text") % 5 == 0, "other").otherwise("hash")
+    body = (
+        F.when(F.col("role") == "user", F.to_json(F.struct(key.alias("id"), "text", model.alias("model"))))
+        .when(F.col("role") == "assistant", F.concat(F.lit("broken "), key))
+        .otherwise(F.to_json(F.struct(key.alias("id"), F.col("text").alias("note"))))
+    )
+    path = scratch_path(spark, "requests")
+    spread(talk.select(body.alias("value"))).write.text(path)
+    stored = _stream_result(spark, answer_requests(parsed_stream(spark, path, request_key="id"), _hash, ["hash"]))
+    back = F.from_json("response", "embedded_text array<float>")["embedded_text"]
+    value = lambda x: F.round(x.cast("double"), 6)
+    filled = F.filter(F.transform(back, lambda x, i: F.struct(i.alias("bucket"), value(x).alias("value"))), lambda e: e["value"] != 0)
+    each = stored.select(F.coalesce("id", "value").alias("request"), "status", F.explode_outer(filled).alias("e"))
+    return each.select("request", "status", "e.bucket", "e.value")
+
+
 def t2_route_requests(spark, sf_dir):
     talk = _read(spark, sf_dir, "conversations")
     model = F.when(F.col("role") == "assistant", "embed").otherwise("embed_jina").alias("model")
@@ -426,8 +466,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         e8_mean_pool, e8_masked_mean_pool, e8_mean_pool_rows, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
-        k3_cells, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled, k5_retrieve,
-        t1_embed_stream, t2_route_requests, u1_registered_functions,
+        k3_cells, k3_cells_appended, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled,
+        k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, u1_registered_functions,
     ]
     return {query.__name__: query for query in listed} | _training_data_queries()
 
@@ -516,6 +556,23 @@ SELECT a.vec_id AS qid, b.vec_id, {distance.format(a='a.v', b='b.v')} AS distanc
   row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id)::INTEGER AS rank
 FROM vectors a CROSS JOIN vectors b QUALIFY rank <= 5"""
 
+    in_cells = f"""WITH {vectors},
+centers AS MATERIALIZED (
+  SELECT cell, list(x ORDER BY pos) AS c FROM (
+    SELECT label AS cell, pos, avg(x)::FLOAT::DOUBLE AS x
+    FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM vectors) GROUP BY label, pos)
+  GROUP BY cell),
+near AS MATERIALIZED (
+  SELECT vec_id, v, cell,
+    row_number() OVER (PARTITION BY vec_id ORDER BY {distance.format(a='v', b='c')}, cell) AS place
+  FROM vectors CROSS JOIN centers)
+SELECT q.vec_id AS qid, r.vec_id, {distance.format(a='q.v', b='r.v')} AS distance,
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance.format(a='q.v', b='r.v')}, r.vec_id)::INTEGER AS rank
+FROM near q JOIN near r ON q.cell = r.cell AND q.place <= 3 AND r.place = 1
+QUALIFY rank <= 5"""
+    retrieved = f"""WITH {asked}
+SELECT qid, rank, did AS doc_id, text, distance FROM ranked JOIN documents ON doc_id = did"""
+
     def pooled(mask: str) -> str:
         return f"""SELECT label, pos,
   round((sum(x * m) / greatest(sum(m), 1e-8))::FLOAT::DOUBLE, 6) + 0.0 AS value
@@ -591,27 +648,23 @@ FROM vectors CROSS JOIN center ORDER BY distance, vec_id LIMIT 10""",
         "k2_topk_documents": f"""WITH {asked}
 SELECT qid AS item_id, rank, did AS doc_id, length(text)::INTEGER AS text_length, distance
 FROM ranked JOIN documents ON doc_id = did""",
-        "k3_cells": f"""WITH {vectors},
-centers AS MATERIALIZED (
-  SELECT cell, list(x ORDER BY pos) AS c FROM (
-    SELECT label AS cell, pos, avg(x)::FLOAT::DOUBLE AS x
-    FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM vectors) GROUP BY label, pos)
-  GROUP BY cell),
-near AS MATERIALIZED (
-  SELECT vec_id, v, cell,
-    row_number() OVER (PARTITION BY vec_id ORDER BY {distance.format(a='v', b='c')}, cell) AS place
-  FROM vectors CROSS JOIN centers)
-SELECT q.vec_id AS qid, r.vec_id, {distance.format(a='q.v', b='r.v')} AS distance,
-  row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance.format(a='q.v', b='r.v')}, r.vec_id)::INTEGER AS rank
-FROM near q JOIN near r ON q.cell = r.cell AND q.place <= 3 AND r.place = 1
-QUALIFY rank <= 5""",
+        "k3_cells": in_cells,
+        "k3_cells_appended": in_cells,
         "k4_lsh_join": near,
         "k4_lsh_join_shuffled": near,
-        "k5_retrieve": f"""WITH {asked}
-SELECT qid, rank, did AS doc_id, text, distance FROM ranked JOIN documents ON doc_id = did""",
+        "k5_retrieve": retrieved,
+        "k5_retrieve_cells": retrieved,
         "t1_embed_stream": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")}
 SELECT conv_id, turn, {DIM} AS width, count(bucket)::INTEGER AS filled
 FROM conversations LEFT JOIN d ON d.id = conv_id || '/' || turn GROUP BY conv_id, turn""",
+        "t1_stream_requests": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")},
+asked AS (
+  SELECT conv_id || '/' || turn AS id,
+    CASE role WHEN 'user' THEN CASE WHEN length(text) % 5 = 0 THEN 'unknown_model' ELSE 'answered' END
+      WHEN 'assistant' THEN 'malformed_json' ELSE 'missing_text' END AS status FROM conversations)
+SELECT CASE WHEN status = 'malformed_json' THEN 'broken ' ELSE '' END || asked.id AS request, status,
+  bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
+FROM asked LEFT JOIN d ON d.id = asked.id AND status = 'answered' AND round(x, 6) <> 0""",
         "t2_route_requests": """SELECT text, CASE WHEN role = 'assistant' THEN 'embed' ELSE 'embed_jina' END AS model,
   CASE WHEN role = 'assistant' THEN 384 ELSE 768 END AS width FROM conversations""",
         "u1_registered_functions": "SELECT item_id, 384 AS width, 768 AS width_jina FROM benchmark",

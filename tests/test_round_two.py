@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.registry import register_vector_functions
 from vecloom.functions.vectors import array_distance
-from vecloom.operators.cells import fit_centroids
+from vecloom.operators.cells import append_cells, build_cells, fit_centroids, topk_cells
 from vecloom.operators.hashing import embed_hash
 from vecloom.operators.pooling import mean_pool_groups
-from vecloom.streaming.embed_stream import embed_stream, reject_stream, request_stream, write_stream
+from vecloom.operators.topk import topk_batch
+from vecloom.plans.retrieval import ask
+from vecloom.sources.requests import parse_requests
+from vecloom.streaming.embed_stream import answer_requests, embed_stream, reject_stream, request_stream, write_stream
 
 
 def test_stream_goes_on_where_it_ended(spark, tmp_path):
@@ -68,3 +71,44 @@ def test_centroids_are_fitted_on_all_rows(spark):
     plain = fit_centroids(table, "v", 2).orderBy("cell").collect()
     assert plain == fit_centroids(table, "v", 2, rows_per_cell=None).orderBy("cell").collect()
     assert plain != fit_centroids(table, "v", 2, rows_per_cell=100).orderBy("cell").select(F.col("cell"), "centroid").collect()
+
+
+def _vectors(spark, n, seed=3):
+    rng = random.Random(seed)
+    return spark.createDataFrame([(f"{i:04d}", [rng.random(), rng.random()]) for i in range(n)], "id string, v array<double>")
+
+
+def test_questions_with_long_keys_are_cut_into_blocks_by_their_bytes(spark):
+    rows = _vectors(spark, 60)
+    asked = rows.select(F.concat("id", F.lit("x" * 4000)).alias("qid"), F.col("v").alias("q"))
+    plain = topk_batch(rows, asked, 3, "id", "v", "qid", "q").collect()
+    cut = topk_batch(rows, asked, 3, "id", "v", "qid", "q", max_question_bytes=50_000).collect()
+    assert sorted(plain) == sorted(cut) and len(plain) == 180
+
+
+def test_rows_added_to_cells_are_found(spark, tmp_path):
+    rows = _vectors(spark, 80)
+    centroids = spark.createDataFrame([(0, [0.2, 0.2]), (1, [0.8, 0.8])], "cell int, centroid array<double>")
+    index = build_cells(rows.where("id < '0040'"), "id", "v", str(tmp_path / "cells"), centroids)
+    append_cells(rows.where("id >= '0040'").withColumn("extra", F.lit(1)), index)
+    asked = rows.select(F.col("id").alias("qid"), F.col("v").alias("q"))
+    found = topk_cells(spark, index, asked, 2, 3, "qid", "q").collect()
+    assert sorted(found) == sorted(topk_batch(rows, asked, 3, "id", "v", "qid", "q").collect())
+    encode = lambda df, text, out: df.withColumn(out, F.array(F.lit(0.1), F.lit(0.9)))
+    near = [r.id for r in ask(rows, "?", encode, 4, "id", "v").collect()]
+    assert near == [r.id for r in ask(rows, "?", encode, 4, "id", "v", index=index, nprobe=2).collect()]
+
+
+def test_every_request_is_answered_once(spark):
+    lines = [
+        '{"id": "a", "text": "one", "model": "m"}', '{"id": "b", "text": "two", "model": "n"}', '{"id": "c", "text": "x"}',
+        '{"id": "d", "model": "m"}', "{", '{"id": "f", "text": "", "model": "m"}',
+    ]
+    table = spark.createDataFrame([(x,) for x in lines], "value string")
+    encode = lambda df, text, out: embed_hash(df, text, out, 16)
+    got = answer_requests(parse_requests(table, "value", "id"), encode, ["m"]).collect()
+    assert {(r.id, r.status, r.response is not None) for r in got} == {
+        ("a", "answered", True), ("b", "unknown_model", False), ("c", "unknown_model", False),
+        ("d", "missing_text", False), (None, "malformed_json", False), ("f", "answered", True),
+    }
+    assert len(got) == len(lines)

@@ -111,12 +111,26 @@ def build_cells(df: DataFrame, key: str, vec: str, path: str, centroids: DataFra
     Rows are gathered by cell before writing, and adaptive execution splits the cells that
     are larger than one write task, so a cell with a third of the table is written in parallel.
     """
-    spark = df.sparkSession
-    assign = nearest_cells(spark, centroids)
-    placed = df.withColumn("cell", F.coalesce(F.get(assign(vec), F.lit(0)), F.lit(NO_CELL)))
-    placed.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/rows")
     centroids.select(F.col("cell").cast("int"), "centroid").coalesce(1).write.parquet(f"{path}/centroids")
-    return CellIndex(path, key, vec)
+    index = CellIndex(path, key, vec)
+    _place(df, index, centroids, "errorifexists")
+    return index
+
+
+def append_cells(df: DataFrame, index: CellIndex) -> None:
+    """Add rows to a built index, each in the cell of its nearest centroid; nothing is rebuilt.
+
+    Rows have the columns of the index. Searches that begin later see them. Keys must be new.
+    """
+    spark = df.sparkSession
+    known = [name for name in index.rows(spark).columns if name != "cell"]
+    _place(df.select(*known), index, index.centroids(spark), "append")
+
+
+def _place(df: DataFrame, index: CellIndex, centroids: DataFrame, mode: str) -> None:
+    assign = nearest_cells(df.sparkSession, centroids)
+    placed = df.withColumn("cell", F.coalesce(F.get(assign(index.vec), F.lit(0)), F.lit(NO_CELL)))
+    placed.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(f"{index.path}/rows")
 
 
 def topk_cells(

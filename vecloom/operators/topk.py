@@ -8,31 +8,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vecloom.functions.vectors import rank_distance
 from vecloom.operators.scoring import QuestionBlock, best_rows
-from vecloom.session import scratch_path, ship_package
+from vecloom.session import materialize, scratch_path, ship_package
 
 QUESTION_BYTES = 64 << 20  # bound of one broadcast block of questions
 _WIDEST = 4096  # width assumed where it is not known yet
 
 
-def _row_bytes(width: int) -> int:
+def _row_bytes(width):
+    """Bytes of a question of this width, its key aside."""
     return 8 * width + 64
 
 
+def _key_bytes(column: str):
+    return F.coalesce(F.octet_length(F.col(column).cast("string")), F.lit(0))
+
+
 def _result_fields(corpus: DataFrame, key: str, questions: DataFrame, qid: str):
     return questions.schema[qid].dataType, corpus.schema[key].dataType
 
 
-def _scan_partials(corpus: DataFrame, columns: Sequence[str], block: QuestionBlock, k: int, qid_type, key_type):
-    """Best k rows per question of every task: (qid, key, distance). No shuffle."""
+def _scan_partials(corpus: DataFrame, columns: Sequence[str], shared, k: int, qid_type, key_type):
+    """Best k rows per question of every task for a broadcast block: (qid, key, distance). No shuffle."""
     spark = corpus.sparkSession
     ship_package(spark)
     arrow_schema = pa.schema(
         [("qid", to_arrow_type(qid_type)), ("key", to_arrow_type(key_type)), ("distance", pa.float64())]
     )
-    shared = spark.sparkContext.broadcast(block)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from best_rows(batches, shared.value, k, arrow_schema)
@@ -47,14 +52,10 @@ def _rank(partials: DataFrame, k: int) -> DataFrame:
     return partials.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _collect_block(
-    questions: DataFrame, qid: str, vec: str, cells: str | None, max_bytes: int | None = None
-) -> QuestionBlock:
-    """Bring one block of questions, whose row count the caller has bounded, to the driver."""
+def _collect_block(questions: DataFrame, qid: str, vec: str, cells: str | None) -> QuestionBlock:
+    """Bring one block of questions, whose bytes the caller has bounded, to the driver."""
     columns = [qid, vec] + ([cells] if cells else [])
     table = questions.select(*columns).toArrow().combine_chunks()
-    if max_bytes is not None and table.nbytes > 2 * max_bytes:
-        raise ValueError(f"a question block has {table.nbytes} bytes, more than twice its bound {max_bytes}")
     arrays = [column.combine_chunks() if table.num_rows else column.type for column in table.columns]
     arrays = [pa.array([], type=a) if isinstance(a, pa.DataType) else a for a in arrays]
     return QuestionBlock.of(arrays[0], arrays[1], arrays[2].to_pylist() if cells else None)
@@ -82,35 +83,40 @@ def search(
     columns = [key, vec] + ([corpus_cell] if corpus_cell else [])
     qid_type, key_type = _result_fields(corpus, key, questions, qid)
 
-    def partials(block: QuestionBlock) -> DataFrame:
-        rows = for_block(corpus, block) if for_block else corpus
-        return _rank(_scan_partials(rows, columns, block, k, qid_type, key_type), k)
+    def partials(shared) -> DataFrame:
+        rows = for_block(corpus, shared.value) if for_block else corpus
+        return _rank(_scan_partials(rows, columns, shared, k, qid_type, key_type), k)
 
     def named(df: DataFrame) -> DataFrame:
         return df.select(F.col("qid").alias(qid), "rank", F.col("key").alias(key), "distance")
 
     kept = questions.select(*[qid, qvec] + ([question_cells] if question_cells else []))
-    count = kept.count()  # column pruning leaves out an encoder that makes the vectors
-    if count * _row_bytes(_WIDEST) <= max_question_bytes:
-        return named(partials(_collect_block(kept, qid, qvec, question_cells)))
-
-    # Too many to be sure they fit one broadcast: write them once, cut into blocks by their
-    # true width. With several blocks the corpus is scanned once for each, and each result
-    # is written before the next block is fetched.
     spark = corpus.sparkSession
+    # Column pruning leaves out an encoder that makes the vectors.
+    most = kept.agg(F.sum(_key_bytes(qid) + _row_bytes(_WIDEST))).first()[0] or 0
+    if most <= max_question_bytes:
+        return named(partials(spark.sparkContext.broadcast(_collect_block(kept, qid, qvec, question_cells))))
+
+    # Too many to be sure they fit one broadcast: write them once, measure them, and write them
+    # again in one folder for each block. The corpus is scanned once for each block, and each
+    # result is written, and the block's broadcast ended, before the next block is fetched.
     split_path, out = scratch_path(spark, "questions"), scratch_path(spark, "topk")
-    kept.withColumn("_part", F.rand(seed=7)).write.parquet(split_path)
-    split = spark.read.parquet(split_path)
-    width = split.agg(F.max(F.array_size(qvec))).first()[0] or 0
-    need = count * _row_bytes(width)
-    n_blocks = 1 if need <= max_question_bytes else 2 * -(-need // max_question_bytes)
+    kept = materialize(kept, "questions")
+    probes = 4 * F.coalesce(F.array_size(question_cells), F.lit(0)) if question_cells else F.lit(0)
+    row = _key_bytes(qid) + _row_bytes(F.coalesce(F.array_size(qvec), F.lit(0))) + probes
+    need = kept.agg(F.sum(row)).first()[0] or 0
+    if need <= max_question_bytes:
+        return named(partials(spark.sparkContext.broadcast(_collect_block(kept, qid, qvec, question_cells))))
+    n_blocks = 2 * -(-need // max_question_bytes)
+    number = F.pmod(F.xxhash64(qid), F.lit(n_blocks)).cast("int")
+    kept.withColumn("_block", number).hint("rebalance", "_block").write.partitionBy("_block").parquet(split_path)
+    split = spark.read.schema(StructType([*kept.schema.fields, StructField("_block", IntegerType())])).parquet(split_path)
     for number in range(n_blocks):
-        own = split.where((F.col("_part") >= number / n_blocks) & (F.col("_part") < (number + 1) / n_blocks))
-        block = _collect_block(own, qid, qvec, question_cells, max_question_bytes)
-        if n_blocks == 1:
-            return named(partials(block))
+        block = _collect_block(split.where(F.col("_block") == number), qid, qvec, question_cells)
         if len(block.keys):
-            partials(block).write.mode("append").parquet(out)
+            shared = spark.sparkContext.broadcast(block)
+            partials(shared).write.mode("append").parquet(out)
+            shared.destroy()
     schema = f"qid {qid_type.simpleString()}, key {key_type.simpleString()}, distance double, rank int"
     return named(spark.read.schema(schema).parquet(out))
 
@@ -157,7 +163,8 @@ def topk_keys(
     vector = None if question is None else [float(x) for x in question]
     block = QuestionBlock.of(pa.array([0], pa.int32()), pa.array([vector], pa.list_(pa.float64())))
     spark = corpus.sparkSession
+    shared = spark.sparkContext.broadcast(block)
     int_type = spark.range(0).select(F.lit(0).alias("q")).schema["q"].dataType
-    partials = _scan_partials(corpus, [key, vec], block, k, int_type, corpus.schema[key].dataType)
+    partials = _scan_partials(corpus, [key, vec], shared, k, int_type, corpus.schema[key].dataType)
     ranked = partials.orderBy(rank_distance("distance").asc_nulls_last(), "key").limit(k)
     return ranked.select(F.col("key").alias(key), "distance")
