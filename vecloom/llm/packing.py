@@ -85,7 +85,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def _pack(capacity: int, pad: int, id_type: pa.DataType):
     def run(key, table):
-        ids = [np.asarray(x.values) for x in table["ids"]]
+        ids = [np.frombuffer(x.as_buffer(), "<i4") for x in table["ids"]]
         owners, firsts, lengths = [], [], []
         for d, own in enumerate(ids):
             for first in range(0, len(own), capacity):
@@ -129,17 +129,23 @@ def _pack(capacity: int, pad: int, id_type: pa.DataType):
 
 
 def token_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(doc_id, h, ids) by a tiktoken vocabulary file; NULL and empty texts have no ids."""
+    """(doc_id, h, ids) by a tiktoken vocabulary file; NULL and empty texts have no ids.
+
+    `ids` are little-endian 32-bit numbers in one binary value, which Spark moves as a whole.
+    """
     spark = docs.sparkSession
     with open(path, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, ids array<int>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, h long, ids binary"
+
+    def numbers(made: tiktoken.Encoding, text: str) -> bytes:
+        return made.encode_to_numpy(text, disallowed_special=()).astype("<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
         made = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
-            found = pa.array([made.encode_ordinary(t.as_py() or "") for t in batch["text"]], pa.list_(pa.int32()))
+            found = pa.array([numbers(made, t.as_py() or "") for t in batch["text"]], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["h"], found], names=["doc_id", "h", "ids"])
 
     key = F.xxhash64("doc_id", text)
@@ -165,7 +171,7 @@ def pack(
         "grp int, pack int, n_tokens int, ids array<int>, positions array<int>, cu_seqlens array<int>, "
         f"doc_ids array<{kind.simpleString()}>, first_tokens array<int>"
     )
-    dealt = token_ids(rows, path).where(F.size("ids") > 0).withColumn("grp", F.pmod("h", F.lit(groups)).cast("int"))
+    dealt = token_ids(rows, path).where(F.octet_length("ids") > 0).withColumn("grp", F.pmod("h", F.lit(groups)).cast("int"))
     return dealt.groupBy("grp").applyInArrow(_pack(capacity, pad, to_arrow_type(kind)), schema)
 
 
