@@ -130,9 +130,8 @@ def s3_vector_scan(spark, sf_dir):
 
 
 def s4_vector_table(spark, sf_dir):
-    table = _hashed(spark, sf_dir, "documents")
-    filled = F.array_size(F.filter("embedding", lambda x: x != 0))
-    return table.select("doc_id", "lang", "source", vector_width("embedding").alias("width"), filled.alias("filled"))
+    table = _hashed(spark, sf_dir, "documents").withColumn("width", vector_width("embedding"))
+    return _elements(table, ["doc_id", "lang", "source", "width"], "embedding", "bucket", "value").where("value <> 0")
 
 
 def s5_json_requests(spark, sf_dir):
@@ -163,7 +162,14 @@ def p1_select_star_plus(spark, sf_dir):
     register_vector_functions(spark)
     spread(_read(spark, sf_dir, "documents")).createOrReplaceTempView("chunks")
     embedded = spark.sql("SELECT *, to_vector(embed_hash(text), 384) AS embedded_text FROM chunks")
-    return embedded.withColumn("embedded_text", vector_width("embedded_text"))
+    # Of the vector: its width, and the signs of its elements summed by place.
+    signs = F.transform("embedded_text", lambda x, i: F.signum(x).cast("long") * (i + 1))
+    return embedded.select(
+        *embedded.columns[:-1],
+        F.aggregate(signs, F.lit(0).cast("long"), lambda s, x: s + x).alias("signed_places"),
+        F.round(F.array_max("embedded_text").cast("double"), 6).alias("largest"),
+        vector_width("embedded_text").alias("embedded_text"),
+    )
 
 
 def p3_to_vector(spark, sf_dir):
@@ -390,8 +396,8 @@ def t1_embed_stream(spark, sf_dir):
     talk = _read(spark, sf_dir, "conversations")
     stream = spark.readStream.schema(talk.schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
     stored = _stream_result(spark, embed_stream(stream, "text", _hash))
-    filled = F.array_size(F.filter("embedding", lambda x: x != 0))
-    return stored.select("conv_id", "turn", vector_width("embedding").alias("width"), filled.alias("filled"))
+    stored = stored.withColumn("width", vector_width("embedding"))
+    return _elements(stored, ["conv_id", "turn", "width"], "embedding", "bucket", "value").where("value <> 0")
 
 
 def t1_stream_requests(spark, sf_dir):
@@ -588,8 +594,8 @@ SELECT qid AS random_questions, rank, did AS doc_id, distance FROM ranked""",
         "s3_vector_scan": """SELECT vec_id, label, generate_subscripts(embedding, 1)::INTEGER - 1 AS pos,
   round(unnest(embedding)::DOUBLE, 6) + 0.0 AS value FROM embeddings""",
         "s4_vector_table": f"""WITH {_hash_sql('d', 'documents', 'doc_id')}
-SELECT doc_id, lang, source, {DIM} AS width, count(bucket)::INTEGER AS filled
-FROM documents LEFT JOIN d ON d.id = doc_id GROUP BY ALL""",
+SELECT doc_id, lang, source, {DIM} AS width, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
+FROM documents JOIN d ON d.id = doc_id WHERE round(x, 6) <> 0""",
         "s5_json_requests": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")},
 filled AS (SELECT id, count(*)::INTEGER AS filled FROM d GROUP BY id)
 SELECT conv_id, turn,
@@ -598,7 +604,11 @@ SELECT conv_id, turn,
   CASE WHEN role = 'user' THEN {DIM} END AS width,
   CASE WHEN role = 'user' THEN filled END AS filled
 FROM conversations LEFT JOIN filled ON filled.id = conv_id || '/' || turn""",
-        "p1_select_star_plus": f"SELECT *, {DIM} AS embedded_text FROM documents",
+        "p1_select_star_plus": f"""WITH {_hash_sql('d', 'documents', 'doc_id')},
+sums AS (
+  SELECT id, sum(sign(x)::BIGINT * (bucket + 1))::BIGINT AS signed_places,
+    round(CASE WHEN count(*) < {DIM} THEN greatest(max(x), 0) ELSE max(x) END, 6) + 0.0 AS largest FROM d GROUP BY id)
+SELECT documents.*, {DIM} AS embedded_text, signed_places, largest FROM documents LEFT JOIN sums ON id = doc_id""",
         "p3_to_vector": """SELECT vec_id, len(embedding::FLOAT[64])::INTEGER AS width,
   round((embedding::FLOAT[64])[64]::DOUBLE, 6) + 0.0 AS last FROM embeddings""",
         "p4_text_only": f"WITH {one}\nSELECT text FROM ranked JOIN documents ON doc_id = did",
@@ -655,8 +665,8 @@ FROM ranked JOIN documents ON doc_id = did""",
         "k5_retrieve": retrieved,
         "k5_retrieve_cells": retrieved,
         "t1_embed_stream": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")}
-SELECT conv_id, turn, {DIM} AS width, count(bucket)::INTEGER AS filled
-FROM conversations LEFT JOIN d ON d.id = conv_id || '/' || turn GROUP BY conv_id, turn""",
+SELECT conv_id, turn, {DIM} AS width, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
+FROM conversations JOIN d ON d.id = conv_id || '/' || turn WHERE round(x, 6) <> 0""",
         "t1_stream_requests": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")},
 asked AS (
   SELECT conv_id || '/' || turn AS id,
