@@ -126,6 +126,28 @@ def test_forest_odd_vectors(spark):
     assert nearest(table.limit(0), table.limit(0)).count() == 0
 
 
+def test_forest_outside_a_hot_cluster(spark):
+    """Over 40,000 vectors, a third in one cluster; few of the queries are in it, and one is alone."""
+    import pandas as pd
+
+    made = np.random.default_rng(5)
+    v = made.standard_normal((42_000, 32))
+    v[:14_000] = made.standard_normal(32) * 3 + 0.05 * v[:14_000]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[41_999] = -v[0]
+    asked = np.r_[0:10, 20_000:20_060, 41_999]
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(v)), "embedding": list(v)})).repartition(4)
+    found = {}
+    for r in nearest(table, table.where(f"vec_id in ({','.join(map(str, asked))})"), 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    shares = []
+    for q in asked:
+        best = np.argsort(-(v @ v[q]), kind="stable")
+        assert len(found.get(q, ())) == 20
+        shares.append(len(found[q] & set(best[best != q][:20])) / 20)
+    assert min(shares) >= 0.7 and np.mean(shares) >= 0.95, (min(shares), np.mean(shares))
+
+
 # 2
 
 

@@ -7,9 +7,11 @@ ends, and the new ones are scored. It stops at the prefix length x at which a ve
 the k-th best found would have been met with the wanted probability: with p the chance that such
 a vector shares a bit, 1 - (1 - p**x)**TREES. All trees end at the same length or deeper.
 
-Trees are cut into shards of vectors that share their first `base` bits; `base` is the depth
-that the rule gives for a bounded sample (SAMPLE rows), so no query needs to leave its shard. A
-shard with more than SHARD_ROWS vectors is dealt out over several tasks, its queries likewise.
+Trees are cut into shards of vectors that share their first bits, at first as many as the rule
+gives for a bounded sample (SAMPLE rows). A query that has met fewer than k vectors in its shards,
+or whose own k-th best asks for a shorter prefix, goes on in another round in shards of shorter
+prefixes, until its own rule is fulfilled or it has met all vectors (prefix 0, one tree). A shard
+with more than SHARD_ROWS vectors is dealt out over several tasks, its queries likewise.
 Of equal vectors only the k + 1 smallest ids can be among the nearest k, so one is indexed,
 with those ids. Vectors of unequal length get one more coordinate, which makes them equally
 long and leaves inner products with queries as they are.
@@ -18,6 +20,8 @@ long and leaves inner products with queries as they are.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -85,28 +89,36 @@ def depth_for(cosine: float) -> int:
     return max(0, min(64, int(math.log(need) / math.log(p)))) if p > 0 else 0
 
 
-def _base_depth(rows: DataFrame, queries: DataFrame, total: int, norm: float, k: int) -> int:
-    """The depth for the k-th nearest, estimated on at most SAMPLE rows and SAMPLE queries."""
+def _base_depth(rows: DataFrame, queries: DataFrame, total: int, k: int) -> int:
+    """The depth to begin with: right for most of at most SAMPLE queries, by SAMPLE rows."""
     def some(df, salt):
         return _matrix(df.orderBy(F.xxhash64("id", F.lit(salt))).limit(SAMPLE).select("v").toArrow()["v"])
 
     a, b = some(rows, 1), some(queries, 2)
-    if not len(a) or not len(b):
+    if not len(a) or not len(b) or total <= k:
         return 0
-    lengths = np.linalg.norm(b, axis=1, keepdims=True) * norm
-    cosines = np.sort((b @ a.T / lengths), axis=1)
-    at = max(0, min(cosines.shape[1] - 1, int(cosines.shape[1] * (1 - k / max(total, 1)))))
-    # Few rows reach so far up: take the pairs of all queries together.
-    pairs = np.sort(cosines, axis=None)
-    place = min(len(pairs) - 1, int(len(pairs) * (1 - k / max(total, k))))
-    own = float(np.quantile(cosines[:, at], 0.05)) if at < cosines.shape[1] - 1 else 1.0
-    return min(20, depth_for(min(own, float(pairs[place]))))
+    norm = np.linalg.norm(a, axis=1).max()
+    cosines = np.sort(b @ a.T / (np.linalg.norm(b, axis=1, keepdims=True) * norm), axis=1)
+    n = cosines.shape[1]
+    own = cosines[:, max(0, min(n - 1, int(n * (1 - k / total))))]
+    if k / total < 1 / n < 0.5:  # further out than the sample reaches: as in a normal distribution
+        mean, z = cosines.mean(axis=1), NormalDist().inv_cdf
+        own = mean + (own - mean) * z(1 - k / total) / z(1 - 1 / n)
+    return min(20, depth_for(float(np.quantile(own, 0.05))))
+
+
+def _own_depth(cosine, deepest: int):
+    """`depth_for`, up to `deepest`, as a column."""
+    need = 1 - (1 - TARGET) ** (1 / TREES)
+    steps = [F.lit(math.cos(math.pi * (1 - need ** (1 / d)))) for d in range(1, deepest + 1)]
+    return reduce(lambda n, step: n + (cosine >= step).cast("int"), steps, F.lit(0))
 
 
-def _climb(k: int, base: int, norm: float):
-    """Best k of one shard for each of its queries."""
+def _climb(k: int, norm: float):
+    """Best k of one shard (tree, depth, ...) for each of its queries."""
 
-    def run(_, queries, rows):
+    def run(key, queries, rows):
+        base = key[1].as_py()
         found = {"query_id": [], "rep": [], "score": []}
         if queries.num_rows and rows.num_rows:
             code = rows["code"].to_numpy()
@@ -205,8 +217,9 @@ def nearest(
     )
     reps = materialize(groups.select(F.element_at("ids", 1).alias("id"), "v", "ids"), "vectors")
     asked = _clean(queries, id_col, vec).withColumn("id", F.col("id").cast("long")).where(F.size("v") == width)
-    asked = materialize(asked.dropDuplicates(["id"]), "queries")
-    base = _base_depth(reps, asked, total, norm, k)
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    asked = materialize(asked.dropDuplicates(["id"]).withColumn("length", F.sqrt(square) * norm), "queries")
+    base = _base_depth(reps, asked, total, k)
     directions = spark.sparkContext.broadcast(_projections(width + 1))
 
     def coded(own_norm):
@@ -220,14 +233,45 @@ def nearest(
         return run
 
     schema = "id long, v array<double>, codes array<long>"
-    prefix = F.shiftrightunsigned("code", 64 - base) if base else F.lit(0).cast("long")
+    prefix = F.when(F.col("depth") > 0, F.expr("shiftrightunsigned(code, 64 - depth)")).otherwise(0)
 
     def shards(df, own_norm):
         one = df.select("id", "v").mapInArrow(coded(own_norm), schema)
-        return one.select("id", "v", F.posexplode("codes").alias("tree", "code")).withColumn("prefix", prefix)
+        return one.select("id", "v", F.posexplode("codes").alias("tree", "code"))
+
+    indexed = shards(reps, norm)
+    left, done = asked.withColumn("depth", F.lit(base)), []
+    while True:  # a query's depth falls with each round
+        depths = sorted(r["depth"] for r in left.select("depth").distinct().collect())  # at most 21 numbers
+        if not depths:
+            break
+        looked = shards(left, None).join(left.select("id", "depth"), "id")
+        level = F.explode(F.array(*map(F.lit, depths)))
+        met = materialize(_round(indexed.withColumn("depth", level), looked, prefix, k, norm), "met")
+        got = met.groupBy(F.col("query_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+        depth, enough = F.col("depth"), F.coalesce(F.col("n") > k, F.lit(False))
+        wanted = _own_depth(F.when(F.col("length") > 0, F.col("kth") / F.col("length")).otherwise(0.0), base)
+        later = F.when(enough, F.least(depth, wanted)).otherwise(F.floor(depth / 2).cast("int"))
+        state = materialize(left.join(got, "id", "left").withColumn("later", later), "rounds")
+        settled = state.where(F.col("later") == depth).select(F.col("id").alias("query_id"))
+        done.append(met.join(settled, "query_id", "left_semi"))
+        left = state.where(F.col("later") < depth).select("id", "v", "length", F.col("later").alias("depth"))
+    if not done:
+        return empty
+    expanded = reduce(DataFrame.unionByName, done).join(reps.select(F.col("id").alias("rep"), "ids"), "rep").select(
+        "query_id", "score", F.explode("ids").alias("vec_id")
+    )
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = expanded.where("vec_id <> query_id").withColumn("rank", F.row_number().over(order))
+    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
-    indexed, looked = shards(reps, norm), shards(asked, None)
-    keys = ["tree", "prefix"]
+
+def _round(indexed: DataFrame, looked: DataFrame, prefix, k: int, norm: float) -> DataFrame:
+    """(query_id, rep, score): the best k + 1, and all that equal the last, of what queries meet at their depth."""
+    # At depth 0 each tree is one shard of all vectors.
+    once = (F.col("depth") > 0) | (F.col("tree") == 0)
+    indexed, looked = (df.where(once).withColumn("prefix", prefix) for df in (indexed, looked))
+    keys = ["tree", "depth", "prefix"]
     # How many tasks a shard's vectors, and its queries, are dealt out to: small tables of at most
     # TREES * 2**base rows.
     cuts = indexed.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / SHARD_ROWS).cast("int").alias("v_cuts"))
@@ -245,12 +289,8 @@ def nearest(
         left.select(*columns)
         .groupBy(*by)
         .cogroup(right.select(*columns).groupBy(*by))
-        .applyInArrow(_climb(k + 1, base, norm), "query_id long, rep long, score double")
+        .applyInArrow(_climb(k + 1, norm), "query_id long, rep long, score double")
     )
     met = met.groupBy("query_id", "rep").agg(F.max("score").alias("score"))
-    expanded = met.join(reps.select(F.col("id").alias("rep"), "ids"), "rep").select(
-        "query_id", "score", F.explode("ids").alias("vec_id")
-    )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = expanded.where("vec_id <> query_id").withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    return met.withColumn("place", F.rank().over(order)).where(F.col("place") <= k + 1).drop("place")
