@@ -457,6 +457,16 @@ def test_stages_on_odd_tables(spark, odd, none):
                 assert out.columns == docs.columns and out.dtypes == docs.dtypes
 
 
+def test_benchmark_stage_takes_out_rows_not_ids(spark):
+    leaked = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(i, t, "en", "a", 1) for i in (None, 5) for t in ("before " + leaked + " after", PLAIN[0], PLAIN[0], None)]
+    docs = spark.createDataFrame([*rows, (6, leaked, "en", "a", 1), (7, "", "en", "a", 1)], DOCS)
+    left = corpus_pipeline.benchmark(spark, docs, SF)
+    assert left.columns == docs.columns
+    expected = [(i, t) for i in (None, 5) for t in (PLAIN[0], PLAIN[0], None)] + [(7, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(expected, key=str)
+
+
 def test_ngram_hash_is_the_same_anywhere():
     words = np.arange(50, dtype=np.uint64) % np.uint64(10)
     grams = ngrams(words, 7)
