@@ -299,6 +299,45 @@ def test_articles_of_given_pages(spark):
         assert got[r.page_id] == "\n".join(" ".join(b.split()) for b in blocks if b.strip())
 
 
+def texts_of(spark, pages):
+    rows = [(i, f"http://{host}.example/{i}", page) for i, (host, page) in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in extract(table).collect()}
+
+
+def test_branches_and_notices_without_marks(spark):
+    menu = "<div class='x'><ul>" + "".join(f"<li>Part {c}</li>" for c in "abcdefghij") + "</ul></div>"
+    body = "<article><h1>Head {n}</h1><p>First {n}<div class='box'><p>Try our new plan</p></div><p>Last {n}</article>"
+    got = texts_of(spark, [("a", menu + body.format(n=n)) for n in range(30)])
+    assert got == {n: f"Head {n}\nFirst {n}\nLast {n}" for n in range(30)}
+
+
+def test_marks_that_name_no_role():
+    for page in (
+        "<body class='has-sidebar'><p>Text</p></body>",
+        "<div id='main' class='no-sidebar'><p>Text</p></div>",
+        "<article class='post comments-open'><p>Text</p></article>",
+        "<article class='banner-post'><p>Text</p></article>",
+        "<div class='banner-post'><h1>Text</h1></div><div class='site-footer'>F</div>",
+        "<p>Text<div class='comments-area'><p>Far longer than the text</p></div>",
+        "<p>Text<div class='post sidebar'>Side</div><div id='cookieNotice'>Cookies</div>",
+    ):
+        assert main_text(page, set()) == "Text", page
+
+
+def test_copies_leave_other_pages_alone(spark):
+    plain = lambda n, m: "".join(f"<p>{n} line {k}</p>" for k in range(10)) + f"<div class='x'>Sign up</div>{m}"
+    pages = [("a", plain("Copy", "")) for _ in range(270)] + [("a", plain(f"Own {n}", "")) for n in range(30)]
+    side = lambda n, m: f"<article>{plain(n, '')}</article><div class='y'>Seen by {m}</div>"
+    pages += [("b", side("Copy", m)) for m in range(270)] + [("b", side(f"Own {n}", n)) for n in range(30)]
+    got = texts_of(spark, pages)
+    for first, end in ((0, ""), (300, "\nSeen by {n}")):
+        for n in range(30):
+            lines = "\n".join(f"Own {n} line {k}" for k in range(10))
+            assert got[first + 270 + n] == lines + end.format(n=n)
+        assert got[first].startswith("\n".join(f"Copy line {k}" for k in range(10)))
+
+
 # 7
 
 

@@ -2,15 +2,21 @@
 
 The pages of a host are merged into one style tree: a node is a path of elements, each with its
 tag, classes and id (digits aside). A node's importance is the entropy of what its occurrences
-hold, over the log of their number: 1 if all differ, 0 if all are alike. Content nodes count
-their texts, presentation nodes the sequence of their children's styles. For small hosts the
-same node's importance over all hosts is mixed in, by PRIOR occurrences. Branches whose
-importance is under `threshold` go, and so do branches whose presentation marks them as no
-content (menus, footers, adverts, forms, comments and so on); nodes of an article go for that
-second reason only. What is left is the text.
-
-Both passes parse pages in Arrow batches. Between them only (host, node, value) hashes are
-counted, in two steps with partial sums, so a host of a third of all pages is no hot key.
+hold, over the log of their number: 1 if all differ, 0 if all are alike. A node's texts are
+counted, the sequences of its children's styles, and the whole texts of its branch. For small
+hosts the same node's importance over all hosts is mixed in, by PRIOR occurrences. Pages of one
+host with the same content (the text of their articles, if there are any) count once, so copies
+don't make content look unimportant.
+
+A block goes when its node's texts are of low importance, a branch when both its styles and its
+whole texts are, inside articles too; but only where the very text comes up again and again
+(MIN_OCCURRENCES), so a page's own text stays. Branches whose presentation names a role that is
+no content (menus, footers, adverts, forms, comments and so on) go as well. What is left is the
+text. A branch whose styles are alike on all pages while its texts vary counts as content.
+
+Both passes parse pages in Arrow batches. Between them only hashes move: one row for each
+different content of a host, then (host, path, kind, value) counts, in two steps with partial
+sums, so a host of a third of all pages is no hot key.
 """
 
 from __future__ import annotations
@@ -63,6 +69,11 @@ _CLOSES = {
     "th": frozenset(["td", "th", "p"]),
     "option": frozenset(["option"]),
 }
+#: A class that begins with one of these tells what a page has or lacks, not what the element is.
+_ABOUT_PAGE = frozenset("has have no not is with without show hide hidden".split())
+#: Elements that hold the page or its content, whatever their classes say.
+_WHOLE = frozenset("html body main article".split())
+TEXTS, STYLES, BRANCH = 0, 1, 2
 _SCOPE = frozenset("ul ol dl table article section div main body html blockquote".split())
 
 
@@ -73,16 +84,52 @@ def _hash(text: str) -> int:
 class Node:
     """An open or closed block element."""
 
-    __slots__ = ("tag", "path", "children", "empty", "article", "texts", "parent")
+    __slots__ = ("tag", "path", "children", "marked", "article", "heads", "parent")
 
     def __init__(self, tag: str, marks: str, parent: Node | None):
         self.tag, self.parent = tag, parent
         self.path = f"{parent.path if parent else ''}/{tag}{marks}"
-        words = set(re.split(r"[^a-z]+", marks.lower())) if marks else ()
-        self.empty = bool(parent and parent.empty) or tag in _NO_CONTENT or not _NO_CONTENT_MARKS.isdisjoint(words)
+        self.marked = tag in _NO_CONTENT or (tag not in _WHOLE and _names_no_content(marks))
         self.article = bool(parent and parent.article) or tag in ("article", "main")
+        self.heads = False  # whether it holds a main element or a first heading
         self.children: list[str] = []
 
+    def line(self) -> Iterator[Node]:
+        """The node and all above it."""
+        node: Node | None = self
+        while node is not None:
+            yield node
+            node = node.parent
+
+
+def _names_no_content(marks: str) -> bool:
+    """Whether a class, id or role as a whole, or its first or last part, names a role that is no content."""
+    for name in re.split(r"[.\s]+", marks):
+        parts = [p for p in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
+        if parts and parts[0] not in _ABOUT_PAGE and not _NO_CONTENT_MARKS.isdisjoint((parts[0], parts[-1])):
+            return True
+    return False
+
+
+def _spare(blocks: list[tuple[Node, str]]) -> None:
+    """Take the mark off nodes that hold most of a page's text and its heading."""
+    sizes: dict[Node, int] = {}
+    whole = 0
+    for node, text in blocks:
+        line = list(node.line())
+        if not any(n.tag in _NO_CONTENT for n in line):
+            whole += len(text)
+            for n in line:
+                if n.marked and n.heads:
+                    sizes[n] = sizes.get(n, 0) + len(text)
+    for node, size in sizes.items():
+        if 2 * size > whole:
+            node.marked = False
+
+
+def _empty(node: Node) -> bool:
+    return any(n.marked for n in node.line())
+
 
 def _marks(attributes: str) -> str:
     if "=" not in attributes:
@@ -138,6 +185,9 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
         node = Node(tag, _marks(m[3]), stack[-1])
         stack[-1].children.append(node.path.rpartition("/")[2])
         nodes.append(node)
+        if tag in ("h1", "main"):
+            for above in node.line():
+                above.heads = True
         if tag in _RAW:  # its content is no markup, and no text of the page
             low = page.lower() if low is None or len(low) != len(page) else low
             end = low.find(f"</{tag}", at)
@@ -146,33 +196,49 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
             continue
         stack.append(node)
     flush()
+    _spare(blocks)
     return blocks, nodes
 
 
-def node_values(page: str) -> Counter:
-    """How often each (node, value) comes up in a page; 8-byte hashes."""
+def _branches(blocks: list[tuple[Node, str]]) -> dict[Node, list[str]]:
+    """The texts under each node that has block elements in it."""
+    under: dict[Node, list[str]] = {}
+    for node, text in blocks:
+        for n in node.line():
+            if n.children and n.tag and n.tag not in _WHOLE:
+                under.setdefault(n, []).append(text)
+    return under
+
+
+def node_values(page: str) -> tuple[int, Counter]:
+    """A hash of a page's content, and how often each (path, kind, value) comes up in it; 8-byte hashes."""
     blocks, nodes = parse(page)
+    blocks = [(node, text) for node, text in blocks if not _empty(node)]
     found: Counter = Counter()
     for node, text in blocks:
-        if not node.empty:
-            found[_hash("text" + node.path), _hash(text)] += 1
+        found[_hash(node.path), TEXTS, _hash(text)] += 1
+    for node, texts in _branches(blocks).items():
+        found[_hash(node.path), BRANCH, _hash("\n".join(texts))] += 1
     for node in nodes:
-        if node.children and not node.empty:
-            found[_hash("node" + node.path), _hash(" ".join(dict.fromkeys(node.children)))] += 1
-    return found
+        if node.children and not _empty(node):
+            found[_hash(node.path), STYLES, _hash(" ".join(dict.fromkeys(node.children)))] += 1
+    inside = [text for node, text in blocks if node.article]
+    return _hash("\n".join(inside or [text for _, text in blocks])), found
 
 
-def main_text(page: str | None, low: set[int]) -> str:
-    """Text of the blocks that are content, given the hashes of nodes of low importance."""
+def main_text(page: str | None, low: set[tuple[int, int, int]]) -> str:
+    """Text of the blocks that are content, given the (path, kind, value) hashes that are none."""
     if not page:
         return ""
-    out, kept = [], {}
-    for node, text in parse(page)[0]:
-        if node.path not in kept:
-            gone = node.empty or (not node.article and _hash("text" + node.path) in low)
-            kept[node.path] = not gone
-        if kept[node.path]:
-            out.append(text)
+    blocks = [(node, text) for node, text in parse(page)[0] if not _empty(node)]
+    gone = {
+        node for node, texts in _branches(blocks).items() if low and (_hash(node.path), BRANCH, _hash("\n".join(texts))) in low
+    }
+    out = []
+    for node, text in blocks:
+        if low and ((_hash(node.path), TEXTS, _hash(text)) in low or any(n in gone for n in node.line())):
+            continue
+        out.append(text)
     return "\n".join(out)
 
 
@@ -180,24 +246,30 @@ def _host(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1), F.lit("")))
 
 
-def style_trees(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, node, occurrences, importance) of all nodes that are not marked as no content."""
+def style_trees(pages: DataFrame, url: str = "url", html: str = "html", threshold: float = THRESHOLD) -> DataFrame:
+    """(host, path, kind, value) of the texts and branches that are no content by their importance."""
     ship_package(pages.sparkSession)
+    names = ("path", "kind", "value", "n")
+    counted = "array<struct<path:long,kind:int,value:long,n:long>>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+        kind = pa.list_(pa.struct(list(zip(names, kinds, strict=True))))
         for batch in batches:
-            found: Counter = Counter()
+            found: dict[tuple, list] = {}
             for host, page in zip(batch["host"].to_pylist(), batch["html"], strict=True):
-                for (node, value), n in node_values(page.as_py() or "").items():
-                    found[host, node, value] += n
-            keys = list(found)
-            columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int64()))]
-            columns.append(pa.array(list(found.values()), pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, names=["host", "node", "value", "n"])
+                content, values = node_values(page.as_py() or "")
+                own = sorted((*key, n) for key, n in values.items())
+                found[host, content] = min(own, found.get((host, content), own))
+            rows = [[dict(zip(names, v, strict=True)) for v in own] for own in found.values()]
+            columns = [pa.array([k[i] for k in found], t) for i, t in enumerate((pa.string(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(rows, kind)], names=["host", "content", "counted"])
 
     rows = pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html"))
-    found = rows.mapInArrow(run, "host string, node long, value long, n long")
-    values = materialize(found.groupBy("host", "node", "value").agg(F.sum("n").alias("n")), "node-values")
+    found = rows.mapInArrow(run, f"host string, content long, counted {counted}")
+    once = found.groupBy("host", "content").agg(F.min("counted").alias("counted"))
+    flat = once.select("host", F.explode("counted").alias("v")).select("host", "v.*")
+    values = materialize(flat.groupBy("host", "path", "kind", "value").agg(F.sum("n").alias("n")), "node-values")
 
     def importance(counted: DataFrame, keys: list[str], name: str) -> DataFrame:
         # Entropy of parts n of a total t is log t - sum(n log n) / t.
@@ -209,12 +281,17 @@ def style_trees(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
             F.when(F.col("t") > 1, entropy / F.log("t")).otherwise(F.lit(1.0)).alias(name),
         )
 
-    own = importance(values, ["host", "node"], "own")
-    over_all = importance(values.groupBy("node", "value").agg(F.sum("n").alias("n")), ["node"], "all")
+    everywhere = values.groupBy("path", "kind", "value").agg(F.sum("n").alias("all_n"))
+    own = importance(values, ["host", "path", "kind"], "own")
+    over_all = importance(everywhere.withColumnRenamed("all_n", "n"), ["path", "kind"], "all")
     mixed = (F.col("own") * F.col("own_t") + F.col("all") * PRIOR) / (F.col("own_t") + PRIOR)
-    return own.join(over_all, "node").select(
-        "host", "node", F.greatest("own_t", "all_t").alias("occurrences"), mixed.alias("importance")
-    )
+    low = own.join(over_all, ["path", "kind"]).where((mixed < threshold) & (F.greatest("own_t", "all_t") >= MIN_OCCURRENCES))
+    low = materialize(low.select("host", "path", "kind"), "low-nodes")
+    styles = low.where(F.col("kind") == STYLES).select("host", "path")
+    branches = low.where(F.col("kind") == BRANCH).join(styles, ["host", "path"], "left_semi")
+    low = low.where(F.col("kind") == TEXTS).unionByName(branches.select("host", "path", "kind"))
+    again = values.join(low, ["host", "path", "kind"], "left_semi").join(everywhere, ["path", "kind", "value"])
+    return again.where(F.col("all_n") >= MIN_OCCURRENCES).select("host", "path", "kind", "value")
 
 
 def extract(
@@ -224,13 +301,12 @@ def extract(
 
     Character references are decoded, white space in a block becomes one space, blocks are
     joined by newlines in page order. NULL, empty and contentless pages give an empty text.
-    Pages without a host make one group. Nodes seen fewer than MIN_OCCURRENCES times, on the host
-    and elsewhere, are kept unless marked. Repeated rows are returned each, and count as pages;
-    other columns are ignored; an empty table gives no rows.
+    Pages without a host make one group. Nodes, and texts, seen fewer than MIN_OCCURRENCES times,
+    on the host and elsewhere, are kept unless marked. Repeated rows are returned each; other columns are ignored; an empty table gives no rows.
     """
-    trees = style_trees(pages, url, html)
-    low = trees.where((F.col("importance") < threshold) & (F.col("occurrences") >= MIN_OCCURRENCES))
-    low = materialize(low.groupBy("host").agg(F.collect_list("node").alias("low")), "low-nodes")
+    low = style_trees(pages, url, html, threshold)
+    low = low.groupBy("host").agg(F.collect_list(F.struct("path", "kind", "value")).alias("low"))
+    low = materialize(low, "low-values")
     rows = pages.select(
         F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), _host(F.col(url)).alias("host")
     )
@@ -240,14 +316,14 @@ def extract(
     arrow = [to_arrow_type(k) for k in kinds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[str, set[int]] = {}
+        sets: dict[str, set[tuple[int, int, int]]] = {}
         for batch in batches:
             texts = []
             for host, nodes, page in zip(batch["host"].to_pylist(), batch["low"], batch["html"], strict=True):
                 if host not in sets:
                     if len(sets) > 1000:
                         sets.clear()
-                    sets[host] = set(nodes.as_py() or ())
+                    sets[host] = {(x["path"], x["kind"], x["value"]) for x in nodes.as_py() or ()}
                 texts.append(main_text(page.as_py(), sets[host]))
             yield pa.RecordBatch.from_arrays(
                 [
