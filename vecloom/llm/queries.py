@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 from vecloom.llm import license_scan
 from vecloom.llm.bpe import encoded_digests
 from vecloom.llm.decontaminate import leaks
+from vecloom.llm.exact_dedup import mark_copies
 from vecloom.llm.html_extract import extract
 from vecloom.llm.language_id import held_out, identify, train
 from vecloom.llm.line_dedup import remove_boilerplate
 from vecloom.llm.ngram_join import similar_documents
 from vecloom.llm.packing import pack
 from vecloom.llm.prefix_forest import nearest
+from vecloom.llm.prefix_trie import prefix_trie
 from vecloom.llm.repeats import remove_repeats
+from vecloom.llm.whitening import whiten
 
 MIN_SITES, MIN_AROUND = 10, 30
 
@@ -73,6 +76,18 @@ def op10_compression_language(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_refined_copies(spark, sf_dir):
+    return mark_copies(_read(spark, sf_dir, "documents"), digests=True)
+
+
+def op12_cholesky_jacobi(spark, sf_dir):
+    return whiten(_read(spark, sf_dir, "embeddings"))
+
+
+def op13_collapsed_sequences(spark, sf_dir):
+    return prefix_trie(_read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -86,6 +101,9 @@ QUERIES = {
         op8_grouped_prefixes,
         op9_best_fit_packing,
         op10_compression_language,
+        op11_refined_copies,
+        op12_cholesky_jacobi,
+        op13_collapsed_sequences,
     )
 }
 
@@ -176,4 +194,10 @@ links AS MATERIALIZED (SELECT x, y FROM common JOIN n nx ON x = nx.doc_id JOIN n
 reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT a, y FROM reach JOIN links ON b = x)
 SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS least_id FROM reach GROUP BY a) ON a = w.doc_id""",
+    "op11_refined_copies": r"""
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY h ORDER BY n DESC, doc_id) AS keep_id,
+  count(*) OVER (PARTITION BY h) AS group_size, row_number() OVER (PARTITION BY h ORDER BY n DESC, doc_id) = 1 AS kept,
+  h AS text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h FROM documents)""",
 }
