@@ -7,8 +7,9 @@ two tokens stay apart side by side is decided by taking apart the merges that ma
 first. Back-pointers from the whole word give the ids; no merge loop runs over texts.
 
 No token reaches over white space, so each Python worker keeps the ids of the pieces between white
-space it has met, up to `KEPT_PIECES`, and of their words. It is a map over Arrow batches without a shuffle; the tokenizer file
-travels as one broadcast of its own size (about 2 MB), which does not grow with the data.
+space it has met, and of their words, up to about `KEPT_BYTES`. It is a map over Arrow batches
+without a shuffle; the tokenizer file travels as one broadcast of its own size (about 2 MB), which
+does not grow with the data. Decoding needs the names of the ids only, and builds no encoder.
 """
 
 from __future__ import annotations
@@ -28,9 +29,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from vecloom.session import ship_package
 
-KEPT_PIECES = 400_000
-KEPT_PAIRS = 1_000_000
-BATCH_CHARS = 1 << 22
+KEPT_BYTES = 128 << 20  # of pieces and words with their ids, as Python objects
+KEPT_PAIRS = 200_000  # about 100 bytes each
+BATCH_CHARS = 1 << 21
 # What common scripts don't use; texts with such letters are looked at again, letter by letter.
 _UNCOMMON = regex.compile(r"[^\u0000-\u0377\u0384-\u038A\u038E-\u03A1\u03A3-\u052F\u2010-\u2064]")
 
@@ -78,11 +79,11 @@ class Merges:
             raw = [byte_of[c] for c in core]
             raw[-1] += 256 * ends
             self.symbols[i] = "".join(map(chr, raw))
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}  # by a << 32 | b
 
     def apart(self, a: int, b: int) -> bool:
         """Whether a and b, each an encoding of its own text, stay a and b side by side."""
-        pair = (a, b)
+        pair = a << 32 | b
         found = self.known.get(pair)
         if found is None:
             if len(self.known) >= KEPT_PAIRS:
@@ -160,9 +161,7 @@ class Encoder:
         model = spec["model"]
         self.merges = Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
         self.suffixed = bool(model.get("end_of_word_suffix"))
-        self.names = {i: t for t, i in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names |= {i: t for t, i in self.special.items()}
         pattern = next(
             p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"
         )
@@ -191,6 +190,7 @@ class Encoder:
     def reset(self) -> None:
         self.known_words: dict[str, list[int]] = {}
         self.index: dict[str, int] = {}
+        self.kept = 0
         self.flat, self.begin, self.length = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
     def solve(self, words: list[str]) -> None:
@@ -219,7 +219,7 @@ class Encoder:
                 state = steps[state][c] if c in steps[state] else fall(state, c)
                 for token, size in ends[state]:
                     left = last[end - size]
-                    if left < 0 or (known[pair] if (pair := (left, token)) in known else apart(left, token)):
+                    if left < 0 or (known[pair] if (pair := left << 32 | token) in known else apart(left, token)):
                         break
                 last.append(token)
                 begins.append(end - size)
@@ -230,6 +230,7 @@ class Encoder:
                 at = begins[at]
             ids.reverse()
             self.known_words[word] = ids
+            self.kept += 200 + 4 * len(word) + 8 * len(ids)
             if suffixed:  # the prefix that ends the word is not the prefix of a longer one
                 last.pop(), begins.pop(), states.pop()
                 before = symbols[:-1] + chr(512)
@@ -261,7 +262,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of some texts."""
-        if len(self.index) > KEPT_PIECES:
+        if self.kept > KEPT_BYTES:
             self.reset()
         pieces = [(_SPACE.split(t) if _ODD.search(t) else t.split()) if t else [] for t in texts]
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -270,6 +271,7 @@ class Encoder:
             solved = self.solve_pieces(new)
             sizes = np.fromiter(map(len, solved), np.int64, len(solved))
             self.index.update(zip(new, range(len(self.length), len(self.length) + len(new)), strict=True))
+            self.kept += 220 * len(new) + 4 * (sum(map(len, new)) + int(sizes.sum()))
             self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(sizes) - sizes]
             self.flat = np.r_[self.flat, np.fromiter(chain.from_iterable(solved), np.int32, sizes.sum())]
             self.length = np.r_[self.length, sizes.astype(np.int32)]
@@ -291,6 +293,25 @@ def _encoder(source: str) -> Encoder:
     return _encoders[source]
 
 
+_names: dict[str, np.ndarray] = {}
+
+
+def _id_names(source: str) -> np.ndarray:
+    """The token of each id (None: no such id), one table per Python worker and tokenizer file."""
+    if source not in _names:
+        spec = json.loads(source)
+        if spec.get("decoder") is not None:
+            raise ValueError("only files without a decoder are supported")
+        token = {i: t for t, i in spec["model"]["vocab"].items()}
+        token |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+        table = np.empty(max(token, default=-1) + 1, object)
+        for i, name in token.items():
+            table[i] = name
+        _names.clear()
+        _names[source] = table
+    return _names[source]
+
+
 def _pieces(column: pa.Array) -> Iterator[list]:
     """Texts of a column in runs of about BATCH_CHARS characters."""
     run, size = [], 0
@@ -316,18 +337,7 @@ def _with(df: DataFrame, name: str, kind) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """`docs` with `out array<int>`: the token ids of each whole text, without added tokens.
-
-    `path` is a tokenizer file of the word-end or plain byte-level BPE kind, read on the driver.
-    Its truncation and padding are not used. NULL and empty texts give an empty array. All
-    columns stay; if `out` is one of them, that is an error. Rows keep their order and number.
-    """
-    spark = docs.sparkSession
-    ship_package(spark)
-    source = spark.sparkContext.broadcast(_read(path))
-    schema = _with(docs, out, ArrayType(IntegerType(), False))
-
+def _encoding(source, text: str, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(source.value)
         for batch in batches:
@@ -339,29 +349,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return run
 
 
-def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", drop: bool = False) -> DataFrame:
-    """`rows` with `out string`: the tokens of `ids` by the tokenizer file.
-
-    A file without a decoder joins them by one space. NULL ids read as none; an id that the
-    file doesn't have is left out. `drop` leaves the ids out of the result.
-    """
-    spark = rows.sparkSession
-    ship_package(spark)
-    source = spark.sparkContext.broadcast(_read(path))
-    names = [c for c in rows.columns if not (drop and c == ids)]
-    schema = _with(rows.select(*names), out, StringType())
-
+def _decoding(source, ids: str, out: str, drop: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = _encoder(source.value).names
-        if spec_decoder(source.value) is not None:
-            raise ValueError("only files without a decoder are supported")
-        size = max(token, default=-1) + 1
-        table = np.empty(size, object)
-        for i, name in token.items():
-            table[i] = name
+        table = _id_names(source.value)
+        size = len(table)
         for batch in batches:
             lists = batch[ids]
             flat = np.asarray(lists.values.slice(0).to_numpy(zero_copy_only=False))
@@ -371,22 +365,57 @@ def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", d
                 own = flat[b:e] if lists[k].is_valid else flat[:0]
                 own = own[(own >= 0) & (own < size)]
                 texts.append(" ".join(t for t in table[own].tolist() if t is not None))
-            columns = [batch[c] for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, out])
+            kept = [c for c in batch.schema.names if c != drop]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(texts, pa.string())], names=[*kept, out])
 
-    return rows.mapInArrow(run, schema)
+    return run
 
 
-def spec_decoder(source: str):
-    """The decoder that a tokenizer file names, if any."""
-    return json.loads(source).get("decoder")
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """`docs` with `out array<int>`: the token ids of each whole text, without added tokens.
+
+    `path` is a tokenizer file of the word-end or plain byte-level BPE kind, read on the driver.
+    Its truncation and padding are not used. NULL and empty texts give an empty array. All
+    columns stay; if `out` is one of them, that is an error. Rows keep their order and number.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    source = spark.sparkContext.broadcast(_read(path))
+    return docs.mapInArrow(_encoding(source, text, out), _with(docs, out, ArrayType(IntegerType(), False)))
+
+
+def decode(rows: DataFrame, path: str, ids: str = "ids", out: str = "decoded", drop: bool = False) -> DataFrame:
+    """`rows` with `out string`: the tokens of `ids` by the tokenizer file.
+
+    A file without a decoder joins them by one space. NULL ids read as none; an id that the
+    file doesn't have is left out. `drop` leaves the ids out of the result.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
+    source = spark.sparkContext.broadcast(_read(path))
+    schema = _with(rows.drop(ids) if drop else rows, out, StringType())
+    return rows.mapInArrow(_decoding(source, ids, out, ids if drop else None), schema)
+
+
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """`docs` without `text`, with `ids` and `decoded`: `encode`, then `decode`, in one Python worker a task."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    source = spark.sparkContext.broadcast(_read(path))
+    there = _encoding(source, text, "ids")
+    back = _decoding(source, "ids", "decoded", text)
+    with_ids = _with(docs, "ids", ArrayType(IntegerType(), False))
+    kept = [f for f in with_ids.fields if f.name != text]
+    if "decoded" in docs.columns:
+        raise ValueError("column decoded exists already")
+    return docs.mapInArrow(
+        lambda batches: back(there(batches)), StructType([*kept, StructField("decoded", StringType())])
+    )
 
 
 def encoded_digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: number of tokens, and digests of the ids and of the decoded text."""
-    ids = encode(docs.select("doc_id", "text"), path).drop("text")
-    both = decode(ids, path)
-    return both.select(
+    return encode_and_decode(docs.select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
