@@ -8,8 +8,9 @@ split into full rows and a rest; no token is lost or doubled. A row holds its id
 segment's document and first token.
 
 Groups hold about GROUP_TOKENS tokens, so memory is bounded and only the last rows of a group
-can be part empty. A group is dealt out by a hash of id and text, so no group is hot; equal rows
-are packed as often as they come.
+can be part empty. Rows are dealt out by their places in the stored table, so equal rows part
+like any others; they are packed as often as they come. Ids and positions stay little-endian int32
+in one binary value a row from the encoder to the files.
 """
 
 from __future__ import annotations
@@ -106,8 +107,9 @@ def _pack(capacity: int, pad: int, id_type: pa.DataType):
             sums.append(at)
             docs.append([owners[k] for k in row])
             begins.append([firsts[k] for k in row])
-        flat = lambda m: pa.ListArray.from_arrays(
-            pa.array(np.arange(len(rows) + 1) * capacity, pa.int32()), pa.array(m.ravel())
+        ends = pa.py_buffer((np.arange(len(rows) + 1, dtype=np.int32) * 4 * capacity).tobytes())
+        flat = lambda m: pa.Array.from_buffers(
+            pa.binary(), len(rows), [None, ends, pa.py_buffer(m.astype("<i4", copy=False))]
         )
         known = table["doc_id"].combine_chunks().cast(id_type)
         counts = np.r_[0, np.cumsum([len(d) for d in docs])].astype(np.int32)
@@ -128,6 +130,20 @@ def _pack(capacity: int, pad: int, id_type: pa.DataType):
     return run
 
 
+_encodings: dict[bytes, tiktoken.Encoding] = {}
+
+
+def _encoding(ranks_file: bytes) -> tiktoken.Encoding:
+    """One per Python worker and vocabulary file."""
+    if ranks_file not in _encodings:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_file.splitlines())}
+        _encodings.clear()
+        _encodings[ranks_file] = tiktoken.Encoding(
+            "packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+    return _encodings[ranks_file]
+
+
 def token_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """(doc_id, h, ids) by a tiktoken vocabulary file; NULL and empty texts have no ids.
 
@@ -142,13 +158,12 @@ def token_ids(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         return made.encode_to_numpy(text, disallowed_special=()).astype("<i4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
-        made = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        made = _encoding(shared.value)
         for batch in batches:
             found = pa.array([numbers(made, t.as_py() or "") for t in batch["text"]], pa.binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["h"], found], names=["doc_id", "h", "ids"])
 
-    key = F.xxhash64("doc_id", text)
+    key = F.xxhash64(F.monotonically_increasing_id())
     return docs.select("doc_id", key.alias("h"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
@@ -157,8 +172,8 @@ def pack(
 ) -> DataFrame:
     """Packed rows: (grp, pack, n_tokens, ids, positions, cu_seqlens, doc_ids, first_tokens).
 
-    `ids` and `positions` have `capacity` numbers each (`pad` and 0 after the last segment);
-    `cu_seqlens` begins with 0 and ends with `n_tokens`. Documents without tokens (NULL or empty
+    `ids` and `positions` are `capacity` little-endian int32 numbers each, as one binary value (`pad` and 0
+    after the last segment); `cu_seqlens` begins with 0 and ends with `n_tokens`. Documents without tokens (NULL or empty
     text) are in no row. NULL ids stay NULL; repeated rows are packed each. Other columns are
     ignored; an empty table gives no rows.
     """
@@ -168,30 +183,14 @@ def pack(
     groups = max(1, -(-total // (4 * GROUP_TOKENS)))  # a token takes four bytes or so
     kind = docs.schema[id_col].dataType
     schema = (
-        "grp int, pack int, n_tokens int, ids array<int>, positions array<int>, cu_seqlens array<int>, "
+        "grp int, pack int, n_tokens int, ids binary, positions binary, cu_seqlens array<int>, "
         f"doc_ids array<{kind.simpleString()}>, first_tokens array<int>"
     )
     dealt = token_ids(rows, path).where(F.octet_length("ids") > 0).withColumn("grp", F.pmod("h", F.lit(groups)).cast("int"))
+    dealt = dealt.repartitionById(groups, F.col("grp"))
     return dealt.groupBy("grp").applyInArrow(_pack(capacity, pad, to_arrow_type(kind)), schema)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
-    """Write packed rows as Parquet, ids and positions as little-endian int32 matrices' rows."""
-    spark = packed.sparkSession
-    ship_package(spark)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = {}
-            for name in batch.schema.names:
-                column = batch[name]
-                if name in ("ids", "positions"):
-                    column = pa.array([np.asarray(x.values, "<i4").tobytes() for x in column], pa.binary())
-                out[name] = column
-            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
-
-    fields = [
-        f"{f.name} {'binary' if f.name in ('ids', 'positions') else f.dataType.simpleString()}"
-        for f in packed.schema.fields
-    ]
-    packed.mapInArrow(run, ", ".join(fields)).write.parquet(path)
+    """Write packed rows as Parquet, ids and positions as the rows of int32 matrices."""
+    packed.write.parquet(path)
