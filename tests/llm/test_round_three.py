@@ -6,16 +6,21 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from brute_trie import trie
 from pyspark.sql import functions as F
 
-from vecloom.llm import queries
+import corpus_pipeline
+from vecloom.llm import blocks, queries
 from vecloom.llm.exact_dedup import drop_copies, mark_copies
+from vecloom.llm.line_dedup import remove_boilerplate
+from vecloom.llm.packing import token_ids
 from vecloom.llm.prefix_trie import prefix_trie
 from vecloom.llm.runs import MASK, numbered
 from vecloom.llm.skew import join_counted
 from vecloom.llm.whitening import one_sided_jacobi, pivoted_cholesky, principal_axes, whiten
+from vecloom.session import materialize
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, keep_id string, size int, text_sha256 string"
@@ -265,3 +270,51 @@ def test_join_with_heavy_keys(spark):
     got = join_counted(rows, groups, ["k"], "n", 5001)
     assert got.count() == 5001
     assert got.where("k < 4500 and n is null").count() == 0 and got.where("k >= 4500 and n is not null").count() == 0
+
+
+def test_equal_rows_part_into_blocks(spark, tmp_path):
+    text = "word " * 20_000
+    spark.range(60).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).write.parquet(str(tmp_path / "equal"))
+    docs = spark.read.parquet(str(tmp_path / "equal"))
+    total = 6 * blocks.BLOCK_BYTES
+    dealt = blocks.blocked(docs, total, ["text"]).select("block", F.spark_partition_id().alias("p"))
+    found = dealt.groupBy("block", "p").count().collect()
+    assert len(found) == 6 == len({r.p for r in found}) == len({r.block for r in found})
+    assert max(r["count"] for r in found) < 25
+
+
+def test_packed_groups_hold_equal_rows_apart(spark, tmp_path):
+    spark.range(200).select(F.lit(1).alias("doc_id"), F.lit("same text " * 30).alias("text")).write.parquet(str(tmp_path / "t"))
+    ids = token_ids(spark.read.parquet(str(tmp_path / "t")), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    assert ids.select("h").distinct().count() == 200
+
+
+CLASHES = {"score": "own", "rejected": "own", "n_lines": "own", "ids": "own", "n_tokens": "own", "__hash": "own", "__id": "own"}
+
+
+def test_stages_leave_own_columns_alone(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = materialize(docs.withColumns({c: F.lit(v) for c, v in CLASHES.items()}), "clashes")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        assert {tuple(r) for r in out.select(*CLASHES).distinct().collect()} <= {tuple(CLASHES.values())}
+    assert out.columns[len(docs.columns) :] == ["ids_", "n_tokens_"] and out.count() == docs.count()
+
+
+def test_queries_ignore_columns_of_output_names(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumns({"labels": F.lit("own"), "n_lines": F.lit("own")})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    for query in (queries.op3_license_scan, queries.op5_line_spread):
+        assert query(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_inner_lines_of_a_block_go_and_copied_pages_stay(spark):
+    """A header of three lines, blank lines between; the same page on many sites."""
+    block = "Head one\n\nHead two, inner\n\nHead three"
+    rows = [(i, f"{block}\n\nOwn words of page {i}, longer than the head", f"s{i}") for i in range(12)]
+    rows += [(100 + i, "A page that is copied\n\nto every site\nas it is", f"s{i}") for i in range(12)]
+    rows += [(200 + i, f"only {i}\nfew sites", f"s{i % 9}") for i in range(30)]
+    found = remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for r in found:
+        assert r.n_removed == (3 if r.doc_id < 100 else 0)

@@ -255,7 +255,7 @@ def test_boilerplate_lines(spark, odd, none):
     rows += [(100 + i, "copied\nwhole\npage", "en", f"s{i % 4}", 1) for i in range(8)]
     docs = spark.createDataFrame(rows, DOCS).unionByName(odd)
     got = {}
-    for r in remove_boilerplate(docs, min_sites=4, min_around=6).collect():
+    for r in remove_boilerplate(docs, min_sites=4).collect():
         got.setdefault(r.doc_id, []).append((r.text, r.n_lines, r.n_removed))
     assert got[3] == [(ODD[3][1], 1, 0)] and got[5] == [(None, 0, 0)] and len(got[1]) == 2
     assert all(got[200 + i] == [(f"own {i}\nend {i}", 3, 1)] for i in range(8))
@@ -427,11 +427,12 @@ def test_packing_round_trip(spark, odd, none, tmp_path):
     packed = pack(odd, BYTES_FILE, capacity=512)
     found = {}
     for r in packed.collect():
-        assert len(r.ids) == len(r.positions) == 512 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens
+        ids, positions = (np.frombuffer(x, "<i4").tolist() for x in (r.ids, r.positions))
+        assert len(ids) == len(positions) == 512 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens
         for k, (d, first) in enumerate(zip(r.doc_ids, r.first_tokens, strict=True)):
             b, e = r.cu_seqlens[k : k + 2]
-            assert r.positions[b:e] == list(range(e - b))
-            found.setdefault(d, []).append((first, r.ids[b:e]))
+            assert positions[b:e] == list(range(e - b))
+            found.setdefault(d, []).append((first, ids[b:e]))
     for d in {r[0] for r in ODD}:
         own = [made.encode_ordinary(r[1] or "") for r in ODD if r[0] == d]
         parts = sorted(found.get(d, []))
@@ -465,13 +466,13 @@ def test_pipeline_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rejected = {r.doc_id for r in identify(docs, train(docs)).where("rejected").collect()}
     rows = [r for r in docs.orderBy("doc_id").collect() if r.doc_id not in rejected]
-    sites, around = {}, {}
+    sites, pages = {}, {}
     for r in rows:
         lines = [x.strip(" ") for x in r.text.split("\n")]
-        for k, x in enumerate(lines):
+        for x in lines:
             sites.setdefault(x, set()).add(r.source)
-            around.setdefault(x, set()).add((lines[k - 1] if k else None, lines[k + 1] if k + 1 < len(lines) else None))
-    gone = {x for x in sites if x and len(sites[x]) >= 10 and len(around[x]) >= 30}
+            pages.setdefault(x, set()).add(max(((len(y), y) for y in lines if y != x), default=(0, "")))
+    gone = {x for x in sites if x and len(sites[x]) >= 10 and len(pages[x]) >= 10}
     texts = ["\n".join(x for x in r.text.split("\n") if x.strip(" ") not in gone) for r in rows]
     kept = [i for i, root in enumerate(linked(texts)) if i == root]
     items = [split(lower(r.text)) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

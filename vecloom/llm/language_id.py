@@ -82,25 +82,34 @@ class _Classifier:
         return sizes[0][1], 1.0 - sizes[0][0] / sizes[1][0]
 
 
-def identify(docs: DataFrame, contents: dict[str, str], text: str = "text", margin: float = MARGIN) -> DataFrame:
+ADDED = ("lang_pred", "score", "rejected")
+
+
+def identify(
+    docs: DataFrame,
+    contents: dict[str, str],
+    text: str = "text",
+    margin: float = MARGIN,
+    names: dict[str, str] | None = None,
+) -> DataFrame:
     """`docs` with `lang_pred string`, `score double` (0 to 1) and `rejected boolean`.
 
     Whole texts are compressed, in windows of WINDOW_BYTES. `rejected` holds where the score is
     under `margin` and where there is no language (`und`: NULL, empty, no letter, or nothing
-    learned). All columns stay; a column of one of the three names is an error.
+    learned). All columns stay; `names` gives other names to the added ones where the table has them
+    already, which is an error.
     """
-    clash = {"lang_pred", "score", "rejected"} & set(docs.columns)
+    added = [(names or {}).get(name, name) for name in ADDED]
+    clash = set(added) & set(docs.columns)
     if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
+        raise ValueError(f"columns {sorted(clash)} exist already; choose other output names")
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(contents)
     schema = StructType(
         [
             *docs.schema.fields,
-            StructField("lang_pred", StringType()),
-            StructField("score", DoubleType()),
-            StructField("rejected", BooleanType()),
+            *(StructField(name, kind) for name, kind in zip(added, (StringType(), DoubleType(), BooleanType()), strict=True)),
         ]
     )
 
@@ -114,8 +123,7 @@ def identify(docs: DataFrame, contents: dict[str, str], text: str = "text", marg
                 pa.array(scores, pa.float64()),
                 pa.array([s < margin or x == UNKNOWN for x, s in found], pa.bool_()),
             ]
-            names = [*batch.schema.names, "lang_pred", "score", "rejected"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *added])
 
     return docs.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ from vecloom.llm.prefix_trie import prefix_trie
 from vecloom.llm.repeats import remove_repeats
 from vecloom.llm.whitening import whiten
 
-MIN_SITES, MIN_AROUND = 10, 30
+MIN_SITES = 10
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +37,7 @@ def op2_string_tiling(spark, sf_dir):
 
 
 def op3_license_scan(spark, sf_dir):
-    found = license_scan.scan_licenses(_read(spark, sf_dir, "documents"))
+    found = license_scan.scan_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
@@ -46,9 +46,7 @@ def op4_bpe_prefixes(spark, sf_dir):
 
 
 def op5_line_spread(spark, sf_dir):
-    cleaned = remove_boilerplate(
-        _read(spark, sf_dir, "documents"), min_sites=MIN_SITES, min_around=MIN_AROUND
-    )
+    cleaned = remove_boilerplate(_read(spark, sf_dir, "documents").select("doc_id", "text", "source"), min_sites=MIN_SITES)
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
@@ -151,13 +149,15 @@ ORACLE_SQL = {
 WITH l AS MATERIALIZED (
   SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
-near AS MATERIALIZED (
-  SELECT *, trim(line, ' ') AS x, lag(trim(line, ' ')) OVER o AS before, lead(trim(line, ' ')) OVER o AS after FROM l
-  WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+near AS MATERIALIZED (SELECT *, trim(line, ' ') AS x FROM l),
+long AS (
+  SELECT doc_id, x, row_number() OVER (PARTITION BY doc_id ORDER BY length(x) DESC, x DESC) AS place
+  FROM (SELECT DISTINCT doc_id, x FROM near WHERE x <> '')),
+tops AS (SELECT doc_id, max(x) FILTER (place = 1) AS first, max(x) FILTER (place = 2) AS second FROM long GROUP BY doc_id),
 gone AS (
-  SELECT x FROM near WHERE x <> '' GROUP BY x
+  SELECT x FROM near JOIN tops USING (doc_id) WHERE x <> '' GROUP BY x
   HAVING count(DISTINCT coalesce(source, '')) >= {MIN_SITES}
-    AND count(DISTINCT coalesce('a' || before, '-') || chr(10) || coalesce('a' || after, '-')) >= {MIN_AROUND}),
+    AND count(DISTINCT CASE WHEN x = first THEN coalesce(second, '') ELSE first END) >= {MIN_SITES}),
 kept AS (
   SELECT doc_id, count(*) AS n_lines, count(gone.x) AS n_removed,
     string_agg(line, chr(10) ORDER BY pos) FILTER (gone.x IS NULL) AS text
