@@ -308,7 +308,7 @@ def k2_topk_vectors(spark, sf_dir):
 
 
 def k2_topk_in_blocks(spark, sf_dir):
-    """The way of a question table too large for one broadcast: block by block."""
+    """The way of a question table too large for one broadcast: blocks meet parts of the corpus in one job."""
     rows = _read(spark, sf_dir, "embeddings")
     asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
     found = topk_batch(rows, asked, 5, "vec_id", max_question_bytes=rows.count() * 300)
@@ -328,10 +328,12 @@ def _label_means(spark, rows: DataFrame) -> DataFrame:
 
 
 def k3_cells(spark, sf_dir):
+    """Questions joined with the rows of their cells, the way of a table too large for one broadcast."""
     rows = _read(spark, sf_dir, "embeddings")
     index = build_cells(rows, "vec_id", "embedding", scratch_path(spark, "cells"), _label_means(spark, rows))
     asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
-    return topk_cells(spark, index, asked, nprobe=3, k=5).withColumn("distance", rank_distance("distance"))
+    found = topk_cells(spark, index, asked, nprobe=3, k=5, max_question_bytes=0)
+    return found.withColumn("distance", rank_distance("distance"))
 
 
 def k3_cells_appended(spark, sf_dir):
@@ -340,7 +342,8 @@ def k3_cells_appended(spark, sf_dir):
     index = build_cells(rows.where(even), "vec_id", "embedding", scratch_path(spark, "cells"), _label_means(spark, rows))
     append_cells(rows.where(~even), index)
     asked = rows.select(F.col("vec_id").alias("qid"), "embedding")
-    return topk_cells(spark, index, asked, nprobe=3, k=5).withColumn("distance", rank_distance("distance"))
+    found = topk_cells(spark, index, asked, nprobe=3, k=5, max_question_bytes=0)
+    return found.withColumn("distance", rank_distance("distance"))
 
 
 def k3_cells_all_probes(spark, sf_dir):

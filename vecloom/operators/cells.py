@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from vecloom.functions.arrow_vectors import matrix_of
 from vecloom.functions.vectors import DISTANCE_DIGITS
-from vecloom.operators.scoring import QuestionBlock, squared_products
+from vecloom.operators.meet import meet
+from vecloom.operators.scoring import QuestionBlock, first_per_group, pair_distances, squared_products
 from vecloom.operators.topk import QUESTION_BYTES, search
-from vecloom.session import ship_package
+from vecloom.session import materialize, ship_package
 
 CENTROID_BYTES = 256 << 20
+PIECE_BYTES = 64 << 20  # vectors of a cell that meet a block of questions in one piece
 NO_CELL = -1
 
 
@@ -95,9 +97,7 @@ def nearest_cells(spark: SparkSession, centroids: DataFrame, n: int = 1):
         step = max(1, (1 << 22) // len(cells))
         good = matrix[finite]
         for at in range(0, len(good), step):
-            squares, _ = squared_products(good[at : at + step], centers, fast=False)
-            distance = np.round(np.sqrt(np.maximum(squares, 0.0)), DISTANCE_DIGITS)
-            found[at : at + step] = cells[np.argsort(distance, axis=1, kind="stable")[:, :take]]
+            found[at : at + step] = cells[_nearest(good[at : at + step], centers, take)]
         counts = np.zeros(len(vectors), dtype=np.int32)
         counts[rows[finite]] = take
         return pa.ListArray.from_arrays(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.array(found.reshape(-1)))
@@ -105,6 +105,22 @@ def nearest_cells(spark: SparkSession, centroids: DataFrame, n: int = 1):
     return cells_of
 
 
+def _nearest(matrix: np.ndarray, centers: np.ndarray, take: int) -> np.ndarray:
+    """Positions of the `take` nearest centers of each row, by distance rounded for ranking, then position.
+
+    Products in single precision with an error bound pick the few that may be among them; only
+    those are measured in double precision and sorted.
+    """
+    squares, slack = squared_products(matrix, centers)
+    kth = np.partition(squares, take - 1, axis=1)[:, take - 1]
+    bound = (np.sqrt(np.maximum(kth + slack, 0.0)) + 10.0**-DISTANCE_DIGITS) ** 2 + slack
+    q, c = np.nonzero(squares <= np.nextafter(bound.astype(squares.dtype), squares.dtype.type(np.inf))[:, None])
+    distance = np.round(pair_distances(matrix, centers, q, c), DISTANCE_DIGITS)
+    order = np.lexsort((c, distance, q))
+    order = order[first_per_group(q[order], take)]
+    return c[order].reshape(len(matrix), take)
+
+
 def build_cells(df: DataFrame, key: str, vec: str, path: str, centroids: DataFrame) -> CellIndex:
     """Write `df` partitioned by cell under `path`, with all its columns.
 
@@ -145,10 +161,9 @@ def topk_cells(
 ) -> DataFrame:
     """Approximate top-k per question: (qid, rank, key, distance).
 
-    A question without a finite vector probes no cell and has no results.
-    Only the partitions of probed cells are read. As in `topk_batch`, the table is not
-    shuffled, a task emits at most k rows per question, and questions are broadcast in
-    blocks of bounded size.
+    A question without a finite vector probes no cell and has no results. Only the partitions of
+    probed cells are read. Questions of at most `max_question_bytes` are broadcast, and the table is not
+    shuffled. More of them are joined with the rows by cell, in one job: see `_by_cell`.
     """
     probes = nearest_cells(spark, index.centroids(spark), nprobe)
     probing = questions.withColumn("_cells", probes(qvec))
@@ -157,6 +172,10 @@ def topk_cells(
         probed = {int(cell) for cells in block.cells if cells for cell in cells}
         return rows.where(F.col("cell").isin(sorted(probed)))
 
+    def beyond(stored: DataFrame, need: int) -> DataFrame:
+        asked = stored.select(F.col(qid).alias("qid"), F.col(qvec).alias("vec"), F.explode("_cells").alias("cell"))
+        return _by_cell(spark, index, asked, k, max(1, max_question_bytes))
+
     return search(
         index.rows(spark),
         probing,
@@ -169,9 +188,39 @@ def topk_cells(
         question_cells="_cells",
         max_question_bytes=max_question_bytes,
         for_block=only_probed,
+        beyond=beyond,
     )
 
 
+def _by_cell(spark: SparkSession, index: CellIndex, asked: DataFrame, k: int, max_question_bytes: int) -> DataFrame:
+    """Partial results of (qid, vec, cell) probes, joined with the rows of their cells.
+
+    Rows and probes of each cell are counted first. A cell with more rows than a piece holds is salted
+    over several, and its probes are there once for each; probes that are too many for a piece are
+    cut into blocks in the same way, each of which meets all salts. The list of cells, which is no longer
+    than that of the centroids, is all that goes to the driver.
+    """
+    asked = materialize(asked, "probes")
+    row_bytes = 8 * (index.centroids(spark).select(F.array_size("centroid")).first()[0] or 0) + 64
+    most_rows, most_asked = max(1, PIECE_BYTES // row_bytes), max(1, max_question_bytes // row_bytes)
+    sizes = index.rows(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n_rows"))
+    probed = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n_asked")).join(sizes, "cell").orderBy("cell")
+    plan, n_pieces = [], 0
+    for cell, n_asked, n_rows in probed.collect():
+        salts, n_blocks = -(-n_rows // most_rows), -(-n_asked // most_asked)
+        plan.append((cell, n_pieces, salts, n_blocks))
+        n_pieces += salts * n_blocks
+    cells = F.broadcast(spark.createDataFrame(plan, "cell int, base long, salts int, blocks int"))
+    rows = index.rows(spark).where(F.col("cell").isin([cell for cell, *_ in plan]))
+    rows = rows.select(F.col(index.key).alias("key"), F.col(index.vec).alias("vec"), "cell").join(cells, "cell")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asked = asked.join(cells, "cell").withColumn("block", F.pmod(F.xxhash64("qid"), F.col("blocks")))
+    asked = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    piece = (F.col("base") + F.col("block") * F.col("salts") + F.col("salt")).cast("long").alias("piece")
+    return meet(asked.select(piece, "qid", "vec"), rows.select(piece, "key", "vec"), max(1, n_pieces), k)
+
+
 def cell_candidate_ratio(
     spark: SparkSession, index: CellIndex, questions: DataFrame, nprobe: int, qvec: str = "embedding"
 ) -> DataFrame:

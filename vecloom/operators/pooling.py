@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -15,6 +16,7 @@ from vecloom.functions.arrow_vectors import lists_of, matrix_of
 from vecloom.session import ship_package
 
 _GROUPS = 4096  # partial sums a task holds before it emits them
+SALTS = 1024  # partial sums of a key that the last step adds, at most
 
 
 class _Sums:
@@ -51,13 +53,15 @@ def mean_pool_groups(
     """One vector per key: sum(v * m) / max(sum(m), 1e-8), with m = 1 where no mask is given.
 
     Tasks sum their rows before the shuffle, so a key that holds most of the table costs the
-    shuffle one row per task. The arrays of a key's partial sums are then added. A key whose
-    vectors are all NULL gets a NULL vector.
+    shuffle one row per task. Partial sums are then added in two levels, first those of a key and salt
+    (task number modulo SALTS), then those of a key: with a million tasks no step gathers more than
+    about a thousand arrays. A key whose vectors are all NULL gets a NULL vector.
     """
     spark = df.sparkSession
     ship_package(spark)
     key_type = df.schema[key].dataType
-    schema = pa.schema([("k", to_arrow_type(key_type)), ("sums", pa.list_(pa.float64())), ("weight", pa.float64())])
+    fields = [("k", to_arrow_type(key_type)), ("sums", pa.list_(pa.float64())), ("weight", pa.float64())]
+    schema, salted = pa.schema(fields), pa.schema([*fields, ("salt", pa.int32())])
     weight = F.col(mask).cast("double") if mask else F.lit(1.0)
     rows = df.select(F.col(key).alias("k"), F.col(vec).alias("v"), weight.alias("m"))
 
@@ -80,13 +84,25 @@ def mean_pool_groups(
         if sums.vectors is not None and len(sums.keys):
             yield sums.drain(schema)
 
-    partials = rows.mapInArrow(partial, f"k {key_type.simpleString()}, sums array<double>, weight double")
-    parts = partials.groupBy("k").agg(
+    def with_salt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        salt = TaskContext.get().partitionId() % SALTS
+        for batch in partial(batches):
+            salts = pa.array(np.full(batch.num_rows, salt, np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, salts], schema=salted)
+
+    ddl = f"k {key_type.simpleString()}, sums array<double>, weight double, salt int"
+    total = _added(_added(rows.mapInArrow(with_salt, ddl), "k", "salt"), "k")
+    vector = F.transform("sums", lambda x: (x / F.greatest(F.col("weight"), F.lit(1e-8))).cast("float"))
+    return total.select(F.col("k").alias(key), vector.alias(out_col))
+
+
+def _added(parts: DataFrame, *keys: str) -> DataFrame:
+    """(keys, sums, weight): the sums and weights of each group added; NULL sums count as nothing."""
+    grouped = parts.groupBy(*keys).agg(
         F.filter(F.collect_list(F.struct("sums", "weight")), lambda p: p["sums"].isNotNull()).alias("parts")
     )
-    first = F.element_at("parts", 1)["sums"]
+    first = F.get("parts", F.lit(0))["sums"]
     rest = F.slice("parts", 2, F.greatest(F.size("parts"), F.lit(1)))
     sums = F.aggregate(rest, first, lambda s, p: F.zip_with(s, p["sums"], lambda x, y: x + y))
-    total = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["weight"])
-    vector = F.transform(sums, lambda x: (x / F.greatest(total, F.lit(1e-8))).cast("float"))
-    return parts.select(F.col("k").alias(key), F.when(F.size("parts") > 0, vector).alias(out_col))
+    weight = F.aggregate("parts", F.lit(0.0), lambda s, p: s + p["weight"])
+    return grouped.select(*keys, F.when(F.size("parts") > 0, sums).alias("sums"), weight.alias("weight"))

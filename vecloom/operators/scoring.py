@@ -108,7 +108,7 @@ def squared_products(a: np.ndarray, b: np.ndarray, fast: bool = True) -> tuple[n
     return squares, left.error(right)
 
 
-def _first_per_group(groups: np.ndarray, k: int) -> np.ndarray:
+def first_per_group(groups: np.ndarray, k: int) -> np.ndarray:
     """Mask of the first k members of each run of equal values in the sorted `groups`."""
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(groups) else np.empty(0, int)
     position = np.arange(len(groups)) - np.repeat(starts, np.diff(np.r_[starts, len(groups)]))
@@ -155,7 +155,7 @@ class _Best:
         by_key = np.empty(len(key), dtype=np.int64)
         by_key[np.asarray(pc.sort_indices(key))] = np.arange(len(key))
         order = np.lexsort((by_key, np.round(distance, DISTANCE_DIGITS), question))
-        order = order[_first_per_group(question[order], self.k)]
+        order = order[first_per_group(question[order], self.k)]
         self.question, self.distance = question[order], distance[order]
         self.key = key.take(pa.array(order))
         full, sizes = np.unique(self.question, return_counts=True)
@@ -183,7 +183,7 @@ def _scan(questions: Side, chosen: np.ndarray, rows: Side, keys: pa.Array, best:
         distance = pair_distances(questions.matrix[part], rows.matrix, q, r)
         # Rows are in key order, so their position breaks ties by key.
         order = np.lexsort((r, np.round(distance, DISTANCE_DIGITS), q))
-        order = order[_first_per_group(q[order], k)]
+        order = order[first_per_group(q[order], k)]
         best.merge(chosen[at + q[order]], distance[order], keys.take(pa.array(r[order])))
 
 

@@ -8,11 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 from vecloom.functions.vectors import rank_distance
+from vecloom.operators.meet import meet
 from vecloom.operators.scoring import QuestionBlock, best_rows
-from vecloom.session import materialize, scratch_path, ship_package
+from vecloom.session import materialize, ship_package
 
 QUESTION_BYTES = 64 << 20  # bound of one broadcast block of questions
 _WIDEST = 4096  # width assumed where it is not known yet
@@ -73,10 +73,12 @@ def search(
     question_cells: str | None = None,
     max_question_bytes: int = QUESTION_BYTES,
     for_block=None,
+    beyond=None,
 ) -> DataFrame:
     """Shared driver of K-2 and K-3; see `topk_batch` for how it scales.
 
-    `for_block(corpus, block)` may narrow the scan for one block of questions.
+    `for_block(corpus, block)` may narrow the scan for a block of questions. `beyond(questions, need)` gives
+    the partial results of stored questions that need too many bytes for one broadcast.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -97,28 +99,35 @@ def search(
     if most <= max_question_bytes:
         return named(partials(spark.sparkContext.broadcast(_collect_block(kept, qid, qvec, question_cells))))
 
-    # Too many to be sure they fit one broadcast: write them once, measure them, and write them
-    # again in one folder for each block. The corpus is scanned once for each block, and each
-    # result is written, and the block's broadcast ended, before the next block is fetched.
-    split_path, out = scratch_path(spark, "questions"), scratch_path(spark, "topk")
+    # Too many to be sure they fit one broadcast: write them once and measure them.
     kept = materialize(kept, "questions")
     probes = 4 * F.coalesce(F.array_size(question_cells), F.lit(0)) if question_cells else F.lit(0)
     row = _key_bytes(qid) + _row_bytes(F.coalesce(F.array_size(qvec), F.lit(0))) + probes
     need = kept.agg(F.sum(row)).first()[0] or 0
     if need <= max_question_bytes:
         return named(partials(spark.sparkContext.broadcast(_collect_block(kept, qid, qvec, question_cells))))
-    n_blocks = 2 * -(-need // max_question_bytes)
-    number = F.pmod(F.xxhash64(qid), F.lit(n_blocks)).cast("int")
-    kept.withColumn("_block", number).hint("rebalance", "_block").write.partitionBy("_block").parquet(split_path)
-    split = spark.read.schema(StructType([*kept.schema.fields, StructField("_block", IntegerType())])).parquet(split_path)
-    for number in range(n_blocks):
-        block = _collect_block(split.where(F.col("_block") == number), qid, qvec, question_cells)
-        if len(block.keys):
-            shared = spark.sparkContext.broadcast(block)
-            partials(shared).write.mode("append").parquet(out)
-            shared.destroy()
-    schema = f"qid {qid_type.simpleString()}, key {key_type.simpleString()}, distance double, rank int"
-    return named(spark.read.schema(schema).parquet(out))
+    if beyond is not None:
+        return named(_rank(beyond(kept, need), k))
+    rows = corpus.select(F.col(key).alias("key"), F.col(vec).alias("vec"))
+    asked = kept.select(F.col(qid).alias("qid"), F.col(qvec).alias("vec"))
+    return named(_rank(_in_pieces(rows, asked, k, 2 * -(-need // max(1, max_question_bytes))), k))
+
+
+def _in_pieces(rows: DataFrame, asked: DataFrame, k: int, n_blocks: int) -> DataFrame:
+    """Every block of questions meets every part of the corpus, in one job with one scan.
+
+    A piece is (block, part): corpus rows are there once for each block, questions once for each
+    part. There are as few parts as still give every task a piece.
+    """
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = max(1, -(-tasks // n_blocks))
+    block = F.pmod(F.xxhash64("qid"), F.lit(n_blocks))
+    part = F.pmod(F.xxhash64("key"), F.lit(n_parts))
+    every_part, every_block = F.sequence(F.lit(0), F.lit(n_parts - 1)), F.sequence(F.lit(0), F.lit(n_blocks - 1))
+    left = asked.select("qid", "vec", block.alias("block"), F.explode(every_part).alias("part"))
+    right = rows.select("key", "vec", part.alias("part"), F.explode(every_block).alias("block"))
+    piece = (F.col("block") * n_parts + F.col("part")).cast("long").alias("piece")
+    return meet(left.select(piece, "qid", "vec"), right.select(piece, "key", "vec"), n_blocks * n_parts, k)
 
 
 def topk_batch(
@@ -133,11 +142,11 @@ def topk_batch(
 ) -> DataFrame:
     """The k nearest rows of `corpus` for every question: (qid, rank, key, distance).
 
-    `key` and `qid` must be unique. The corpus is never shuffled: every task scans its own
-    split for all questions of a block and emits at most k rows per question, and only
-    those are shuffled by `qid` for the final ranking. Questions are broadcast in blocks of
-    at most `max_question_bytes`; a larger table is worked through block by block, one
-    corpus scan each, so the size of neither table is limited.
+    `key` and `qid` must be unique. The corpus is not shuffled: every task scans its own
+    split for all questions and emits at most k rows per question, and only those are
+    shuffled by `qid` for the final ranking. That holds for questions of at most
+    `max_question_bytes`, which are broadcast. Larger tables meet the corpus in pieces, blocks of
+    questions by parts of the corpus, in one job that scans the corpus once and shuffles both.
     """
     return search(corpus, questions, k, key, vec, qid, qvec, max_question_bytes=max_question_bytes)
 
