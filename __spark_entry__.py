@@ -33,6 +33,7 @@ from vecloom.operators.cells import append_cells, build_cells, fit_centroids, to
 from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
+from vecloom.operators.lsh_self import lsh_self_join  # noqa: E402
 from vecloom.operators.pooling import mean_pool_groups  # noqa: E402
 from vecloom.operators.topk import topk, topk_batch  # noqa: E402
 from vecloom.plans.retrieval import ask, retrieve, retrieve_from  # noqa: E402
@@ -355,6 +356,13 @@ def k3_cells_all_probes(spark, sf_dir):
     return topk_cells(spark, index, asked, nprobe=8, k=5).withColumn("distance", rank_distance("distance"))
 
 
+def k4_lsh_self_join(spark, sf_dir):
+    """One signed table, each pair compared once, in blocks of 64 rows; different vectors by their first keys."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    pairs = lsh_self_join(rows, LSH_MAX_DIST, "vec_id", "other_id", projections=LSH_PROJECTIONS, block_rows=64, **LSH)
+    return pairs.withColumn("distance", rank_distance("distance"))
+
+
 def k4_lsh_join(spark, sf_dir):
     rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     others = rows.withColumnRenamed("vec_id", "other_id")
@@ -475,7 +483,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         e8_mean_pool, e8_masked_mean_pool, e8_mean_pool_rows, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
-        k3_cells, k3_cells_appended, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled,
+        k3_cells, k3_cells_appended, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
         k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, u1_registered_functions,
     ]
     return {query.__name__: query for query in listed} | _training_data_queries()
@@ -665,6 +673,9 @@ FROM ranked JOIN documents ON doc_id = did""",
         "k3_cells_appended": in_cells,
         "k4_lsh_join": near,
         "k4_lsh_join_shuffled": near,
+        "k4_lsh_self_join": near.replace(
+            vectors, "vectors AS MATERIALIZED (SELECT min(vec_id) AS vec_id, embedding::DOUBLE[] AS v FROM embeddings GROUP BY v)"
+        ),
         "k5_retrieve": retrieved,
         "k5_retrieve_cells": retrieved,
         "t1_embed_stream": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")}
