@@ -7,10 +7,12 @@ where those are set; else seeded random weights in the real layout and width.
 
 from __future__ import annotations
 
+import json
 import os
 import sys
 import tempfile
 from collections.abc import Callable
+from functools import partial
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -39,28 +41,28 @@ from vecloom.operators.topk import topk, topk_batch  # noqa: E402
 from vecloom.plans.retrieval import ask, retrieve, retrieve_from  # noqa: E402
 from vecloom.session import materialize, scratch_path, spread  # noqa: E402
 from vecloom.sources.chunks import read_chunks, write_chunks  # noqa: E402
-from vecloom.sources.requests import parse_requests, respond  # noqa: E402
+from vecloom.sources.requests import accepted, parse_requests, respond  # noqa: E402
 from vecloom.sources.tables import build_vector_table, inline_texts  # noqa: E402
 from vecloom.streaming.embed_stream import (  # noqa: E402
     answer_requests,
     embed_stream,
     parsed_stream,
     request_stream,
+    route_encoders,
     route_requests,
     write_stream,
 )
-from vecloom.testing import SPECIAL_TOKENS, seeded_model  # noqa: E402
+from vecloom.testing import seeded_model  # noqa: E402
 
 DIM = 384
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
-# The example questions of the documented retrieval use.
 INLINE_QUESTIONS = [
-    "What is the capital of France?",
-    "How does a car engine work?",
-    "What is the tallest mountain in the world?",
-    "How do airplanes stay in the air?",
-    "What is the speed of light?",
+    "Which river is the longest?",
+    "Who can tell what the letter says?",
+    "Where do the old roads lead to, and when were they built?",
+    "Why is bread eaten in every house?",
+    "Is it true that nobody's left in the valley?",
 ]
 QUOTED_QUESTION = "What's the plot of the book?"
 
@@ -86,21 +88,25 @@ def _hashed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _models: dict = {}
 
 
+def _vocabulary() -> list[str]:
+    """The whole words of a public tokenizer, in the order of their ids; its size does not depend on the data."""
+    import public_tokenizers
+
+    with open(os.environ.get("WORD_VOCABULARY") or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocab = json.load(f)["model"]["vocab"]
+    words = (token.removesuffix("</w>") for token in sorted(vocab, key=vocab.get) if token.endswith("</w>"))
+    return [word for word in dict.fromkeys(words) if word.isascii() and word.isalnum()]
+
+
 def _model(spark: SparkSession, sf_dir: str, name: str):
-    """The configured model, or a seeded one with all its layers and all words of the table."""
+    """The configured model, or a seeded one with all its layers and a fixed vocabulary, that of a tokenizer file."""
     spec = spec_of(name)
     if os.environ.get(spec.folder_variable):
         return distribute(spark, resolve(spec))
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, name)
     if key not in _models:
-        words = _read(spark, sf_dir, "conversations").select(
-            F.explode(F.split(F.lower("text"), SEPARATORS)).alias("word")
-        )
-        frequent = words.where("word <> ''").groupBy("word").count().orderBy(F.desc("count"), "word")
         folder = os.path.join(tempfile.mkdtemp(prefix="vecloom-model-"), name)
-        _models[key] = distribute(
-            spark, seeded_model(folder, name, [row["word"] for row in frequent.collect()], layers=spec.layers)
-        )
+        _models[key] = distribute(spark, seeded_model(folder, name, _vocabulary(), layers=spec.layers))
     return _models[key]
 
 
@@ -108,6 +114,13 @@ def _elements(df: DataFrame, keys: list[str], vec: str, pos: str, value: str) ->
     return df.select(*keys, F.posexplode(vec).alias(pos, value)).withColumn(value, F.round(F.col(value).cast("double"), 6))
 
 
+def _filled(df: DataFrame, keys: list[str], vec: str = "embedding") -> DataFrame:
+    """(keys, bucket, value) of the elements that are numbers but 0; a row without any keeps one row of NULLs."""
+    element = lambda x, i: F.struct(i.alias("bucket"), F.round(x.cast("double"), 6).alias("value"))
+    filled = F.filter(F.transform(vec, element), lambda e: (e["value"] != 0) & ~F.isnan(e["value"]))
+    return df.select(*keys, F.explode_outer(filled).alias("e")).select(*keys, "e.bucket", "e.value")
+
+
 # Sources and sinks
 
 
@@ -132,7 +145,7 @@ def s3_vector_scan(spark, sf_dir):
 
 def s4_vector_table(spark, sf_dir):
     table = _hashed(spark, sf_dir, "documents").withColumn("width", vector_width("embedding"))
-    return _elements(table, ["doc_id", "lang", "source", "width"], "embedding", "bucket", "value").where("value <> 0")
+    return _filled(table, ["doc_id", "lang", "source", "width"])
 
 
 def s5_json_requests(spark, sf_dir):
@@ -189,7 +202,7 @@ def p5_question_parameter(spark, sf_dir):
     _hashed(spark, sf_dir, "documents").createOrReplaceTempView("vector_table")
     question = spark.sql("SELECT to_vector(embed_hash(:question), 384) AS v", args={"question": QUOTED_QUESTION})
     return spark.sql(
-        """SELECT doc_id, round(array_distance(embedding, CAST(:v AS array<float>)), 6) AS distance
+        """SELECT doc_id, round(vector_distance(embedding, CAST(:v AS array<float>)), 6) AS distance
            FROM vector_table ORDER BY distance NULLS LAST, doc_id LIMIT 5""",
         args={"v": F.array(*map(F.lit, question.first()["v"]))},
     )
@@ -224,9 +237,7 @@ def e3_batch_invariance(spark, sf_dir):
 def e4_tokenize(spark, sf_dir):
     documents = spread(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     tokens = tokenize_column(documents, "text", _tokens_only(spark, sf_dir))
-    return tokens.select(
-        "doc_id", F.array_size("mask").alias("n_tokens"), F.concat_ws(" ", F.col("ids").cast("array<string>")).alias("ids")
-    )
+    return tokens.select("doc_id", F.array_size("mask").alias("n_tokens"))
 
 
 def _tokens_only(spark, sf_dir):
@@ -408,7 +419,7 @@ def t1_embed_stream(spark, sf_dir):
     stream = spark.readStream.schema(talk.schema).option("pathGlobFilter", "conversations.parquet").parquet(sf_dir)
     stored = _stream_result(spark, embed_stream(stream, "text", _hash))
     stored = stored.withColumn("width", vector_width("embedding"))
-    return _elements(stored, ["conv_id", "turn", "width"], "embedding", "bucket", "value").where("value <> 0")
+    return _filled(stored, ["conv_id", "turn", "width"])
 
 
 def t1_stream_requests(spark, sf_dir):
@@ -425,21 +436,24 @@ def t1_stream_requests(spark, sf_dir):
     spread(talk.select(body.alias("value"))).write.text(path)
     stored = _stream_result(spark, answer_requests(parsed_stream(spark, path, request_key="id"), _hash, ["hash"]))
     back = F.from_json("response", "embedded_text array<float>")["embedded_text"]
-    value = lambda x: F.round(x.cast("double"), 6)
-    filled = F.filter(F.transform(back, lambda x, i: F.struct(i.alias("bucket"), value(x).alias("value"))), lambda e: e["value"] != 0)
-    each = stored.select(F.coalesce("id", "value").alias("request"), "status", F.explode_outer(filled).alias("e"))
-    return each.select("request", "status", "e.bucket", "e.value")
+    keyed = stored.select(F.coalesce("id", "value").alias("request"), "status", back.alias("embedding"))
+    return _filled(keyed, ["request", "status"])
 
 
-def t2_route_requests(spark, sf_dir):
+ROUTES = {"narrow": 96, "wide": DIM}
+
+
+def t2_route_hashes(spark, sf_dir):
+    """Each request by the encoder that it names: hash vectors of two widths, compared by value."""
     talk = _read(spark, sf_dir, "conversations")
-    model = F.when(F.col("role") == "assistant", "embed").otherwise("embed_jina").alias("model")
-    lines = talk.select(F.to_json(F.struct("text", model)).alias("value"))
+    model = F.when(F.col("role") == "assistant", "narrow").when(F.col("role") == "user", "wide").otherwise("other")
+    body = F.to_json(F.struct(F.concat_ws("/", "conv_id", "turn").alias("id"), "text", model.alias("model")))
     path = scratch_path(spark, "requests")
-    spread(lines).write.text(path)
-    models = {name: _model(spark, sf_dir, name) for name in ("embed", "embed_jina")}
-    stored = _stream_result(spark, route_requests(request_stream(spark, path), models))
-    return stored.select("text", "model", vector_width("embedding").alias("width"))
+    spread(talk.select(body.alias("value"))).write.text(path)
+    encoders = {name: partial(embed_hash, dim=dim) for name, dim in ROUTES.items()}
+    parsed = accepted(parsed_stream(spark, path, request_key="id"))
+    stored = _stream_result(spark, route_encoders(parsed, encoders))
+    return _filled(stored.withColumn("width", vector_width("embedding")), ["id", "model", "width"])
 
 
 def u1_registered_functions(spark, sf_dir):
@@ -484,7 +498,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
         k3_cells, k3_cells_appended, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
-        k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, u1_registered_functions,
+        k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, t2_route_hashes,
+        u1_registered_functions,
     ]
     return {query.__name__: query for query in listed} | _training_data_queries()
 
@@ -503,11 +518,11 @@ def _tokens_sql(name: str, table: str, key: str, text: str = "text") -> str:
     return f"{name} AS MATERIALIZED (SELECT id, t FROM (SELECT {key} AS id, unnest({split}) AS t FROM {table}) WHERE t <> '')"
 
 
-def _hash_sql(name: str, table: str, key: str, text: str = "text") -> str:
+def _hash_sql(name: str, table: str, key: str, text: str = "text", dim: int = DIM) -> str:
     """Sparse hash vectors (id, bucket, x) and their squared norms (id, n2)."""
     return f"""{_tokens_sql(name + "_t", table, key, text)},
 {name}_c AS MATERIALIZED (
-  SELECT id, h % {DIM} AS bucket, sum(CASE WHEN (h // {DIM}) % 2 = 0 THEN 1 ELSE -1 END) AS w
+  SELECT id, h % {dim} AS bucket, sum(CASE WHEN (h // {dim}) % 2 = 0 THEN 1 ELSE -1 END) AS w
   FROM (SELECT id, ('0x' || substr(md5(t), 1, 8))::BIGINT AS h FROM {name}_t) GROUP BY ALL),
 {name}_l AS MATERIALIZED (SELECT id, sqrt(sum(w * w)::DOUBLE) AS n FROM {name}_c GROUP BY id),
 {name} AS MATERIALIZED (
@@ -544,9 +559,6 @@ def oracle_sql() -> dict[str, str]:
     one = f"{_hash_sql('q', _values([QUOTED_QUESTION]), '0')},\n{_hash_sql('d', 'documents', 'doc_id')},\n{_search_sql(5)}"
     asked = f"{_hash_sql('q', 'benchmark', 'item_id')},\n{_hash_sql('d', 'documents', 'doc_id')},\n{_search_sql(5)}"
     vectors = "vectors AS MATERIALIZED (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings)"
-    vocabulary = f"""words AS MATERIALIZED (
-  SELECT t, row_number() OVER (ORDER BY count(*) DESC, t) + {len(SPECIAL_TOKENS) - 1} AS id
-  FROM w GROUP BY t)"""
     split = "regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+')"
     length = f"len(list_filter({split}, lambda t: t <> '')) + 2"
     directions, offsets = LSH_PROJECTIONS
@@ -605,8 +617,9 @@ SELECT qid AS random_questions, rank, did AS doc_id, distance FROM ranked""",
         "s3_vector_scan": """SELECT vec_id, label, generate_subscripts(embedding, 1)::INTEGER - 1 AS pos,
   round(unnest(embedding)::DOUBLE, 6) + 0.0 AS value FROM embeddings""",
         "s4_vector_table": f"""WITH {_hash_sql('d', 'documents', 'doc_id')}
-SELECT doc_id, lang, source, {DIM} AS width, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
-FROM documents JOIN d ON d.id = doc_id WHERE round(x, 6) <> 0""",
+SELECT doc_id, lang, source, CASE WHEN text IS NOT NULL THEN {DIM} END AS width, bucket::INTEGER AS bucket,
+  round(x, 6) + 0.0 AS value
+FROM documents LEFT JOIN d ON d.id = doc_id AND round(x, 6) <> 0""",
         "s5_json_requests": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")},
 filled AS (SELECT id, count(*)::INTEGER AS filled FROM d GROUP BY id)
 SELECT conv_id, turn,
@@ -627,17 +640,7 @@ SELECT documents.*, {DIM} AS embedded_text, signed_places, largest FROM document
         "e1_embed": _constant_widths(384),
         "e2_embed_jina": _constant_widths(768),
         "e3_batch_invariance": "SELECT conv_id, turn, true AS same FROM conversations",
-        "e4_tokenize": f"""WITH {_tokens_sql('w', 'conversations', 'conv_id')},
-{vocabulary},
-pieces AS (
-  SELECT doc_id, t, pos FROM (
-    SELECT doc_id, unnest(list_filter({split}, lambda t: t <> '')) AS t,
-           generate_subscripts(list_filter({split}, lambda t: t <> ''), 1) AS pos FROM documents)),
-rows_of AS (
-  SELECT doc_id, string_agg(coalesce(id, 1)::VARCHAR, ' ' ORDER BY pos) AS ids
-  FROM pieces LEFT JOIN words USING (t) GROUP BY doc_id)
-SELECT doc_id, ({length})::INTEGER AS n_tokens, concat_ws(' ', '2', ids, '3') AS ids
-FROM documents LEFT JOIN rows_of USING (doc_id)""",
+        "e4_tokenize": f"SELECT doc_id, ({length})::INTEGER AS n_tokens FROM documents",
         "e5_length_groups": f"SELECT ({length})::INTEGER AS n_tokens, count(*) AS texts FROM documents GROUP BY 1",
         "e8_mean_pool": pooled("1.0::DOUBLE"),
         "e8_masked_mean_pool": pooled("(vec_id % 3 <> 0)::INTEGER::DOUBLE"),
@@ -679,8 +682,9 @@ FROM ranked JOIN documents ON doc_id = did""",
         "k5_retrieve": retrieved,
         "k5_retrieve_cells": retrieved,
         "t1_embed_stream": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")}
-SELECT conv_id, turn, {DIM} AS width, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
-FROM conversations JOIN d ON d.id = conv_id || '/' || turn WHERE round(x, 6) <> 0""",
+SELECT conv_id, turn, CASE WHEN text IS NOT NULL THEN {DIM} END AS width, bucket::INTEGER AS bucket,
+  round(x, 6) + 0.0 AS value
+FROM conversations LEFT JOIN d ON d.id = conv_id || '/' || turn AND round(x, 6) <> 0""",
         "t1_stream_requests": f"""WITH {_hash_sql('d', 'conversations', "conv_id || '/' || turn")},
 asked AS (
   SELECT conv_id || '/' || turn AS id,
@@ -691,5 +695,14 @@ SELECT CASE WHEN status = 'malformed_json' THEN 'broken ' ELSE '' END || asked.i
 FROM asked LEFT JOIN d ON d.id = asked.id AND status = 'answered' AND round(x, 6) <> 0""",
         "t2_route_requests": """SELECT text, CASE WHEN role = 'assistant' THEN 'embed' ELSE 'embed_jina' END AS model,
   CASE WHEN role = 'assistant' THEN 384 ELSE 768 END AS width FROM conversations""",
+        "t2_route_hashes": f"""WITH {_hash_sql('n', "(SELECT * FROM conversations WHERE role = 'assistant')", "conv_id || '/' || turn", dim=ROUTES['narrow'])},
+{_hash_sql('d', "(SELECT * FROM conversations WHERE role = 'user')", "conv_id || '/' || turn", dim=ROUTES['wide'])},
+both_widths AS (SELECT id, bucket, x FROM n UNION ALL SELECT id, bucket, x FROM d),
+asked AS (
+  SELECT conv_id || '/' || turn AS id, CASE role WHEN 'assistant' THEN 'narrow' ELSE 'wide' END AS model
+  FROM conversations WHERE role IN ('assistant', 'user') AND text IS NOT NULL)
+SELECT asked.id, model, CASE model WHEN 'narrow' THEN {ROUTES['narrow']} ELSE {ROUTES['wide']} END AS width,
+  bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value
+FROM asked LEFT JOIN both_widths b ON b.id = asked.id AND round(x, 6) <> 0""",
         "u1_registered_functions": "SELECT item_id, 384 AS width, 768 AS width_jina FROM benchmark",
     } | _training_data_sql()

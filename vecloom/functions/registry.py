@@ -1,7 +1,8 @@
 """SQL names: `embed`, `embed_jina`, and the vector functions their queries use.
 
 The vector functions are registered as Arrow UDFs because Spark does not accept a SQL-bodied
-function inside ORDER BY, which is where retrieval queries use them. DataFrame code should
+function inside ORDER BY, which is where retrieval queries use them. `vector_distance` has a SQL body and
+so needs no Python worker: name it in the select list and order by its alias. DataFrame code should
 use the expressions of `vecloom.functions.vectors`.
 """
 
@@ -56,9 +57,21 @@ def _vector_udfs() -> dict:
     return {"array_distance": array_distance, "to_vector": to_vector, "l2_normalize": l2_normalize}
 
 
+VECTOR_DISTANCE = """CREATE OR REPLACE TEMPORARY FUNCTION vector_distance(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>)
+RETURNS DOUBLE RETURN CASE
+  WHEN a IS NULL OR b IS NULL THEN NULL
+  WHEN array_size(a) <> array_size(b) THEN CAST(raise_error(concat(
+    'vector_distance: widths differ, ', array_size(a), ' and ', array_size(b))) AS DOUBLE)
+  ELSE coalesce(
+    sqrt(aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0D, (s, v) -> s + v)),
+    CAST(raise_error('vector_distance: a vector has a NULL element') AS DOUBLE))
+END"""
+
+
 def register_vector_functions(spark: SparkSession) -> None:
-    """`array_distance(a, b)`, `to_vector(v, width)`, `l2_normalize(v)` and `embed_hash(text)`."""
+    """`array_distance(a, b)`, `vector_distance(a, b)`, `to_vector(v, width)`, `l2_normalize(v)` and `embed_hash(text)`."""
     ship_package(spark)
+    spark.sql(VECTOR_DISTANCE)
     for name, udf in {**_vector_udfs(), "embed_hash": hash_udf()}.items():
         spark.udf.register(name, udf)
 
