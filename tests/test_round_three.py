@@ -47,7 +47,7 @@ def test_each_request_goes_to_its_encoder(spark):
     got = {r.id: list(r.embedding) for r in route_encoders(requests, encoders).collect()}
     for name, dim in (("a", 8), ("b", 32)):
         own = embed_hash(requests.where(F.col("model") == name), "text", "v", dim).collect()
-        assert all(got[r.id] == list(r.v) for r in own)
+        assert len(own) == (2 if name == "a" else 1) and all(str(got[r.id]) == str(list(r.v)) for r in own)
     assert sorted(got) == [0, 1, 4]
 
 
