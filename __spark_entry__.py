@@ -134,8 +134,7 @@ def s1_inline_questions(spark, sf_dir):
 def s2_csv_chunks(spark, sf_dir):
     path = scratch_path(spark, "csv")
     write_chunks(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars"), path)
-    chunks = read_chunks(spark, path)
-    return chunks.select(F.col("doc_id").cast("bigint"), "text", "lang", F.col("n_chars").cast("bigint"))
+    return read_chunks(spark, path, schema="doc_id bigint, text string, lang string, n_chars bigint")
 
 
 def s3_vector_scan(spark, sf_dir):
