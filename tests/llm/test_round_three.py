@@ -1,9 +1,11 @@
 """Exact copies, whitening and the prefix trie against brute force, and odd tables."""
 
 import hashlib
+import math
 import random
 import re
-from collections import defaultdict
+import time
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -12,8 +14,9 @@ from brute_trie import trie
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vecloom.llm import blocks, queries
+from vecloom.llm import blocks, html_extract, queries
 from vecloom.llm.exact_dedup import drop_copies, mark_copies
+from vecloom.llm.html_extract import main_text
 from vecloom.llm.line_dedup import remove_boilerplate
 from vecloom.llm.packing import token_ids
 from vecloom.llm.prefix_trie import prefix_trie
@@ -318,3 +321,78 @@ def test_inner_lines_of_a_block_go_and_copied_pages_stay(spark):
     found = remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     for r in found:
         assert r.n_removed == (3 if r.doc_id < 100 else 0)
+
+
+def test_pages_in_forms_and_sections_named_by_their_topic():
+    for page, text in (
+        ("<form id='f'><div class='menu'>M</div><article><h1>H</h1><p>Long enough text</p></article></form>", "H\nLong enough text"),
+        ("<form><article><p>Text without a heading</p></article><input name=q><button>Go</button></form>", "Text without a heading"),
+        ("<p>Text</p><form><p>Your name</p></form>", "Text"),
+        ("<article><p>A</p><section class='social-history'><p>B</p></section><section id='related-work'>C</section></article>", "A\nB\nC"),
+        ("<article><p>A</p><div class='related-posts'>R</div><div class='share-buttons'>S</div></article>", "A"),
+    ):
+        assert main_text(page, set()) == text, page
+
+
+def test_elements_within_a_line_do_not_cut_it():
+    for page, text in (
+        ("<p>Some <script>x</script>text <custom-x>more</custom-x> end</p>", "Some text more end"),
+        ("<p>a <button>b</button>c <input>d</foo> e <select><option>f</select>g</p>", "a c d e g"),
+        ("<p>a <button>never closed, but<p>b</p>", "a never closed, but\nb"),
+        ("<p>a <svg><title>t</title></svg>b<hr>c</section> d</p>", "a b\nc d"),
+        ("<title>t</title><p>a</p>", "a"),
+    ):
+        assert " ".join(main_text(page, set()).split(" ")) == text, page
+
+
+def test_deep_pages_cost_what_long_pages_cost():
+    for page in ("<div>x" * 16_000, "<h2>x" * 16_000, "<div><p>x" * 8_000 + "</section>" * 8_000, "<svg>x" * 8_000):
+        start = time.perf_counter()
+        main_text(page, {(0, 0, 0)})
+        html_extract.node_values(page)
+        assert time.perf_counter() - start < 4
+
+
+def style_trees_by_dictionaries(pages, threshold=0.35, prior=20, least=8):
+    """Texts that stay on pages of <div class=..> branches with one line each, without marks: a page is (host, [(cls, text)])."""
+    counts, everywhere = defaultdict(Counter), defaultdict(Counter)
+    seen = set()
+    for host, lines in pages:
+        content = (host, "\n".join(t for _, t in lines))
+        if content not in seen:
+            seen.add(content)
+            for cls, text in lines:
+                counts[host, cls][text] += 1
+                everywhere[cls][text] += 1
+
+    def importance(counter):
+        t = sum(counter.values())
+        return (math.log(t) - sum(n * math.log(n) for n in counter.values()) / t) / math.log(t) if t > 1 else 1.0
+
+    def low(host, cls):
+        own, both = counts[host, cls], everywhere[cls]
+        t = sum(own.values())
+        mixed = (importance(own) * t + importance(both) * prior) / (t + prior)
+        return mixed < threshold and max(t, sum(both.values())) >= least
+
+    return ["\n".join(t for c, t in lines if not (low(host, c) and everywhere[c][t] >= least)) for host, lines in pages]
+
+
+def test_style_trees_equal_dictionaries(spark):
+    rng = random.Random(9)
+    pages = []
+    for n in range(240):
+        host = rng.choice(["a", "a", "b", "c"])
+        lines = [("x", "Same everywhere"), ("y", f"Host line {host}"), ("z", f"Own text {n}"), ("w", rng.choice(["one", "two"]))]
+        lines += [("v", f"rare {rng.randrange(40)}")] if rng.random() < 0.6 else []
+        rng.shuffle(lines)
+        pages.append((host, lines))
+    rows = [
+        (i, f"http://{host}.example/", "".join(f"<div class='{c}'>{t}</div>" for c, t in lines))
+        for i, (host, lines) in enumerate(pages)
+    ]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    expected = style_trees_by_dictionaries(pages)
+    assert {r.page_id: r.text for r in got} == dict(enumerate(expected))
+    bare = [main_text(html, set()) for _, _, html in rows]
+    assert sum(a != b for a, b in zip(expected, bare, strict=True)) == len(rows)  # the trees decide, no mark does

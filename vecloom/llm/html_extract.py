@@ -46,10 +46,14 @@ _MARKS = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"
 _SPACES = re.compile(r"\s+")
 _RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+#: Elements that begin and end blocks of text; all others, unknown ones too, stand within a line.
+_BLOCK = frozenset(
+    "address article aside blockquote body caption center colgroup dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav noscript ol optgroup "
+    "option p pre search section summary table tbody td template tfoot th thead title tr ul".split()
 )
+#: Elements within a line whose content is no text of it.
+_SKIPPED = frozenset("button canvas datalist object select svg".split())
 _NO_CONTENT = frozenset(
     "head script style noscript template nav header footer aside form button select textarea iframe object svg canvas "
     "dialog menu title xmp noembed noframes option datalist".split()
@@ -59,6 +63,12 @@ _NO_CONTENT_MARKS = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice notices popup promo related reply replies "
     "respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: What may follow a first word of those in a name; with another word the name tells what the text is about.
+_PLAIN_PARTS = frozenset(
+    "area articles bar block body bottom box button buttons col column container content count form group holder icon icons "
+    "inner item items left link links list main outer pane panel post posts right row section stories text thread title top "
+    "wrap wrapper".split()
+)
 _CLOSES = {
     "p": frozenset("p".split()),
     "li": frozenset(["li", "p"]),
@@ -74,61 +84,60 @@ _ABOUT_PAGE = frozenset("has have no not is with without show hide hidden".split
 #: Elements that hold the page or its content, whatever their classes say.
 _WHOLE = frozenset("html body main article".split())
 TEXTS, STYLES, BRANCH = 0, 1, 2
-_SCOPE = frozenset("ul ol dl table article section div main body html blockquote".split())
-
+_CLOSABLE = frozenset("p li dt dd tr td th option".split())
+_HARD = _NO_CONTENT - {"form"}  # whole pages may lie in a form
+_PRIME, _BASE = (1 << 61) - 1, 0x9E3779B97F4A7C1
 
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 class Node:
-    """An open or closed block element."""
+    """An open or closed block element; `begin` and `end` are the blocks of text in it."""
 
-    __slots__ = ("tag", "path", "children", "marked", "article", "heads", "parent")
+    __slots__ = ("tag", "style", "path", "children", "marked", "hard", "article", "heads", "parent", "begin", "end")
 
-    def __init__(self, tag: str, marks: str, parent: Node | None):
-        self.tag, self.parent = tag, parent
-        self.path = f"{parent.path if parent else ''}/{tag}{marks}"
+    def __init__(self, tag: str, marks: str, parent: Node | None, begin: int = 0):
+        self.tag, self.parent, self.style = tag, parent, tag + marks
+        # A hash of the styles from the root on; long chains of elements cost no more than short ones.
+        self.path = _hash(f"{parent.path}/{self.style}") if parent else 0
+        self.hard = tag in _HARD or bool(parent and parent.hard)
         self.marked = tag in _NO_CONTENT or (tag not in _WHOLE and _names_no_content(marks))
         self.article = bool(parent and parent.article) or tag in ("article", "main")
         self.heads = False  # whether it holds a main element or a first heading
         self.children: list[str] = []
-
-    def line(self) -> Iterator[Node]:
-        """The node and all above it."""
-        node: Node | None = self
-        while node is not None:
-            yield node
-            node = node.parent
+        self.begin = self.end = begin
 
 
 def _names_no_content(marks: str) -> bool:
-    """Whether a class, id or role as a whole, or its first or last part, names a role that is no content."""
+    """Whether a class, id or role names a role that is no content: as a whole, by its last part, or by
+    its first part with nothing but words of layout after it."""
     for name in re.split(r"[.\s]+", marks):
         parts = [p for p in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
-        if parts and parts[0] not in _ABOUT_PAGE and not _NO_CONTENT_MARKS.isdisjoint((parts[0], parts[-1])):
+        if not parts or parts[0] in _ABOUT_PAGE:
+            continue
+        if parts[-1] in _NO_CONTENT_MARKS or (parts[0] in _NO_CONTENT_MARKS and _PLAIN_PARTS.issuperset(parts[1:])):
             return True
     return False
 
 
-def _spare(blocks: list[tuple[Node, str]]) -> None:
+def _spare(blocks: list[tuple[Node, str]], nodes: list[Node]) -> None:
     """Take the mark off nodes that hold most of a page's text and its heading."""
-    sizes: dict[Node, int] = {}
-    whole = 0
+    sums = [0]
     for node, text in blocks:
-        line = list(node.line())
-        if not any(n.tag in _NO_CONTENT for n in line):
-            whole += len(text)
-            for n in line:
-                if n.marked and n.heads:
-                    sizes[n] = sizes.get(n, 0) + len(text)
-    for node, size in sizes.items():
-        if 2 * size > whole:
+        sums.append(sums[-1] + (0 if node.hard else len(text)))
+    for node in nodes:
+        if node.marked and node.heads and not node.hard and 2 * (sums[node.end] - sums[node.begin]) > sums[-1]:
             node.marked = False
 
 
-def _empty(node: Node) -> bool:
-    return any(n.marked for n in node.line())
+def _below(nodes: list[Node], chosen) -> set[Node]:
+    """The nodes for which `chosen` holds, and all in them."""
+    found: set[Node] = set()
+    for node in nodes:  # parents come first
+        if chosen(node) or node.parent in found:
+            found.add(node)
+    return found
 
 
 def _marks(attributes: str) -> str:
@@ -139,9 +148,13 @@ def _marks(attributes: str) -> str:
 
 
 def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
-    """Blocks of text in page order, as (innermost block element, text), and all block elements."""
+    """Blocks of text in page order, as (innermost block element, text), and all block elements, parents first.
+
+    Linear in the page, however deep its elements lie.
+    """
     root = Node("", "", None)
     nodes, stack, blocks, run = [root], [root], [], []
+    opened: Counter = Counter()
 
     def flush() -> None:
         if run:
@@ -150,7 +163,28 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
                 blocks.append((stack[-1], text))
             run.clear()
 
-    at, low = 0, None
+    def close(depth: int) -> None:
+        for node in stack[depth:]:
+            node.end = len(blocks)
+            opened[node.tag] -= 1
+        del stack[depth:]
+
+    low = None
+
+    def skip(tag: str, at: int, also_start: bool) -> int:
+        """The place after the end tag of `tag`; `also_start`: a further start tag ends it too."""
+        nonlocal low
+        low = page.lower() if low is None else low
+        text = page if len(low) != len(page) else low
+        end = text.find(f"</{tag}", at)
+        if also_start:
+            start = text.find(f"<{tag}", at)
+            if end < 0 or 0 <= start < end:
+                return start if start >= 0 else at
+        end = len(page) if end < 0 else end
+        return page.find(">", end) + 1 or len(page)
+
+    at = 0
     while True:
         m = _TAG.search(page, at)
         if m is None:
@@ -163,83 +197,109 @@ def parse(page: str) -> tuple[list[tuple[Node, str]], list[Node]]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag in _INLINE:
-            if tag in ("br", "img", "wbr"):
-                run.append(" " if tag == "br" else "")
+        if tag in _RAW and tag != "title":  # no markup, and no text of the page
+            if not m[1]:
+                at = skip(tag, at, False)
+            continue
+        if tag not in _BLOCK:
+            if tag == "br":
+                run.append(" ")
+            elif tag in _SKIPPED and not m[1] and not m[0].endswith("/>"):
+                at = skip(tag, at, True)
             continue
-        flush()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                flush()
+                close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag))
+            elif tag == "p":
+                flush()
             continue
+        flush()
         closes = _CLOSES.get(tag) or (_CLOSES["p"] if tag not in _VOID else ())
+        depth = len(stack)
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in closes:
-                del stack[k:]
-            elif stack[k].tag in _SCOPE:
+                depth = k
+            elif stack[k].tag not in _CLOSABLE:
                 break
+        close(depth)
         if tag in _VOID:
             continue
-        node = Node(tag, _marks(m[3]), stack[-1])
-        stack[-1].children.append(node.path.rpartition("/")[2])
+        node = Node(tag, _marks(m[3]), stack[-1], len(blocks))
+        stack[-1].children.append(node.style)
         nodes.append(node)
-        if tag in ("h1", "main"):
-            for above in node.line():
-                above.heads = True
-        if tag in _RAW:  # its content is no markup, and no text of the page
-            low = page.lower() if low is None or len(low) != len(page) else low
-            end = low.find(f"</{tag}", at)
-            end = len(page) if end < 0 else end
-            at = page.find(">", end) + 1 or len(page)
+        above = node if tag in ("h1", "main") else None
+        if tag == "article":
+            above = next((n for n in stack if n.tag == "form"), None)  # the form's own page lies in it
+        while above is not None and not above.heads:
+            above.heads = True
+            above = above.parent
+        if tag == "title":
+            node.end, at = len(blocks), skip(tag, at, False)
             continue
         stack.append(node)
+        opened[tag] += 1
     flush()
-    _spare(blocks)
+    close(1)
+    root.end = len(blocks)
+    _spare(blocks, nodes)
     return blocks, nodes
 
 
-def _branches(blocks: list[tuple[Node, str]]) -> dict[Node, list[str]]:
-    """The texts under each node that has block elements in it."""
-    under: dict[Node, list[str]] = {}
-    for node, text in blocks:
-        for n in node.line():
-            if n.children and n.tag and n.tag not in _WHOLE:
-                under.setdefault(n, []).append(text)
-    return under
+class _Page:
+    """The blocks of a page that no mark rules out, and hashes of the branches they lie in."""
+
+    def __init__(self, page: str):
+        blocks, nodes = parse(page)
+        empty = _below(nodes, lambda node: node.marked)
+        self.nodes = [node for node in nodes if node not in empty]
+        kept, places = [], [0]
+        for node, text in blocks:
+            if node not in empty:
+                kept.append((node, text, _hash(text)))
+            places.append(len(kept))
+        self.blocks = kept
+        # Hash of the texts of any run of blocks, from sums over those before it.
+        self._sums, self._powers = [0], [1]
+        for _, _, h in kept:
+            self._sums.append((self._sums[-1] * _BASE + h) % _PRIME)
+            self._powers.append(self._powers[-1] * _BASE % _PRIME)
+        self.branches = {
+            node: self._run(places[node.begin], places[node.end])
+            for node in self.nodes
+            if node.children and node.tag and node.tag not in _WHOLE and places[node.begin] < places[node.end]
+        }
+
+    def _run(self, begin: int, end: int) -> int:
+        return (self._sums[end] - self._sums[begin] * self._powers[end - begin]) % _PRIME
 
 
 def node_values(page: str) -> tuple[int, Counter]:
     """A hash of a page's content, and how often each (path, kind, value) comes up in it; 8-byte hashes."""
-    blocks, nodes = parse(page)
-    blocks = [(node, text) for node, text in blocks if not _empty(node)]
+    own = _Page(page)
     found: Counter = Counter()
-    for node, text in blocks:
-        found[_hash(node.path), TEXTS, _hash(text)] += 1
-    for node, texts in _branches(blocks).items():
-        found[_hash(node.path), BRANCH, _hash("\n".join(texts))] += 1
-    for node in nodes:
-        if node.children and not _empty(node):
-            found[_hash(node.path), STYLES, _hash(" ".join(dict.fromkeys(node.children)))] += 1
-    inside = [text for node, text in blocks if node.article]
-    return _hash("\n".join(inside or [text for _, text in blocks])), found
+    for node, _, h in own.blocks:
+        found[node.path, TEXTS, h] += 1
+    for node, h in own.branches.items():
+        found[node.path, BRANCH, h] += 1
+    for node in own.nodes:
+        if node.children:
+            found[node.path, STYLES, _hash(" ".join(dict.fromkeys(node.children)))] += 1
+    inside = [text for node, text, _ in own.blocks if node.article]
+    return _hash("\n".join(inside or [text for _, text, _ in own.blocks])), found
 
 
 def main_text(page: str | None, low: set[tuple[int, int, int]]) -> str:
     """Text of the blocks that are content, given the (path, kind, value) hashes that are none."""
     if not page:
         return ""
-    blocks = [(node, text) for node, text in parse(page)[0] if not _empty(node)]
-    gone = {
-        node for node, texts in _branches(blocks).items() if low and (_hash(node.path), BRANCH, _hash("\n".join(texts))) in low
-    }
-    out = []
-    for node, text in blocks:
-        if low and ((_hash(node.path), TEXTS, _hash(text)) in low or any(n in gone for n in node.line())):
-            continue
-        out.append(text)
-    return "\n".join(out)
+    own = _Page(page)
+    if not low:
+        return "\n".join(text for _, text, _ in own.blocks)
+    gone = _below(own.nodes, lambda node: node in own.branches and (node.path, BRANCH, own.branches[node]) in low)
+    return "\n".join(
+        text for node, text, h in own.blocks if node not in gone and (node.path, TEXTS, h) not in low
+    )
 
 
 def _host(url):
