@@ -26,11 +26,24 @@ def text_bytes(docs: DataFrame, text: str) -> int:
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def blocked(docs: DataFrame, text: str, total: int, columns: list[str]) -> DataFrame:
-    """`columns` of every row, with its `block`, dealt out by block. Equal rows may part."""
-    n = max(1, -(-total // BLOCK_BYTES))
-    seed = F.xxhash64(*columns)
-    return docs.select(F.pmod(seed, F.lit(n)).cast("int").alias("block"), *columns).repartition(n, "block")
+def n_blocks(total: int) -> int:
+    return max(1, -(-total // BLOCK_BYTES))
+
+
+def blocked(docs: DataFrame, total: int, columns: list[str]) -> DataFrame:
+    """`columns` of every row of a stored table, with its `block`; each block is a partition of its own.
+
+    Rows are dealt out by their places in the table, so equal rows part like any others. The
+    places of a stored table are the same whenever it is read.
+    """
+    n = n_blocks(total)
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    return docs.select(block.alias("block"), *columns).repartitionById(n, F.col("block"))
+
+
+def beside(rows: DataFrame, total: int) -> DataFrame:
+    """`rows` with a `block`, dealt out like the blocks themselves, for a cogroup without a further shuffle."""
+    return rows.repartitionById(n_blocks(total), F.col("block")).groupBy("block")
 
 
 def bucket_bits(total: int) -> int:

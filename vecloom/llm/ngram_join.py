@@ -77,30 +77,31 @@ def _emit(n: int, bits: int):
 SETS_SCHEMA = "doc_id {}, text_hash long, n_shingles long, node long, grp long, prefix array<long>, skip int, common double, tokens binary"
 
 
+_COLUMNS = {
+    "n_shingles": pa.int64(), "node": pa.int64(), "grp": pa.int64(), "prefix": pa.list_(pa.int64()),
+    "skip": pa.int32(), "common": pa.float64(), "tokens": pa.binary(),
+}
+
+
 def _sets(n: int, percent: int, bits: int, id_type: pa.DataType):
     def run(_, table, known):
         recurring = blocks.Recurring(known, bits, WIDTH)
-        out = {k: [] for k in ("n_shingles", "node", "grp", "prefix", "skip", "common", "tokens")}
-        for chunk in table["text"].chunks:
-            for low, high, words in slices(chunk, True):
+        schema = pa.schema([("doc_id", id_type), ("text_hash", pa.int64()), *_COLUMNS.items()])
+        made = []
+        for batch in table.select(["doc_id", "text_hash", "text"]).to_batches():
+            for low, high, words in slices(batch["text"], True):
+                out = {k: [] for k in _COLUMNS}
                 rows, grams = _shingles(words, words.hashes(), n)
                 cut = np.searchsorted(rows, np.arange(high - low + 1))
                 times = recurring.counts(grams)
                 for i in range(high - low):
                     _one(out, grams[cut[i] : cut[i + 1]], times[cut[i] : cut[i + 1]], percent)
-        ids = table["doc_id"].cast(id_type)
-        columns = {
-            "doc_id": ids,
-            "text_hash": table["text_hash"],
-            "n_shingles": pa.array(out["n_shingles"], pa.int64()),
-            "node": pa.array(out["node"], pa.int64()),
-            "grp": pa.array(out["grp"], pa.int64()),
-            "prefix": pa.array(out["prefix"], pa.list_(pa.int64())),
-            "skip": pa.array(out["skip"], pa.int32()),
-            "common": pa.array(out["common"], pa.float64()),
-            "tokens": pa.array(out["tokens"], pa.binary()),
-        }
-        return pa.table(columns)
+                # A batch for each slice: the result goes back in small parts.
+                part = batch.slice(low, high - low)
+                columns = [part["doc_id"].cast(id_type), part["text_hash"]]
+                columns += [pa.array(out[k], kind) for k, kind in _COLUMNS.items()]
+                made.append(pa.RecordBatch.from_arrays(columns, schema=schema))
+        return pa.Table.from_batches(made, schema)
 
     return run
 
@@ -223,11 +224,11 @@ def similar_documents(
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
     total = blocks.text_bytes(rows, "text")
     bits = blocks.bucket_bits(total)
-    dealt = blocks.blocked(rows, "text", total, ["doc_id", "text", "text_hash"])
+    dealt = blocks.blocked(rows, total, ["doc_id", "text", "text_hash"])
     sent = dealt.groupBy("block").applyInArrow(_emit(n, bits), blocks.COUNTS_SCHEMA)
     known = blocks.recurring(sent, WIDTH)
     schema = SETS_SCHEMA.format(kind.simpleString())
-    sets = dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+    sets = dealt.groupBy("block").cogroup(blocks.beside(known, total)).applyInArrow(
         _sets(n, percent, bits, to_arrow_type(kind)), schema
     )
     sets = materialize(sets, "shingle-sets")
@@ -271,8 +272,13 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
         .agg(F.max(order == F.col("first")).alias("__stays"))
         .withColumnRenamed("text_hash", "__hash")
     )
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__hash"))
-    joined = docs.join(marked, same, "left")
-    alone = joined.where(F.col("__stays").isNull()).select(*docs.columns)
-    kept = joined.where("__stays").dropDuplicates(["__id", "__hash"]).select(*docs.columns)
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(id_col).alias("own_id"),
+        F.xxhash64(text).alias("own_hash"),
+    )
+    same = F.col("own_id").eqNullSafe(F.col("__id")) & (F.col("own_hash") == F.col("__hash"))
+    joined = rows.join(marked, same, "left")
+    alone = joined.where(F.col("__stays").isNull()).select("row.*")
+    kept = joined.where("__stays").dropDuplicates(["__id", "__hash"]).select("row.*")
     return alone.unionByName(kept)

@@ -206,15 +206,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     total = blocks.text_bytes(rows, "text")
     bits = blocks.bucket_bits(total)
-    dealt = blocks.blocked(rows, "text", total, ["doc_id", "text"])
+    dealt = blocks.blocked(rows, total, ["doc_id", "text"])
     texts = dealt.groupBy("block")
     sent = texts.applyInArrow(_phrases(window, bits), blocks.COUNTS_SCHEMA)
     named = blocks.recurring(sent, 32)
-    sent = texts.cogroup(named.groupBy("block")).applyInArrow(_windows(window, bits), blocks.COUNTS_SCHEMA)
+    sent = texts.cogroup(blocks.beside(named, total)).applyInArrow(_windows(window, bits), blocks.COUNTS_SCHEMA)
     known = blocks.recurring(sent, 64 - bits)
     schema = (
         f"doc_id {kind.simpleString()}, n_words long, n_removed long, kept string, "
         "removed array<struct<first:int,end:int>>"
     )
-    out = texts.cogroup(known.groupBy("block")).applyInArrow(_removal(window, bits, to_arrow_type(kind)), schema)
+    out = texts.cogroup(blocks.beside(known, total)).applyInArrow(_removal(window, bits, to_arrow_type(kind)), schema)
     return out.withColumnRenamed("doc_id", id_col)
