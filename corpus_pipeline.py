@@ -21,15 +21,26 @@ from vecloom.llm.ngram_join import one_of_each
 from vecloom.session import materialize
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of `docs` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10, learned from the labelled documents themselves; rejected ones go."""
-    return identify(docs, train(docs)).where(~F.col("rejected")).select(*docs.columns)
+    names = {name: _free(docs, name) for name in ("lang_pred", "score", "rejected")}
+    found = identify(docs, train(docs), names=names)
+    return found.where(~F.col(names["rejected"])).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5; every document stays, and n_chars follows its text."""
-    cleaned = remove_boilerplate(docs)
-    n_chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
+    n_lines, n_removed = _free(docs, "n_lines"), _free(docs, "n_removed")
+    cleaned = remove_boilerplate(docs, n_lines=n_lines, n_removed=n_removed)
+    n_chars = F.when(F.col(n_removed) > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return cleaned.withColumn("n_chars", n_chars).select(*docs.columns)
 
 
@@ -41,17 +52,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2 against the `benchmark` table."""
     # Ids may be NULL or repeat, so a row is told by its id and text. Equal rows leak alike.
-    hashed = docs.withColumn("__hash", F.xxhash64("text"))
-    keyed = hashed.select(F.struct("doc_id", "__hash").alias("key"), "text")
+    own = _free(docs, "__hash")
+    hashed = docs.withColumn(own, F.xxhash64("text"))
+    keyed = hashed.select(F.struct("doc_id", own).alias("key"), "text")
     found = leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="key")
-    leaked = materialize(found.select("key.*").distinct(), "leaked").toDF("leaked_id", "leaked_hash")
-    same = hashed["doc_id"].eqNullSafe(F.col("leaked_id")) & (hashed["__hash"] == F.col("leaked_hash"))
-    return hashed.join(leaked, same, "left_anti").drop("__hash")
+    id_name, hash_name = _free(docs, "leaked_id"), _free(docs, "leaked_hash")
+    leaked = materialize(found.select("key.*").distinct(), "leaked").toDF(id_name, hash_name)
+    same = hashed["doc_id"].eqNullSafe(F.col(id_name)) & (hashed[own] == F.col(hash_name))
+    return hashed.join(leaked, same, "left_anti").drop(own)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4; adds `ids` and `n_tokens`."""
-    return encode(docs, public_tokenizers.path("word_bpe_49k.json")).withColumn("n_tokens", F.size("ids").cast("long"))
+    """Operator 4; adds `ids` and `n_tokens`, under longer names where the table has such columns."""
+    ids, n_tokens = _free(docs, "ids"), _free(docs, "n_tokens")
+    encoded = encode(docs, public_tokenizers.path("word_bpe_49k.json"), out=ids)
+    return encoded.withColumn(n_tokens, F.size(ids).cast("long"))
 
 
 STAGES = [
