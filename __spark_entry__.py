@@ -31,7 +31,7 @@ from vecloom.functions.vectors import (  # noqa: E402
 )
 from vecloom.models.artifacts import distribute, resolve  # noqa: E402
 from vecloom.models.spec import spec_of  # noqa: E402
-from vecloom.operators.cells import append_cells, build_cells, fit_centroids, topk_cells  # noqa: E402
+from vecloom.operators.cells import append_cells, build_cells, calibrate_cells, fit_centroids, recall_curve, topk_cells  # noqa: E402
 from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
@@ -357,6 +357,16 @@ def k3_cells_appended(spark, sf_dir):
     return found.withColumn("distance", rank_distance("distance"))
 
 
+def k3_recall_curve(spark, sf_dir):
+    """Recall at every nprobe, measured on half of the rows and carried on as the others are added."""
+    rows, even = _read(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 2 == 0, F.lit(True))
+    index = build_cells(rows.where(even), "vec_id", "embedding", scratch_path(spark, "cells"), _label_means(spark, rows))
+    asked = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), "embedding")
+    calibrate_cells(spark, index, 5, asked)
+    append_cells(rows.where(~even), index)
+    return recall_curve(spark, index).select("nprobe", "expected", "hit", "recall")
+
+
 def k3_cells_all_probes(spark, sf_dir):
     """K-means cells, all of them searched: the exact result."""
     rows = _read(spark, sf_dir, "embeddings")
@@ -507,7 +517,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         e8_mean_pool, e8_masked_mean_pool, e8_mean_pool_rows, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
-        k3_cells, k3_cells_appended, k3_cells_all_probes, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
+        k3_cells, k3_cells_appended, k3_cells_all_probes, k3_recall_curve, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
         k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, t2_route_hashes,
         u1_registered_functions,
     ]
@@ -595,7 +605,7 @@ SELECT a.vec_id AS qid, b.vec_id, {distance.format(a='a.v', b='b.v')} AS distanc
   row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id)::INTEGER AS rank
 FROM vectors a CROSS JOIN vectors b QUALIFY rank <= 5"""
 
-    in_cells = f"""WITH {vectors},
+    cells = f"""WITH {vectors},
 centers AS MATERIALIZED (
   SELECT cell, list(x ORDER BY pos) AS c FROM (
     SELECT label AS cell, pos, avg(x)::FLOAT::DOUBLE AS x
@@ -604,11 +614,23 @@ centers AS MATERIALIZED (
 near AS MATERIALIZED (
   SELECT vec_id, v, cell,
     row_number() OVER (PARTITION BY vec_id ORDER BY {distance.format(a='v', b='c')}, cell) AS place
-  FROM vectors CROSS JOIN centers)
+  FROM vectors CROSS JOIN centers)"""
+    in_cells = f"""{cells}
 SELECT q.vec_id AS qid, r.vec_id, {distance.format(a='q.v', b='r.v')} AS distance,
   row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance.format(a='q.v', b='r.v')}, r.vec_id)::INTEGER AS rank
 FROM near q JOIN near r ON q.cell = r.cell AND q.place <= 3 AND r.place = 1
 QUALIFY rank <= 5"""
+    curve = f"""{cells},
+best AS MATERIALIZED (
+  SELECT a.vec_id AS qid, b.vec_id,
+    row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id) AS rank
+  FROM vectors a CROSS JOIN vectors b WHERE a.vec_id % 20 = 0 QUALIFY rank <= 5),
+places AS (
+  SELECT n.place FROM best JOIN near h ON h.vec_id = best.vec_id AND h.place = 1
+  JOIN near n ON n.vec_id = best.qid AND n.cell = h.cell)
+SELECT place::INTEGER AS nprobe, (SELECT count(*) FROM places) AS expected,
+  (sum(count(*)) OVER (ORDER BY place))::BIGINT AS hit, hit / expected AS recall
+FROM places GROUP BY place"""
     retrieved = f"""WITH {asked}
 SELECT qid, rank, did AS doc_id, text, distance FROM ranked JOIN documents ON doc_id = did"""
 
@@ -684,6 +706,7 @@ SELECT qid AS item_id, rank, did AS doc_id, length(text)::INTEGER AS text_length
 FROM ranked JOIN documents ON doc_id = did""",
         "k3_cells": in_cells,
         "k3_cells_appended": in_cells,
+        "k3_recall_curve": curve,
         "k4_lsh_join": near,
         "k4_lsh_join_shuffled": near,
         "k4_lsh_self_join": near.replace(

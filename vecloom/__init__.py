@@ -1,7 +1,7 @@
 """Text embedding and vector retrieval on Spark."""
 
 from vecloom.functions.registry import register, register_vector_functions
-from vecloom.operators.cells import build_cells, fit_centroids, topk_cells
+from vecloom.operators.cells import build_cells, calibrate_cells, fit_centroids, topk_cells
 from vecloom.operators.embed import embed_column, tokenize_column
 from vecloom.operators.hashing import embed_hash
 from vecloom.operators.lsh import lsh_join
@@ -16,6 +16,7 @@ __all__ = [
     "ask",
     "build_cells",
     "build_vector_table",
+    "calibrate_cells",
     "embed_column",
     "embed_hash",
     "embed_stream",

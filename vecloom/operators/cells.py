@@ -4,29 +4,37 @@ Each vector lies in the cell of its nearest centroid, and a question is searched
 `nprobe` cells nearest to it. With `nprobe` equal to the number of cells the result is the
 exact one, but for rows without a finite vector, which the index keeps in cell -1 and never
 searches.
+
+How many cells a wanted recall takes is measured by `calibrate_cells`: the exact neighbours of
+some questions are found once and kept with the index. A neighbour in the cell that is r-th nearest to
+its question is found by a search of r cells or more and by no smaller one, so this one search gives the
+recall at every `nprobe`. Added rows are searched on their own and merged with what is kept.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vecloom.functions.arrow_vectors import matrix_of
-from vecloom.functions.vectors import DISTANCE_DIGITS
+from vecloom.functions.vectors import DISTANCE_DIGITS, rank_distance
 from vecloom.operators.meet import meet
 from vecloom.operators.scoring import QuestionBlock, first_per_group, pair_distances, squared_products
-from vecloom.operators.topk import QUESTION_BYTES, search
+from vecloom.operators.topk import QUESTION_BYTES, search, topk_batch
 from vecloom.session import materialize, ship_package
 
 CENTROID_BYTES = 256 << 20
 PIECE_BYTES = 64 << 20  # vectors of a cell that meet a block of questions in one piece
 NO_CELL = -1
+CALIBRATION_ROWS = 1000  # rows of the index that calibrate it where no questions are given
 
 
 @dataclass(frozen=True)
@@ -43,6 +51,18 @@ class CellIndex:
     def centroids(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(f"{self.path}/centroids")
 
+    def calibration(self, spark: SparkSession) -> tuple[DataFrame, DataFrame] | None:
+        """Questions (qid, vec, k) and neighbours (qid, rank, key, distance, place, load) of the last calibration."""
+        try:
+            found = spark.read.parquet(f"{self.path}/calibration/found")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        load = found.agg(F.max("load")).first()[0]
+        asked = spark.read.parquet(f"{self.path}/calibration/asked")
+        return asked.where(F.col("load") == load).drop("load"), found.where(F.col("load") == load)
+
 
 def fit_centroids(
     df: DataFrame, vec: str, n_cells: int, seed: int = 42, rows_per_cell: int | None = None, iterations: int = 10
@@ -137,10 +157,18 @@ def append_cells(df: DataFrame, index: CellIndex) -> None:
     """Add rows to a built index, each in the cell of its nearest centroid; nothing is rebuilt.
 
     Rows have the columns of the index. Searches that begin later see them. Keys must be new.
+    A calibrated index stays calibrated: its questions are searched in the new rows only.
     """
     spark = df.sparkSession
     known = [name for name in index.rows(spark).columns if name != "cell"]
-    _place(df.select(*known), index, index.centroids(spark), "append")
+    df, kept = df.select(*known), index.calibration(spark)
+    if kept is not None:
+        df = materialize(df, "added")  # read twice from here on
+    _place(df, index, index.centroids(spark), "append")
+    if kept is not None:
+        asked, found = kept
+        fresh = _neighbours(spark, index, df, asked)
+        _keep_calibration(spark, index, asked, found.drop("load", "rank").unionByName(fresh))
 
 
 def _place(df: DataFrame, index: CellIndex, centroids: DataFrame, mode: str) -> None:
@@ -149,22 +177,143 @@ def _place(df: DataFrame, index: CellIndex, centroids: DataFrame, mode: str) ->
     placed.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(f"{index.path}/rows")
 
 
+def calibrate_cells(
+    spark: SparkSession,
+    index: CellIndex,
+    k: int = 10,
+    questions: DataFrame | None = None,
+    qid: str = "qid",
+    qvec: str = "embedding",
+    sample: int = CALIBRATION_ROWS,
+) -> None:
+    """Measure the recall of the k nearest at every `nprobe` and keep it with the index.
+
+    `questions` should be a sample of those to be asked; without any, `sample` rows of the index
+    (those of the least key hashes) ask for their neighbours other than themselves. Questions without a
+    finite vector take no part. Costs one exact search; calling it again replaces the last one.
+    """
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    if questions is None:
+        own = index.rows(spark).where(F.col("cell") != NO_CELL)
+        asked = own.select(F.col(index.key).alias("qid"), F.col(index.vec).alias("vec"))
+        asked = asked.orderBy(F.xxhash64("qid"), "qid").limit(sample)
+    else:
+        asked = questions.select(F.col(qid).alias("qid"), F.col(qvec).alias("vec"))
+        odd = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+        asked = asked.where(F.col("vec").isNotNull() & ~odd)
+    asked = materialize(asked.withColumn("k", F.lit(k)), "calibration")
+    found = _neighbours(spark, index, index.rows(spark), asked, but_itself=questions is None)
+    _keep_calibration(spark, index, asked, found)
+
+
+def _neighbours(
+    spark: SparkSession, index: CellIndex, rows: DataFrame, asked: DataFrame, but_itself: bool = False
+) -> DataFrame:
+    """(qid, key, distance, place) of the exact neighbours; `place` numbers a question's cells, nearest first."""
+    cells = nearest_cells(spark, index.centroids(spark), 1)
+    rows = rows.select(F.col(index.key).alias("key"), F.col(index.vec).alias("vec"))
+    k = (asked.agg(F.max("k")).first()[0] or 1) + but_itself
+    found = topk_batch(rows, asked.select("qid", "vec"), k, "key", "vec", "qid", "vec")
+    if but_itself:
+        found = found.where(F.col("key") != F.col("qid"))
+    # Only the vectors of what was found are placed, and no question's cells leave the task that numbers them.
+    found = materialize(found.select("qid", "key", "distance"), "neighbours")
+    placed = found.join(rows, "key").select("qid", "key", "distance", F.get(cells("vec"), F.lit(0)).alias("cell"))
+    hits = placed.where("cell IS NOT NULL").groupBy("qid").agg(F.collect_list(F.struct("key", "distance", "cell")).alias("hits"))
+    every = nearest_cells(spark, index.centroids(spark), np.iinfo(np.int32).max)
+    numbered = asked.join(hits, "qid").select("qid", "hits", every("vec").alias("cells"))
+    place = F.transform(
+        "hits",
+        lambda h: F.struct(h["key"].alias("key"), h["distance"].alias("distance"),
+                           F.array_position("cells", h["cell"]).cast("int").alias("place")),
+    )
+    return numbered.select("qid", F.inline(place))
+
+
+def _keep_calibration(spark: SparkSession, index: CellIndex, asked: DataFrame, found: DataFrame) -> None:
+    """Write the k nearest of `found` as a new load. One that was cut short is not read, as `found` comes last."""
+    order = Window.partitionBy("qid").orderBy(rank_distance("distance").asc_nulls_last(), "key")
+    ranked = found.withColumn("rank", F.row_number().over(order)).join(asked.select("qid", "k"), "qid")
+    ranked = ranked.where(F.col("rank") <= F.col("k")).drop("k")
+    kept = index.calibration(spark)
+    load = 0 if kept is None else (kept[1].agg(F.max("load")).first()[0] or 0) + 1
+    for name, table in (("asked", asked), ("found", ranked)):
+        numbered = table.withColumn("load", F.lit(load))
+        mode = "overwrite" if name == "asked" and kept is None else "append"
+        numbered.write.mode(mode).parquet(f"{index.path}/calibration/{name}")
+
+
+def recall_curve(spark: SparkSession, index: CellIndex, k: int | None = None, confidence: float = 0.95) -> DataFrame:
+    """(nprobe, expected, hit, recall, sure) of a calibrated index, for each `nprobe` that finds more than one less.
+
+    `recall` is that of the calibrating questions. `sure` is a lower bound of the recall of others
+    like them, at the given confidence, from how much it varies from question to question. `k`
+    may be smaller than the calibrated one.
+    """
+    kept = index.calibration(spark)
+    if kept is None:
+        raise ValueError("the index is not calibrated; call calibrate_cells first")
+    asked, found = kept
+    most = asked.agg(F.max("k")).first()[0]
+    if k is not None and most is not None and not 1 <= k <= most:
+        raise ValueError(f"the index is calibrated for k from 1 to {most}, not {k}")
+    found = found.where(F.col("rank") <= (k or most or 1))
+    size = found.agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("qid").alias("questions")).first()
+    # A question's h-th hit takes the square of its number of hits from (h-1)**2 to h**2.
+    nth = F.row_number().over(Window.partitionBy("qid").orderBy("place", "rank"))
+    hits = found.select("place", nth.alias("h")).groupBy("place")
+    steps = hits.agg(F.count(F.lit(1)).alias("n"), F.sum(2 * F.col("h") - 1).alias("s"))
+    # At most one row for each cell, or for each neighbour if those are fewer.
+    upto = Window.orderBy("place")
+    steps = steps.select("place", F.sum("n").over(upto).alias("hit"), F.sum("s").over(upto).alias("squares"))
+    questions = float(max(size["questions"], 1))
+    mean = F.col("hit") / questions
+    spread = F.sqrt(F.greatest(F.col("squares") / questions - mean * mean, F.lit(0.0)) / questions)
+    sure = (mean - NormalDist().inv_cdf(confidence) * spread) * questions / float(max(size["hits"], 1))
+    return steps.select(
+        F.col("place").alias("nprobe"),
+        F.lit(size["hits"]).cast("long").alias("expected"),
+        "hit",
+        (F.col("hit") / F.lit(float(max(size["hits"], 1)))).alias("recall"),
+        F.when(F.col("hit") == size["hits"], F.lit(1.0)).otherwise(F.greatest(sure, F.lit(0.0))).alias("sure"),
+    )
+
+
+def nprobe_for(
+    spark: SparkSession, index: CellIndex, wanted: float, k: int | None = None, confidence: float = 0.95
+) -> int:
+    """The least `nprobe` whose recall is `wanted` or more at the given confidence; all cells if none is known."""
+    if not 0 < wanted <= 1:
+        raise ValueError("a wanted recall is over 0 and at most 1")
+    curve = recall_curve(spark, index, k, confidence)
+    enough = curve.where(F.col("sure") >= wanted).agg(F.min("nprobe")).first()[0]
+    # Finding all that a sample has is no proof for other questions: only all cells are exact.
+    return enough if enough is not None and wanted < 1 else index.centroids(spark).count()
+
+
 def topk_cells(
     spark: SparkSession,
     index: CellIndex,
     questions: DataFrame,
-    nprobe: int,
+    nprobe: int | None = None,
     k: int = 5,
     qid: str = "qid",
     qvec: str = "embedding",
     max_question_bytes: int = QUESTION_BYTES,
+    wanted: float | None = None,
 ) -> DataFrame:
     """Approximate top-k per question: (qid, rank, key, distance).
 
+    In place of `nprobe` a calibrated index takes a `wanted` recall, see `nprobe_for`.
     A question without a finite vector probes no cell and has no results. Only the partitions of
     probed cells are read. Questions of at most `max_question_bytes` are broadcast, and the table is not
     shuffled. More of them are joined with the rows by cell, in one job: see `_by_cell`.
     """
+    if (nprobe is None) == (wanted is None):
+        raise ValueError("give either nprobe or a wanted recall")
+    if nprobe is None:
+        nprobe = nprobe_for(spark, index, wanted, k)
     probes = nearest_cells(spark, index.centroids(spark), nprobe)
     probing = questions.withColumn("_cells", probes(qvec))
 

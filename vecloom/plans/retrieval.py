@@ -27,10 +27,12 @@ def retrieve_from(
     vec: str = "embedding",
     index: CellIndex | None = None,
     nprobe: int = 8,
+    wanted: float | None = None,
 ) -> DataFrame:
     """The k nearest passages per question, (qid, rank, key, text, distance), from stored vectors.
 
-    With `index`, built over the same rows, only the `nprobe` cells nearest to a question are searched.
+    With `index`, built over the same rows, only the `nprobe` cells nearest to a question are searched,
+    or as many as the index is calibrated to take for a `wanted` recall.
 
     The search reads keys and vectors only; texts are joined to its results. Those have at
     most k rows per question, so up to `BROADCAST_ROWS` they are broadcast and the texts are
@@ -40,7 +42,8 @@ def retrieve_from(
     if index is None:
         hits = topk_batch(vectors, asked, k, key, vec, qid, "_qvec")
     else:
-        hits = topk_cells(vectors.sparkSession, index, asked, nprobe, k, qid, "_qvec")
+        spark = vectors.sparkSession
+        hits = topk_cells(spark, index, asked, None if wanted else nprobe, k, qid, "_qvec", wanted=wanted)
     if questions.count() * k <= BROADCAST_ROWS:
         hits = F.broadcast(hits)
     return vectors.select(key, text_col).join(hits, key).select(qid, "rank", key, text_col, "distance")
