@@ -628,9 +628,10 @@ best AS MATERIALIZED (
 places AS (
   SELECT n.place FROM best JOIN near h ON h.vec_id = best.vec_id AND h.place = 1
   JOIN near n ON n.vec_id = best.qid AND n.cell = h.cell)
-SELECT place::INTEGER AS nprobe, (SELECT count(*) FROM places) AS expected,
-  (sum(count(*)) OVER (ORDER BY place))::BIGINT AS hit, hit / expected AS recall
-FROM places GROUP BY place"""
+SELECT nprobe, expected, hit, hit / expected AS recall FROM (
+  SELECT place::INTEGER AS nprobe, (SELECT count(*) FROM places) AS expected,
+    (sum(count(*)) OVER (ORDER BY place))::BIGINT AS hit
+  FROM places GROUP BY place)"""
     retrieved = f"""WITH {asked}
 SELECT qid, rank, did AS doc_id, text, distance FROM ranked JOIN documents ON doc_id = did"""
 
