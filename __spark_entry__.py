@@ -36,6 +36,7 @@ from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
 from vecloom.operators.lsh_self import lsh_self_join  # noqa: E402
+from vecloom.operators.placement import embed_distinct  # noqa: E402
 from vecloom.operators.pooling import mean_pool_groups  # noqa: E402
 from vecloom.operators.topk import topk, topk_batch  # noqa: E402
 from vecloom.plans.retrieval import ask, retrieve, retrieve_from  # noqa: E402
@@ -288,6 +289,13 @@ def e13_hash_vectors(spark, sf_dir):
     return _elements(vectors, ["doc_id"], "embedding", "bucket", "value").where("value <> 0")
 
 
+def e13_distinct_texts(spark, sf_dir):
+    """Each different text hashed once, in tasks of even cost, and joined back to all its rows."""
+    rows = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    vectors = embed_distinct(rows, "text", _hash)
+    return _elements(vectors, ["doc_id"], "embedding", "bucket", "value").where("value <> 0")
+
+
 # Vector functions
 
 
@@ -515,6 +523,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         p1_select_star_plus, p3_to_vector, p4_text_only, p5_question_parameter,
         e1_embed, e2_embed_jina, e3_batch_invariance, e4_tokenize, e5_length_groups,
         e8_mean_pool, e8_masked_mean_pool, e8_mean_pool_rows, e9_l2_normalize, e11_valid_text, e13_hash_vectors,
+        e13_distinct_texts,
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
         k3_cells, k3_cells_appended, k3_cells_all_probes, k3_recall_curve, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
@@ -620,6 +629,8 @@ SELECT q.vec_id AS qid, r.vec_id, {distance.format(a='q.v', b='r.v')} AS distanc
   row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance.format(a='q.v', b='r.v')}, r.vec_id)::INTEGER AS rank
 FROM near q JOIN near r ON q.cell = r.cell AND q.place <= 3 AND r.place = 1
 QUALIFY rank <= 5"""
+    hashed = f"""WITH {_hash_sql('d', 'documents', 'doc_id')}
+SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value FROM d WHERE round(x, 6) <> 0"""
     curve = f"""{cells},
 best AS MATERIALIZED (
   SELECT a.vec_id AS qid, b.vec_id,
@@ -686,8 +697,8 @@ GROUP BY vec_id, pos""",
   round((unnest(v) / sqrt(list_sum(list_transform(v, lambda x: x * x))))::FLOAT::DOUBLE, 6) + 0.0 AS value
 FROM (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2 + 1) AS v FROM embeddings)""",
         "e11_valid_text": "SELECT doc_id, '<' || chr(65533) || text || chr(65533) AS text FROM documents",
-        "e13_hash_vectors": f"""WITH {_hash_sql('d', 'documents', 'doc_id')}
-SELECT id AS doc_id, bucket::INTEGER AS bucket, round(x, 6) + 0.0 AS value FROM d WHERE round(x, 6) <> 0""",
+        "e13_hash_vectors": hashed,
+        "e13_distinct_texts": hashed,
         "v1_array_distance": f"""WITH {vectors}
 SELECT a.vec_id, {distance.format(a='a.v', b='b.v')} AS distance
 FROM vectors a JOIN vectors b ON b.vec_id = a.vec_id + 1""",
