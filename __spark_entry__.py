@@ -31,7 +31,15 @@ from vecloom.functions.vectors import (  # noqa: E402
 )
 from vecloom.models.artifacts import distribute, resolve  # noqa: E402
 from vecloom.models.spec import spec_of  # noqa: E402
-from vecloom.operators.cells import append_cells, build_cells, calibrate_cells, fit_centroids, recall_curve, topk_cells  # noqa: E402
+from vecloom.operators.cells import (  # noqa: E402
+    append_cells,
+    build_cells,
+    calibrate_cells,
+    fit_centroids,
+    recall_curve,
+    topk_cells,
+    with_cells,
+)
 from vecloom.operators.embed import embed_column, tokenize_column  # noqa: E402
 from vecloom.operators.hashing import embed_hash  # noqa: E402
 from vecloom.operators.lsh import lsh_join, random_projections  # noqa: E402
@@ -365,6 +373,14 @@ def k3_cells_appended(spark, sf_dir):
     return found.withColumn("distance", rank_distance("distance"))
 
 
+def k3_many_cells(spark, sf_dir):
+    """The three nearest cells of every row, where each tenth row is a cell: as many as the table gives."""
+    rows = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    tenth = rows.where("vec_id % 10 = 0").select(F.col("vec_id").alias("cell"), F.col("embedding").alias("centroid"))
+    placed = with_cells(rows, "embedding", "cells", materialize(tenth, "centroids"), 3)
+    return placed.select("vec_id", F.posexplode("cells").alias("place", "cell"))
+
+
 def k3_recall_curve(spark, sf_dir):
     """Recall at every nprobe, measured on half of the rows and carried on as the others are added."""
     rows, even = _read(spark, sf_dir, "embeddings"), F.coalesce(F.col("vec_id") % 2 == 0, F.lit(True))
@@ -526,7 +542,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         e13_distinct_texts,
         v1_array_distance, v2_vector_width,
         k1_topk, k2_topk_vectors, k2_topk_in_blocks, k2_topk_documents,
-        k3_cells, k3_cells_appended, k3_cells_all_probes, k3_recall_curve, k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
+        k3_cells, k3_cells_appended, k3_cells_all_probes, k3_many_cells, k3_recall_curve,
+        k4_lsh_join, k4_lsh_join_shuffled, k4_lsh_self_join,
         k5_retrieve, k5_retrieve_cells, t1_embed_stream, t1_stream_requests, t2_route_requests, t2_route_hashes,
         u1_registered_functions,
     ]
@@ -716,6 +733,12 @@ FROM vectors CROSS JOIN center ORDER BY distance, vec_id LIMIT 10""",
         "k2_topk_documents": f"""WITH {asked}
 SELECT qid AS item_id, rank, did AS doc_id, length(text)::INTEGER AS text_length, distance
 FROM ranked JOIN documents ON doc_id = did""",
+        "k3_many_cells": f"""WITH {vectors}
+SELECT vec_id, place, cell FROM (
+  SELECT a.vec_id, b.vec_id::INTEGER AS cell,
+    (row_number() OVER (PARTITION BY a.vec_id ORDER BY {distance.format(a='a.v', b='b.v')}, b.vec_id) - 1)::INTEGER AS place
+  FROM vectors a JOIN vectors b ON b.vec_id % 10 = 0)
+WHERE place < 3""",
         "k3_cells": in_cells,
         "k3_cells_appended": in_cells,
         "k3_recall_curve": curve,

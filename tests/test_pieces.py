@@ -7,7 +7,7 @@ from test_search import DIM, brute, cell_index, frame, make, plain
 
 from vecloom.functions.vectors import DISTANCE_DIGITS
 from vecloom.operators import cells as cells_module
-from vecloom.operators.cells import _nearest, topk_cells
+from vecloom.operators.cells import _Centers, _nearest, topk_cells, with_cells
 from vecloom.operators.pooling import mean_pool_groups
 from vecloom.operators.topk import topk_batch
 
@@ -81,6 +81,48 @@ def test_nearest_centers_equal_a_full_sort():
             assert (_nearest(matrix, centers, take) == expected).all()
 
 
+@pytest.mark.parametrize("spread", [0.05, 1.0, 1e25])
+def test_two_level_centers_equal_one_level(spread):
+    """Clusters far apart, no clusters, and norms beyond single precision; ties, copies, groups under `take`."""
+    rng = np.random.default_rng(38)
+    heads = rng.standard_normal((30, 8)) * 5
+    centers = np.round(heads[rng.integers(0, 30, 900)] + rng.standard_normal((900, 8)) * spread, 2)
+    centers[100:160] = centers[40:100]
+    matrix = np.r_[centers[::7], heads, rng.standard_normal((200, 8)) * 5]
+    grouped = _Centers(centers, least=10)
+    assert len(grouped.members) > 5
+    for take in (1, 4, 60, 900):
+        assert (grouped.nearest(matrix, take) == _nearest(matrix, centers, take)).all()
+        assert grouped.nearest(matrix[:0], take).shape == (0, take)
+    single = matrix.astype(np.float32)
+    assert (grouped.nearest(single, 3) == _nearest(single, centers, 3)).all()
+
+
+def test_equal_centers_have_one_group():
+    centers = np.ones((50, 4))
+    assert (_Centers(centers, least=10).nearest(np.zeros((5, 4)), 3) == [0, 1, 2]).all()
+
+
+def test_centroids_beyond_a_broadcast_give_the_same_cells(spark, monkeypatch):
+    rows = frame(spark, make(200, 39) + [(7, [0.25] * DIM), (300, [float("inf")] * DIM)])  # a repeated key
+    centroids = frame(spark, make(40, 40, odd=False)).select(F.col("id").cast("int").alias("cell"), F.col("embedding").alias("centroid"))
+
+    def found(n):
+        placed = with_cells(rows.withColumn("cell", F.lit("own")), "embedding", "near", centroids, n)
+        return sorted(map(str, placed.collect()))
+
+    expected = {n: found(n) for n in (1, 3, 2**31 - 1)}
+    index = cell_index(spark, make(60, 41, odd=False), 3)
+    asked = frame(spark, make(10, 42), "qid")
+    hits = plain(topk_cells(spark, index, asked, 2, 5).collect())
+    monkeypatch.setattr(cells_module, "CENTROID_BYTES", 0)
+    for n, cells in expected.items():
+        assert found(n) == cells
+    assert plain(topk_cells(spark, index, asked, 2, 5).collect()) == hits
+    with pytest.raises(ValueError, match="with_cells"):
+        cells_module.nearest_cells(spark, centroids)
+
+
 def test_pooled_sums_of_many_tasks_stay_small(spark):
     """One key in 3,000 tasks: neither level gathers more than some arrays."""
     rows = spark.range(0, 6000, 1, 3000).select(F.lit("a").alias("k"), F.array(F.col("id").cast("float"), F.lit(1.0)).alias("v"))

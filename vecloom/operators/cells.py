@@ -86,10 +86,7 @@ def fit_centroids(
 
 
 def _centroid_table(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Centroids as arrays on the driver; their count is a setting, and is checked here."""
-    size = centroids.agg(F.count("*").alias("n"), F.max(F.array_size("centroid")).alias("width")).first()
-    if size["n"] * (size["width"] or 0) * 8 > CENTROID_BYTES:
-        raise ValueError(f"{size['n']} centroids need more than {CENTROID_BYTES} bytes; use fewer cells")
+    """Centroids as arrays on the driver; their count is a setting, and callers check it."""
     table = centroids.select(F.col("cell").cast("int"), "centroid").toArrow().combine_chunks().sort_by("cell")
     if not table.num_rows:
         raise ValueError("no centroids")
@@ -99,25 +96,38 @@ def _centroid_table(centroids: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(table.column(0)), matrix
 
 
+def _fit_broadcast(centroids: DataFrame) -> bool:
+    size = centroids.agg(F.count("*").alias("n"), F.max(F.array_size("centroid")).alias("width")).first()
+    return size["n"] * (size["width"] or 0) * 8 <= CENTROID_BYTES
+
+
+def _finite(vec: str):
+    return F.col(vec).isNotNull() & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+
+
 def nearest_cells(spark: SparkSession, centroids: DataFrame, n: int = 1):
     """Arrow UDF `vector -> array<int>`: its n nearest cells, nearest first; ties by cell number.
 
-    A vector that is NULL or not finite has no cells.
+    A vector that is NULL or not finite has no cells. Centroids go out as one broadcast; `with_cells` takes
+    any number of them.
     """
+    if not _fit_broadcast(centroids):
+        raise ValueError(f"the centroids need more than {CENTROID_BYTES} bytes; use with_cells")
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(_centroid_table(centroids))
+    cells, centers = _centroid_table(centroids)
+    shared = spark.sparkContext.broadcast((cells, _Centers(centers)))
 
     @F.arrow_udf("array<int>")
     def cells_of(vectors: pa.Array) -> pa.Array:
         cells, centers = shared.value
-        matrix, rows = matrix_of(vectors, centers.shape[1])
+        matrix, rows = matrix_of(vectors, centers.matrix.shape[1])
         finite = np.isfinite(matrix).all(axis=1)
         take = min(n, len(cells))
         found = np.empty((int(finite.sum()), take), dtype=np.int32)
         step = max(1, (1 << 22) // len(cells))
         good = matrix[finite]
         for at in range(0, len(good), step):
-            found[at : at + step] = cells[_nearest(good[at : at + step], centers, take)]
+            found[at : at + step] = cells[centers.nearest(good[at : at + step], take)]
         counts = np.zeros(len(vectors), dtype=np.int32)
         counts[rows[finite]] = take
         return pa.ListArray.from_arrays(np.r_[0, np.cumsum(counts)].astype(np.int32), pa.array(found.reshape(-1)))
@@ -125,6 +135,100 @@ def nearest_cells(spark: SparkSession, centroids: DataFrame, n: int = 1):
     return cells_of
 
 
+def with_cells(df: DataFrame, vec: str, out: str, centroids: DataFrame, n: int = 1) -> DataFrame:
+    """`df` with `out array<int>`: the n nearest cells of each vector, as `nearest_cells` gives them.
+
+    A vector that is NULL or not finite has none: an empty array. Centroids beyond a broadcast meet the rows in
+    pieces, as a question table meets a corpus (`topk_batch`); then the rows are written once, numbered, and
+    their cells are joined back by number.
+    """
+    if _fit_broadcast(centroids):
+        cells = nearest_cells(df.sparkSession, centroids, n)
+        return df.withColumn(out, F.coalesce(cells(vec), F.array().cast("array<int>")))
+    odd = centroids.where(~_finite("centroid")).limit(1).count()
+    if odd:
+        raise ValueError("centroids must be finite vectors")
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    corpus = centroids.select(F.col("cell").cast("int").alias("cell"), "centroid")
+    asked = rows.where(_finite(vec)).select("_row", F.col(vec).alias("_vec"))
+    found = topk_batch(corpus, asked, min(n, max(1, centroids.count())), "cell", "centroid", "_row", "_vec")
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "cell")))  # n cells a row
+    own = found.groupBy("_row").agg(F.transform(ranked, lambda x: x["cell"]).alias("_own"))
+    cells = F.coalesce("_own", F.array().cast("array<int>"))
+    return rows.join(own, "_row", "left").withColumn(out, cells).drop("_row", "_own")
+
+
+class _Centers:
+    """Centers in two levels: groups of centers that lie near each other, each with a head and a radius.
+
+    A row's distance to a center is at least that to its head less the radius. So a row is first compared with
+    the heads and with the nearest head's own centers, and after that only with groups that may hold a nearer
+    one. The result is that of `_nearest` for all rows. Where most groups may, as with vectors that are
+    all equally far apart, one product with all centers is cheaper and is taken.
+    """
+
+    def __init__(self, matrix: np.ndarray, least: int = 1024):
+        self.matrix, self.members = matrix, []
+        if len(matrix) < least:
+            return
+        heads = matrix[np.linspace(0, len(matrix) - 1, int(len(matrix) ** 0.5)).astype(int)].astype(np.float64)
+        for _ in range(4):
+            own = _nearest(matrix, heads, 1)[:, 0]
+            filled = np.unique(own)
+            heads = np.stack([matrix[own == h].mean(axis=0) for h in filled])
+        own = _nearest(matrix, heads, 1)[:, 0]
+        far = pair_distances(matrix, heads, np.arange(len(matrix)), own)
+        filled = np.unique(own)
+        self.heads = heads[filled]
+        self.members = [np.flatnonzero(own == h) for h in filled]
+        self.radius = np.array([far[m].max() for m in self.members]) * (1 + 1e-9)
+
+    def nearest(self, matrix: np.ndarray, take: int) -> np.ndarray:
+        if not self.members or 8 * take > len(self.matrix):
+            return _nearest(matrix, self.matrix, take)
+        squares, slack = squared_products(matrix, self.heads)
+        squares, slack = squares.astype(np.float64), slack[:, None]
+        low = np.sqrt(np.maximum(squares - slack, 0.0)) - self.radius
+        high = np.sqrt(np.maximum(squares + slack, 0.0)) + self.radius
+        # So near are `take` centers at least: the groups with the least upper bounds hold as many.
+        sizes, order = np.array([len(m) for m in self.members]), np.argsort(high, axis=1)
+        reached = np.argmax(np.cumsum(sizes[order], axis=1) >= take, axis=1)
+        limit = np.take_along_axis(high, order, axis=1)[np.arange(len(matrix)), reached]
+        first, found = np.argmin(squares, axis=1), []
+
+        def look(group: int, rows: np.ndarray) -> None:
+            """Offer the centers of a group to rows, and lower their limits."""
+            members = self.members[group]
+            near, error = squared_products(matrix[rows], self.matrix[members])
+            near, error = near.astype(np.float64), error[:, None]
+            if len(members) >= take:
+                kth = np.partition(np.sqrt(np.maximum(near + error, 0.0)), take - 1, axis=1)[:, take - 1]
+                limit[rows] = np.minimum(limit[rows], kth)
+            least = np.sqrt(np.maximum(near - error, 0.0))
+            q, c = np.nonzero(least <= limit[rows, None] + 10.0**-DISTANCE_DIGITS)
+            found.append((rows[q], members[c], least[q, c]))
+
+        for group in np.unique(first):
+            look(group, np.flatnonzero(first == group))
+        maybe = low <= limit[:, None] + 10.0**-DISTANCE_DIGITS
+        maybe[np.arange(len(matrix)), first] = False
+        if len(matrix) and maybe.mean() > 0.5:
+            return _nearest(matrix, self.matrix, take)
+        for group in np.flatnonzero(maybe.any(axis=0)):
+            look(group, np.flatnonzero(maybe[:, group]))
+        q, c, least = (np.concatenate(part) for part in zip(*found, strict=True)) if found else [np.zeros(0, int)] * 3
+        still = least <= limit[q] + 10.0**-DISTANCE_DIGITS
+        return _first(matrix, self.matrix, q[still], c[still], take)
+
+
+def _first(matrix: np.ndarray, centers: np.ndarray, q: np.ndarray, c: np.ndarray, take: int) -> np.ndarray:
+    """The first `take` centers of each row among the pairs (q, c), measured in double precision."""
+    distance = np.round(pair_distances(matrix, centers, q, c), DISTANCE_DIGITS)
+    order = np.lexsort((c, distance, q))
+    order = order[first_per_group(q[order], take)]
+    return c[order].reshape(len(matrix), take)
+
+
 def _nearest(matrix: np.ndarray, centers: np.ndarray, take: int) -> np.ndarray:
     """Positions of the `take` nearest centers of each row, by distance rounded for ranking, then position.
 
@@ -135,10 +239,7 @@ def _nearest(matrix: np.ndarray, centers: np.ndarray, take: int) -> np.ndarray:
     kth = np.partition(squares, take - 1, axis=1)[:, take - 1]
     bound = (np.sqrt(np.maximum(kth + slack, 0.0)) + 10.0**-DISTANCE_DIGITS) ** 2 + slack
     q, c = np.nonzero(squares <= np.nextafter(bound.astype(squares.dtype), squares.dtype.type(np.inf))[:, None])
-    distance = np.round(pair_distances(matrix, centers, q, c), DISTANCE_DIGITS)
-    order = np.lexsort((c, distance, q))
-    order = order[first_per_group(q[order], take)]
-    return c[order].reshape(len(matrix), take)
+    return _first(matrix, centers, q, c, take)
 
 
 def build_cells(df: DataFrame, key: str, vec: str, path: str, centroids: DataFrame) -> CellIndex:
@@ -172,8 +273,8 @@ def append_cells(df: DataFrame, index: CellIndex) -> None:
 
 
 def _place(df: DataFrame, index: CellIndex, centroids: DataFrame, mode: str) -> None:
-    assign = nearest_cells(df.sparkSession, centroids)
-    placed = df.withColumn("cell", F.coalesce(F.get(assign(index.vec), F.lit(0)), F.lit(NO_CELL)))
+    placed = with_cells(df, index.vec, "_cells", centroids)
+    placed = placed.withColumn("cell", F.coalesce(F.get("_cells", F.lit(0)), F.lit(NO_CELL))).drop("_cells")
     placed.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(f"{index.path}/rows")
 
 
@@ -200,8 +301,7 @@ def calibrate_cells(
         asked = asked.orderBy(F.xxhash64("qid"), "qid").limit(sample)
     else:
         asked = questions.select(F.col(qid).alias("qid"), F.col(qvec).alias("vec"))
-        odd = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-        asked = asked.where(F.col("vec").isNotNull() & ~odd)
+        asked = asked.where(_finite("vec"))
     asked = materialize(asked.withColumn("k", F.lit(k)), "calibration")
     found = _neighbours(spark, index, index.rows(spark), asked, but_itself=questions is None)
     _keep_calibration(spark, index, asked, found)
@@ -211,7 +311,7 @@ def _neighbours(
     spark: SparkSession, index: CellIndex, rows: DataFrame, asked: DataFrame, but_itself: bool = False
 ) -> DataFrame:
     """(qid, key, distance, place) of the exact neighbours; `place` numbers a question's cells, nearest first."""
-    cells = nearest_cells(spark, index.centroids(spark), 1)
+    centroids = index.centroids(spark)
     rows = rows.select(F.col(index.key).alias("key"), F.col(index.vec).alias("vec"))
     k = (asked.agg(F.max("k")).first()[0] or 1) + but_itself
     found = topk_batch(rows, asked.select("qid", "vec"), k, "key", "vec", "qid", "vec")
@@ -219,10 +319,10 @@ def _neighbours(
         found = found.where(F.col("key") != F.col("qid"))
     # Only the vectors of what was found are placed, and no question's cells leave the task that numbers them.
     found = materialize(found.select("qid", "key", "distance"), "neighbours")
-    placed = found.join(rows, "key").select("qid", "key", "distance", F.get(cells("vec"), F.lit(0)).alias("cell"))
+    placed = with_cells(found.join(rows, "key"), "vec", "_cells", centroids)
+    placed = placed.select("qid", "key", "distance", F.get("_cells", F.lit(0)).alias("cell"))
     hits = placed.where("cell IS NOT NULL").groupBy("qid").agg(F.collect_list(F.struct("key", "distance", "cell")).alias("hits"))
-    every = nearest_cells(spark, index.centroids(spark), np.iinfo(np.int32).max)
-    numbered = asked.join(hits, "qid").select("qid", "hits", every("vec").alias("cells"))
+    numbered = with_cells(asked.join(hits, "qid"), "vec", "cells", centroids, np.iinfo(np.int32).max)
     place = F.transform(
         "hits",
         lambda h: F.struct(h["key"].alias("key"), h["distance"].alias("distance"),
@@ -314,8 +414,7 @@ def topk_cells(
         raise ValueError("give either nprobe or a wanted recall")
     if nprobe is None:
         nprobe = nprobe_for(spark, index, wanted, k)
-    probes = nearest_cells(spark, index.centroids(spark), nprobe)
-    probing = questions.withColumn("_cells", probes(qvec))
+    probing = with_cells(questions, qvec, "_cells", index.centroids(spark), nprobe)
 
     def only_probed(rows: DataFrame, block: QuestionBlock) -> DataFrame:
         probed = {int(cell) for cells in block.cells if cells for cell in cells}
@@ -375,8 +474,8 @@ def cell_candidate_ratio(
 ) -> DataFrame:
     """One row (pairs, candidates, candidate_ratio): the share of pairs a search looks at."""
     sizes = index.rows(spark).groupBy("cell").agg(F.count("*").alias("size"))
-    probes = nearest_cells(spark, index.centroids(spark), nprobe)
-    probed = questions.select(F.explode(probes(qvec)).alias("cell")).groupBy("cell").agg(F.count("*").alias("asked"))
+    probing = with_cells(questions, qvec, "_cells", index.centroids(spark), nprobe)
+    probed = probing.select(F.explode("_cells").alias("cell")).groupBy("cell").agg(F.count("*").alias("asked"))
     looked = probed.join(sizes, "cell").agg(F.coalesce(F.sum(F.col("asked") * F.col("size")), F.lit(0)).alias("candidates"))
     total = sizes.agg(F.sum("size").alias("n")).first()["n"] or 0
     pairs = total * questions.count()
