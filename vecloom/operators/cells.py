@@ -450,7 +450,7 @@ def _by_cell(spark: SparkSession, index: CellIndex, asked: DataFrame, k: int, ma
     """
     asked = materialize(asked, "probes")
     row_bytes = 8 * (index.centroids(spark).select(F.array_size("centroid")).first()[0] or 0) + 64
-    most_rows, most_asked = max(1, PIECE_BYTES // row_bytes), max(1, max_question_bytes // row_bytes)
+    most_rows, most_asked = max(1, PIECE_BYTES // row_bytes), max(1, max(PIECE_BYTES, max_question_bytes) // row_bytes)
     sizes = index.rows(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n_rows"))
     probed = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n_asked")).join(sizes, "cell").orderBy("cell")
     plan, n_pieces = [], 0
