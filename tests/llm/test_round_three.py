@@ -14,7 +14,7 @@ from brute_trie import trie
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vecloom.llm import blocks, html_extract, queries
+from vecloom.llm import blocks, html_extract, license_scan, queries
 from vecloom.llm.exact_dedup import drop_copies, mark_copies
 from vecloom.llm.html_extract import main_text
 from vecloom.llm.line_dedup import remove_boilerplate
@@ -396,3 +396,58 @@ def test_style_trees_equal_dictionaries(spark):
     assert {r.page_id: r.text for r in got} == dict(enumerate(expected))
     bare = [main_text(html, set()) for _, _, html in rows]
     assert sum(a != b for a, b in zip(expected, bare, strict=True)) == len(rows)  # the trees decide, no mark does
+
+
+# 3
+
+
+def brute_licenses(texts):
+    """Notices by the same rule, with dictionaries."""
+    split = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER)) for t in texts]
+    df = Counter(w for ws in split for w in set(ws))
+    listed = [(label, p, p, True) for label, p in license_scan.BASE.items()] + [(*t, False) for t in license_scan.TEMPLATES]
+    out = [[] for _ in texts]
+    for label, notice, key, base in listed:
+        parts, phrase = notice.split(), key.split()
+        at = next(i for i in range(len(parts)) if parts[i : i + len(phrase)] == phrase)
+        rare = sorted(set(parts), key=lambda w: (df[w], w))[: license_scan.RARE]
+        for ws, found in zip(split, out, strict=True):
+            for s in range(-len(parts), len(ws)):
+                here = lambda i: 0 <= s + i < len(ws) and ws[s + i]  # noqa: B023, E731
+                if all(here(parts.index(w)) == w for w in rare) and all(here(at + i) == w for i, w in enumerate(phrase)):
+                    found.append((label, s, base))
+    return [sorted(f) for f in out], split
+
+
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def test_licenses_equal_brute_force(spark):
+    notices = [t[1] for t in license_scan.TEMPLATES]
+    long = " ".join(f"w{i % 997} public license software" for i in range(20_000)) + " " + notices[-1]
+    texts = [
+        *notices,
+        *(n.upper().replace(" ", ", ") for n in notices),
+        *(f"x {n} y {n}" for n in notices[11:20]),
+        *(" ".join(n.split()[2:]) for n in notices),  # the beginning is missing
+        *(" ".join(n.split()[:-1] + ["other"]) for n in notices),
+        *[notices[12]] * 5,
+        *license_scan.BASE.values(),
+        " ".join(notices), long, None, "", " . ", "license", "\u212a cc by nc",
+    ]
+    docs = spark.createDataFrame([(i, t, "own", 5) for i, t in enumerate(texts)], "doc_id long, text string, labels string, __scan_words int")
+    expected, split = brute_licenses(texts)
+    rows = license_scan.scan_licenses(docs, names={"labels": "found_labels"}).orderBy("doc_id").collect()
+    assert len(rows) == len(texts)
+    for r, want, ws in zip(rows, expected, split, strict=True):
+        base = [s for _, s, b in want if b]
+        assert sorted((p.label, p.word) for p in r.places) == [(label, s) for label, s, _ in want]
+        assert (r.n_words, r.n_base) == (len(ws), len(base))
+        assert (r.first_word, r.last_word) == ((min(base), max(base)) if base else (None, None))
+        assert r.found_labels == ",".join(sorted({label for label, *_ in want}))
+        assert r.base_labels == ",".join(sorted({label for label, _, b in want if b}))
+        assert (r.labels, r["__scan_words"]) == ("own", 5)
+        assert 0 <= r.score <= 1 and (r.score == 1) >= bool(base) and (r.score > 0) == bool(want)
+    assert all(label in {x[0] for x in want} for (label, *_), want in zip(license_scan.TEMPLATES, expected, strict=False))
+    with pytest.raises(ValueError, match="other output names"):
+        license_scan.scan_licenses(docs)
