@@ -14,6 +14,8 @@ number of notices. Nothing is shuffled but the word counts.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,6 +105,9 @@ TEMPLATES = [
 
 ADDED = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "places", "score")
 
+_POSTING = (
+    "array<struct<label:string,base:boolean,word:string,place:int,needed:array<struct<word:string,place:int>>,share:double>>"
+)
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KELVIN = "K"  # the one letter outside ASCII whose lower case is in ASCII
 
@@ -116,6 +121,10 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(plain, _BREAK), "")
 
 
+def _literal(some: list[str]) -> Column:
+    return F.split(F.lit(" ".join(some)), " ")
+
+
 def _rarest(phrase: list[str], counts: dict[str, int], n: int) -> list[tuple[str, int]]:
     """The n words of highest IDF with their first places; ties by word."""
     return sorted(
@@ -126,7 +135,7 @@ def _rarest(phrase: list[str], counts: dict[str, int], n: int) -> list[tuple[str
 def document_counts(docs: DataFrame, text: str) -> dict[str, int]:
     """In how many documents each template word stands: a few hundred counts over all texts."""
     vocabulary = sorted({w for _, t, _ in TEMPLATES for w in t.split()} | {w for p in BASE.values() for w in p.split()})
-    some = F.array_intersect(words(F.col(text)), F.array(*map(F.lit, vocabulary)))
+    some = F.array_intersect(words(F.col(text)), _literal(vocabulary))
     rows = docs.select(F.explode(some).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return {r["word"]: r["n"] for r in rows.collect()}
 
@@ -142,16 +151,16 @@ def _postings(counts: dict[str, int], rare: int = RARE) -> Column:
         confirmed = {p for _, p in others} | {place} | set(range(at, at + len(phrase)))
         needed = [*others, *((w, at + i) for i, w in enumerate(phrase))]
         entries.append(
-            F.struct(
-                F.lit(label).alias("label"),
-                F.lit(base).alias("base"),
-                F.lit(word).alias("word"),
-                F.lit(place).alias("place"),
-                F.array(*(F.struct(F.lit(w).alias("word"), F.lit(p).alias("place")) for w, p in needed)).alias("needed"),
-                F.lit(len(confirmed) / len(parts)).alias("share"),
-            )
+            {
+                "label": label,
+                "base": base,
+                "word": word,
+                "place": place,
+                "needed": [{"word": w, "place": p} for w, p in needed],
+                "share": len(confirmed) / len(parts),
+            }
         )
-    return F.array(*entries)
+    return F.from_json(F.lit(json.dumps(entries)), _POSTING)  # folded into one literal
 
 
 def _found(all_words: Column, postings: Column, present: Column) -> Column:
@@ -194,7 +203,7 @@ def scan_licenses(docs: DataFrame, text: str = "text", names: dict[str, str] | N
     first = sorted({_rarest(n.split(), counts, 1)[0][0] for n in [*BASE.values(), *(t[1] for t in TEMPLATES)]})
     all_words, present, found = (F.col(f"{own}_{name}") for name in ("words", "present", "found"))
     rows = docs.withColumn(f"{own}_words", words(F.col(text)))
-    rows = rows.withColumn(f"{own}_present", F.array_intersect(all_words, F.array(*map(F.lit, first))))
+    rows = rows.withColumn(f"{own}_present", F.array_intersect(all_words, _literal(first)))
     rows = rows.withColumn(f"{own}_found", _found(all_words, postings, present))
     base = F.filter(found, lambda x: x["base"])
     starts = F.transform(base, lambda x: x["word"])
