@@ -10,15 +10,17 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import zstandard
 from brute_trie import trie
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from vecloom.llm import blocks, html_extract, license_scan, queries
+from vecloom.llm import blocks, html_extract, language_id, license_scan, queries
 from vecloom.llm.exact_dedup import drop_copies, mark_copies
 from vecloom.llm.html_extract import main_text
 from vecloom.llm.line_dedup import remove_boilerplate
 from vecloom.llm.packing import token_ids
+from vecloom.llm.prefix_forest import nearest
 from vecloom.llm.prefix_trie import prefix_trie
 from vecloom.llm.runs import MASK, numbered
 from vecloom.llm.skew import join_counted
@@ -451,3 +453,57 @@ def test_licenses_equal_brute_force(spark):
     assert all(label in {x[0] for x in want} for (label, *_), want in zip(license_scan.TEMPLATES, expected, strict=False))
     with pytest.raises(ValueError, match="other output names"):
         license_scan.scan_licenses(docs)
+
+
+# 10
+
+
+def test_languages_equal_plain_compression(spark):
+    """Every text against every dictionary, without Spark; training from the labelled rows that are not held out."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    learned = language_id.train(docs.where(~language_id.held_out()))
+    labelled = {}
+    for r in docs.where(~language_id.held_out()).collect():
+        if r.text and r.lang:
+            labelled.setdefault(r.lang, set()).add(r.text)
+    assert learned.keys() == labelled.keys() and len(learned) > 2
+    for lang, content in learned.items():
+        own = [t[:1000] if len(t) <= 1000 else None for t in labelled[lang]]
+        assert all(t in content for t in own if t) if len(own) <= language_id.PIECES else content
+    books = {}
+    for lang, content in learned.items():
+        book = zstandard.ZstdCompressionDict(content.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        book.precompute_compress(level=3)
+        books[lang] = zstandard.ZstdCompressor(
+            level=3, dict_data=book, write_checksum=False, write_content_size=False, write_dict_id=False
+        )
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(-1, None), (-2, ""), (-3, "12 34 ..."), (-4, " ".join(t for _, t in rows if t)), (-5, rows[0][1]), (-5, rows[0][1])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.text or "", r.lang_pred, r.score, r.rejected) for r in language_id.identify(table, learned).collect()))
+    expected = []
+    for doc_id, text in rows:
+        if not any(c.isalpha() for c in text or ""):
+            expected.append((doc_id, text or "", "und", 0.0, True))
+            continue
+        data = text.lower().encode()
+        sizes = {
+            lang: sum(len(c.compress(data[i : i + 2048])) for i in range(0, len(data), 2048)) for lang, c in books.items()
+        }
+        (least, lang), (second, _), *_ = sorted((n, lang) for lang, n in sizes.items())
+        expected.append((doc_id, text, lang, 1 - least / second, 1 - least / second < language_id.MARGIN))
+    assert got == sorted(expected)
+
+
+# 1
+
+
+def test_vectors_of_another_width_take_no_part(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(1, 9)] + [(20, [1.0, 2.0, 3.0]), (21, [5.0]), (22, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = {}
+    for r in nearest(table, table, 3).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert {q: [i for _, i in sorted(v)] for q, v in found.items()} == {
+        q: [i for i in range(8, 0, -1) if i != q][:3] for q in range(1, 9)
+    }

@@ -187,24 +187,20 @@ def nearest(
     Nearness is the inner product in double precision; ties go to the smaller id. A query's own
     id is left out. Vectors that are NULL, zero, or hold a NULL or a number that is not finite,
     and rows without id, take no part on either side. Ids are long; repeated ids count once.
-    All vectors must have one width, else it is an error. Other columns are ignored; empty
-    tables give no rows.
+    So do vectors of another width than most of `vectors` have (of two widths that are equally frequent the
+    smaller counts). Other columns are ignored; empty tables give no rows.
     """
     spark = vectors.sparkSession
     ship_package(spark)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = _clean(vectors, id_col, vec).withColumn("id", F.col("id").cast("long"))
-    facts = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size("v")).alias("narrow"),
-        F.max(F.size("v")).alias("wide"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square"),
-    ).first()
-    if not facts["n"]:
+    square = F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("square")
+    widths = rows.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n"), square)
+    facts = widths.orderBy(F.desc("n"), "width").first()
+    if facts is None:
         return empty
-    if facts["narrow"] != facts["wide"]:
-        raise ValueError(f"vectors have widths from {facts['narrow']} to {facts['wide']}")
-    total, width, norm = facts["n"], facts["wide"], math.sqrt(facts["square"])
+    total, width, norm = facts["n"], facts["width"], math.sqrt(facts["square"])
+    rows = rows.where(F.size("v") == width)
 
     # One row for equal vectors, with their k + 1 smallest ids, cut first in parts of bounded size.
     parts = max(1, total // 10_000)
