@@ -28,11 +28,12 @@ from vecloom.functions.arrow_vectors import matrix_of
 from vecloom.functions.vectors import DISTANCE_DIGITS, rank_distance
 from vecloom.operators.meet import meet
 from vecloom.operators.scoring import QuestionBlock, first_per_group, pair_distances, squared_products
-from vecloom.operators.topk import QUESTION_BYTES, search, topk_batch
+from vecloom.operators.topk import search, topk_batch
 from vecloom.session import materialize, ship_package
 
 CENTROID_BYTES = 256 << 20
-PIECE_BYTES = 64 << 20  # vectors of a cell that meet a block of questions in one piece
+PIECE_BYTES = 12 << 20  # vectors of a cell, or questions, in one piece: bounds a task's memory and its longest step
+PROBE_BYTES = 16 << 20  # questions of one broadcast, which every Python worker holds with their cells
 NO_CELL = -1
 CALIBRATION_ROWS = 1000  # rows of the index that calibrate it where no questions are given
 
@@ -400,7 +401,7 @@ def topk_cells(
     k: int = 5,
     qid: str = "qid",
     qvec: str = "embedding",
-    max_question_bytes: int = QUESTION_BYTES,
+    max_question_bytes: int = PROBE_BYTES,
     wanted: float | None = None,
 ) -> DataFrame:
     """Approximate top-k per question: (qid, rank, key, distance).
@@ -422,7 +423,7 @@ def topk_cells(
 
     def beyond(stored: DataFrame, need: int) -> DataFrame:
         asked = stored.select(F.col(qid).alias("qid"), F.col(qvec).alias("vec"), F.explode("_cells").alias("cell"))
-        return _by_cell(spark, index, asked, k, max(1, max_question_bytes))
+        return _by_cell(spark, index, asked, k)
 
     return search(
         index.rows(spark),
@@ -440,17 +441,18 @@ def topk_cells(
     )
 
 
-def _by_cell(spark: SparkSession, index: CellIndex, asked: DataFrame, k: int, max_question_bytes: int) -> DataFrame:
+def _by_cell(spark: SparkSession, index: CellIndex, asked: DataFrame, k: int) -> DataFrame:
     """Partial results of (qid, vec, cell) probes, joined with the rows of their cells.
 
     Rows and probes of each cell are counted first. A cell with more rows than a piece holds is salted
     over several, and its probes are there once for each; probes that are too many for a piece are
-    cut into blocks in the same way, each of which meets all salts. The list of cells, which is no longer
+    cut into blocks in the same way, each of which meets all salts. So neither the memory of a piece nor the
+    work of one grows with the tables, only their number. The list of cells, which is no longer
     than that of the centroids, is all that goes to the driver.
     """
     asked = materialize(asked, "probes")
     row_bytes = 8 * (index.centroids(spark).select(F.array_size("centroid")).first()[0] or 0) + 64
-    most_rows, most_asked = max(1, PIECE_BYTES // row_bytes), max(1, max(PIECE_BYTES, max_question_bytes) // row_bytes)
+    most_rows = most_asked = max(1, PIECE_BYTES // row_bytes)
     sizes = index.rows(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("n_rows"))
     probed = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n_asked")).join(sizes, "cell").orderBy("cell")
     plan, n_pieces = [], 0
