@@ -27,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from vecloom.llm.kept import kept
 from vecloom.session import ship_package
 
 KEPT_BYTES = 128 << 20  # of pieces and words with their ids, as Python objects
 KEPT_PAIRS = 200_000  # about 100 bytes each
-BATCH_CHARS = 1 << 21
+BATCH_CHARS = 1 << 18  # working lists take about 30 times as much
 # What common scripts don't use; texts with such letters are looked at again, letter by letter.
 _UNCOMMON = regex.compile(r"[^\u0000-\u0377\u0384-\u038A\u038E-\u03A1\u03A3-\u052F\u2010-\u2064]")
 
@@ -168,7 +169,9 @@ class Encoder:
         # `\s` of the file's regex language is the Unicode property.
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        file = tokenizers.Tokenizer.from_str(source)
+        # Without its vocabulary, of which the library would make a second copy.
+        plain = spec | {"added_tokens": [], "post_processor": None, "model": {"type": "BPE", "vocab": {}, "merges": []}}
+        file = tokenizers.Tokenizer.from_str(json.dumps(plain))
         self.normalizer, self.pre_tokenizer = file.normalizer, file.pre_tokenizer
         self.suffixes = Suffixes({i: s for i, s in self.merges.symbols.items() if self._own(i, s)})
         self.reset()
@@ -282,15 +285,9 @@ class Encoder:
         return ends[np.r_[0, np.cumsum(counts)]], ids
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _encoder(source: str) -> Encoder:
     """One per Python worker and tokenizer file."""
-    if source not in _encoders:
-        _encoders.clear()
-        _encoders[source] = Encoder(source)
-    return _encoders[source]
+    return kept(("encoder", source), lambda: Encoder(source))
 
 
 _names: dict[str, np.ndarray] = {}

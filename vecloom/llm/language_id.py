@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from vecloom.llm.kept import release
 from vecloom.session import ship_package
 
 PIECES = 256
@@ -114,6 +115,7 @@ def identify(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         classifier = _Classifier(shared.value)
         for batch in batches:
             found = [classifier.predict(t.as_py()) for t in batch[text]]

@@ -30,6 +30,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from vecloom.llm import blocks
 from vecloom.llm.components import components
+from vecloom.llm.kept import release
 from vecloom.llm.wordhash import U64, mix, ngrams, slices, whole
 from vecloom.session import materialize, ship_package
 
@@ -63,6 +64,7 @@ def links(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 def _emit(n: int, bits: int):
     def run(key, table):
+        release()
         found = [
             _shingles(w, w.hashes(), n)[1]
             for chunk in table["text"].chunks
@@ -85,6 +87,7 @@ _COLUMNS = {
 
 def _sets(n: int, percent: int, bits: int, id_type: pa.DataType):
     def run(_, table, known):
+        release()
         recurring = blocks.Recurring(known, bits, WIDTH)
         schema = pa.schema([("doc_id", id_type), ("text_hash", pa.int64()), *_COLUMNS.items()])
         made = []

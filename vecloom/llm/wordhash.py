@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-SLICE_BYTES = 1 << 19  # working arrays take about 100 times as much
+SLICE_BYTES = 1 << 18  # working arrays take about 100 times as much
 
 #: The bytes that part words: space and \t \n \v \f \r.
 SPACES = np.zeros(256, bool)
